@@ -71,7 +71,9 @@ def daily_error_counts(
     if first_day is None:
         following = F.lead("event_date_utc").over(Window.orderBy("event_date_utc"))
         until = F.coalesce(F.date_sub(following, 1), F.col("event_date_utc"))
-        filled = daily.withColumn("day", F.explode(F.sequence("event_date_utc", until)))
+        filled = daily.withColumn("until", until).withColumn(
+            "day", F.explode(F.sequence("event_date_utc", "until"))
+        )
         own = F.col("day") == F.col("event_date_utc")
         days = filled.select(
             "day",
@@ -152,7 +154,7 @@ def quality_reconciliation(ledger: DataFrame, clean: DataFrame) -> DataFrame:
     )
     # A line is one physical row of the ledger, so its first mention of a code counts the record.
     entries = ledger.select("final_action", F.concat(F.array(own), kinds).alias("kinds")).select(
-        F.posexplode("kinds").alias("at", "kind"), "kinds"
+        F.posexplode_outer("kinds").alias("at", "kind"), "kinds"
     )
     first_mention = F.array_position("kinds", F.col("kind")) == F.col("at") + 1
     groups = entries.groupBy("kind.metric_type", "kind.issue_code", "kind.final_action").agg(
