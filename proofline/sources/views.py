@@ -82,7 +82,15 @@ t AS (
       ',"parse_status":"' || st || '"' || CASE WHEN d = 2 THEN ',"note":"x"' ELSE '' END || '}' END AS body
   FROM m),
 f AS (
-  SELECT *, CASE WHEN d = 5 THEN body ELSE '
+  SELECT *, CASE WHEN d = 5 THEN body ELSE '```json' || chr(10) || body || chr(10) || '```' END AS txt FROM t)
+SELECT event_id AS case_no, message,
+  '{"component":' || comp || ',"confidence":"' || conf || '","event_type":"' || et || '","parameters":' || params || ',"parse_status":"' || st || '"}' AS expected_json,
+  CASE WHEN d = 11 THEN '{"error":"timeout","output":null}' ELSE
+  '{"output":{"message":{"role":"assistant","content":[{"text":"' ||
+    replace(replace(txt, '"', chr(92) || '"'), chr(10), chr(92) || 'n') ||
+  '"}]}},"usage":{"inputTokens":' || CAST(800 + event_id % 30 AS STRING) || ',"outputTokens":' || CAST(40 + event_id % 25 AS STRING) ||
+  '},"metrics":{"latencyMs":' || CAST(290 + event_id % 120 AS STRING) || '}}' END AS response_json
+FROM f
 """
 
 
