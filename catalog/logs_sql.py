@@ -166,7 +166,6 @@ top AS (SELECT row_number() OVER (ORDER BY error_count DESC, error_type) AS rank
   coalesce((SELECT error_count FROM sums WHERE error_type = 'UNCLASSIFIED_ERROR'), 0) AS unclassified_error_count
   FROM sums JOIN per USING (error_type) ORDER BY error_count DESC, error_type LIMIT 3)"""
 
-_TYPES = {"bigint": "bigint", "string": "string", "timestamp": "timestamp", "date": "date"}
 _CONTRACT = " UNION ALL ".join(
     f"SELECT {i + 1} AS position, '{c.name}' AS column_name, '{c.data_type.simpleString()}' AS declared_type,"
     f" '{c.data_type.simpleString()}' AS actual_type, {str(c.nullable).lower()} AS nullable,"

@@ -40,10 +40,14 @@ def seq_file(seq: Column) -> Column:
     return F.shiftright(seq, LINE_BITS)
 
 
-def scan_text(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def scan_text(
+    spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None
+) -> DataFrame:
     """Raw scan: only ``\\n`` ends a line; each row knows its file and the start of its split."""
     reader = spark.readStream if streaming else spark.read
     options = {"lineSep": "\n", "recursiveFileLookup": "true"}
+    if max_files:
+        options["maxFilesPerTrigger"] = str(max_files)
     return reader.format("text").options(**options).load(path).select(
         "value",
         F.col("_metadata.file_path").alias("source_path"),
