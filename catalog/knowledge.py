@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofline.operators import documents, evaluation, search
-from proofline.session import ensure_settings
+from proofline.plans import knowledge_base
+from proofline.session import ensure_settings, shared_folder
 from proofline.sources import documents as source
 from proofline.sources import views
 
@@ -22,7 +23,10 @@ def chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def index(spark: SparkSession, folder: str) -> search.SearchIndex:
-    return search.build_index(chunks(spark, folder))
+    """A stored index: what follows reads chunks and tokens instead of deriving them again."""
+    ensure_settings(spark)
+    found = source.from_table(views.kb_markdown(spark, folder))
+    return knowledge_base.build(found, shared_folder(spark, "knowledge-base"))
 
 
 def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,13 +119,13 @@ def chunk_export(spark, folder):
 
 
 def tokenize(spark, folder):
-    return index(spark, folder).chunk_tokens.select(
+    return search.build_index(chunks(spark, folder)).chunk_tokens.select(
         "chunk_id", "token_count", F.array_join("tokens", " ").alias("tokens")
     )
 
 
 def build_index(spark, folder):
-    found = index(spark, folder)
+    found = search.build_index(chunks(spark, folder))
     stats = found.stats.select("chunk_count").scalar()
     return search.term_statistics(found).withColumn("corpus_chunks", stats)
 

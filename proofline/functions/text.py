@@ -11,19 +11,24 @@ SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 WORD = r"\p{L}\p{N}_"
 
 
+# The same characters as a string, for the trimming functions.
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def strip(col: Column) -> Column:
     """Remove white space at both ends."""
-    return F.regexp_replace(col, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(col, F.lit(SPACE_CHARS))
 
 
 def rstrip(col: Column) -> Column:
     """Remove white space at the end."""
-    return F.regexp_replace(col, rf"[{SPACE}]+\z", "")
+    return F.rtrim(col, F.lit(SPACE_CHARS))
 
 
 def word_count(col: Column) -> Column:
     """Number of runs of characters that are not white space."""
-    return F.regexp_count(col, F.lit(rf"[^{SPACE}]+")).cast("long")
+    # Visible ASCII first: it decides most characters without walking the whole class.
+    return F.regexp_count(col, F.lit(rf"[!-~[^{SPACE}]]+")).cast("long")
 
 
 def quote_json(col: Column) -> Column:

@@ -69,10 +69,20 @@ def postings(index: SearchIndex) -> DataFrame:
 
 
 def term_statistics(index: SearchIndex) -> DataFrame:
-    """Chunks and occurrences per term; each chunk adds its own count once."""
-    per_chunk = postings(index).groupBy("term", *_KEY).agg(F.count(F.lit(1)).alias("tf"))
-    return per_chunk.groupBy("term").agg(
-        F.count(F.lit(1)).alias("chunks"), F.sum("tf").alias("occurrences")
+    """Chunks and occurrences per term, combined on the map side.
+
+    In a chunk's sorted tokens a term differs from its predecessor exactly once.
+    """
+    ordered = index.chunk_tokens.select(F.sort_array("tokens").alias("term"))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), F.slice("term", F.lit(1), F.greatest(F.size("term") - 1, F.lit(0))))
+    rows = ordered.withColumn("before", shifted).select(
+        F.explode_outer(F.arrays_zip("term", "before")).alias("m")
+    )
+    is_first = ~F.col("m.term").eqNullSafe(F.col("m.before"))
+    return (
+        rows.filter(F.col("m.term").isNotNull())
+        .groupBy("m.term")
+        .agg(F.count_if(is_first).alias("chunks"), F.count(F.lit(1)).alias("occurrences"))
     )
 
 
@@ -90,44 +100,68 @@ def phrases(queries: DataFrame) -> DataFrame:
 
 
 def _pieces(phrase: DataFrame) -> DataFrame:
-    """``phrase, gram, at, piece_count``: pairs at every second token, and the last pair."""
+    """``phrase, piece_count, at, first, second, gram``: pairs at every second token, and the last.
+
+    ``second`` is NULL for a phrase of one token; ``gram`` is the piece's hash.
+    """
     terms = F.split("phrase", " ")
     n = F.size(terms)
     starts = F.when(n < 3, F.array(F.lit(0))).otherwise(
         F.array_union(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0)), F.lit(2)), F.array(n - 2))
     )
     cut = F.transform(
-        starts, lambda s: F.struct(s.alias("at"), F.array_join(F.slice(terms, s + 1, 2), " ").alias("gram"))
+        starts,
+        lambda s: F.struct(
+            s.alias("at"), F.get(terms, s).alias("first"), F.get(terms, s + 1).alias("second")
+        ),
     )
-    return phrase.select("phrase", F.size(starts).alias("piece_count"), F.explode(cut).alias("piece")).select(
-        "phrase", "piece_count", "piece.at", "piece.gram"
+    pieces = phrase.select("phrase", F.size(starts).alias("piece_count"), F.explode(cut).alias("p")).select(
+        "phrase", "piece_count", "p.*"
+    )
+    return pieces.withColumn(
+        "gram",
+        F.when(F.col("second").isNull(), F.xxhash64("first")).otherwise(F.xxhash64("first", "second")),
     )
 
 
 def phrase_matches(index: SearchIndex, wanted: DataFrame) -> DataFrame:
-    """``phrase, chunk_id, source_path, token_count, is_current, tf`` for a table of ``phrase``."""
-    distinct = wanted.select("phrase").distinct()
-    singles = F.transform("tokens", lambda t, i: F.struct(i.alias("pos"), t.alias("gram")))
-    pairs = F.transform(
-        F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0))),
-        lambda t, i: F.struct(
-            i.alias("pos"), F.concat(F.get("tokens", i), F.lit(" "), t).alias("gram")
-        ),
+    """``phrase, chunk_id, source_path, token_count, is_current, tf`` for a table of ``phrase``.
+
+    Each token offers the hash of itself and of itself with its successor.  Hashes only find
+    candidates; the tokens themselves decide.
+    """
+    following = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
+    grams = (
+        index.chunk_tokens.withColumn("following", following)
+        .select(
+            *_KEY,
+            "token_count",
+            "is_current",
+            F.posexplode_outer(F.arrays_zip("tokens", "following")).alias("pos", "t"),
+        )
+        .select("*", F.posexplode_outer(F.array(F.xxhash64("t.tokens"), F.xxhash64("t.tokens", "t.following"))).alias("is_pair", "gram"))
     )
-    grams = index.chunk_tokens.select(
-        *_KEY, "token_count", "is_current", F.explode_outer(F.concat(singles, pairs)).alias("g")
-    ).select(*_KEY, "token_count", "is_current", "g.pos", "g.gram")
-    pieces = _pieces(distinct)
+    pieces = _pieces(wanted.select("phrase").distinct())
     if fits_broadcast(wanted, "phrase"):
         hits = grams.join(F.broadcast(pieces), "gram")
     else:
         spread = pieces.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
         part = F.pmod(F.xxhash64(*_KEY), F.lit(_SPREAD)).cast("int")
         hits = grams.withColumn("part", part).join(spread, ["gram", "part"]).drop("part")
+    single = (F.col("is_pair") == 0) & F.col("second").isNull() & (F.col("t.tokens") == F.col("first"))
+    pair = (
+        (F.col("is_pair") == 1)
+        & (F.col("t.tokens") == F.col("first"))
+        & (F.col("t.following") == F.col("second"))
+    )
     # One exchange serves both steps: the pieces of a match and the matches of a chunk meet in it.
-    placed = hits.select(
-        "phrase", *_KEY, "token_count", "is_current", "piece_count", (F.col("pos") - F.col("at")).alias("start")
-    ).repartition("phrase", *_KEY)
+    placed = (
+        hits.filter(single | pair)
+        .select(
+            "phrase", *_KEY, "token_count", "is_current", "piece_count", (F.col("pos") - F.col("at")).alias("start")
+        )
+        .repartition("phrase", *_KEY)
+    )
     whole = (
         placed.groupBy("phrase", *_KEY, "token_count", "is_current", "piece_count", "start")
         .agg(F.count(F.lit(1)).alias("found"))

@@ -10,15 +10,19 @@ from proofline.sources.sinks import write_json_lines
 
 
 def build(documents: DataFrame, root: str, patterns: HeaderPatterns = VIETNAMESE) -> SearchIndex:
-    """Write chunks, their export and their tokens below ``root``; searches read those tables."""
+    """Write chunks and their tokens below ``root``; searches read those tables."""
     spark = documents.sparkSession
     root = root.rstrip("/")
-    build_chunks(documents, patterns).write.parquet(f"{root}/chunks")
+    build_chunks(documents, patterns).write.option("compression", "zstd").parquet(f"{root}/chunks")
     chunks = spark.read.parquet(f"{root}/chunks")
-    write_json_lines(chunk_export(chunks), f"{root}/export")
-    build_index(chunks).chunk_tokens.write.parquet(f"{root}/tokens")
-    tokens = spark.read.parquet(f"{root}/tokens")
-    return SearchIndex(chunks, tokens, corpus_stats(tokens))
+    tokens = build_index(chunks).chunk_tokens
+    tokens.write.option("compression", "zstd").parquet(f"{root}/tokens")
+    return open_index(spark, root)
+
+
+def export(index: SearchIndex, path: str) -> None:
+    """Write the chunks as JSON lines in export order."""
+    write_json_lines(chunk_export(index.chunks), path)
 
 
 def open_index(spark, root: str) -> SearchIndex:
