@@ -162,16 +162,23 @@ def current_paths(documents: DataFrame) -> DataFrame:
     ).select("source_path", F.lit(True).alias("is_current"))
 
 
-def resolve_versions(documents: DataFrame, rows: DataFrame) -> DataFrame:
-    """Add ``is_current`` to documents or chunks; joined on the path, of which each row has one."""
-    joined = rows.join(current_paths(documents), "source_path", "left")
+def resolve_versions(documents: DataFrame, rows: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """Add ``is_current`` to documents or chunks; joined on the path, of which each row has one.
+
+    A run that writes :func:`current_paths` first passes the written table as ``current``: while
+    that is small, the rows with their texts join it without a shuffle.
+    """
+    paths = current_paths(documents) if current is None else current
+    joined = rows.join(paths, "source_path", "left")
     return joined.withColumn("is_current", F.coalesce("is_current", F.lit(False)))
 
 
-def build_chunks(documents: DataFrame, patterns: HeaderPatterns = VIETNAMESE) -> DataFrame:
+def build_chunks(
+    documents: DataFrame, patterns: HeaderPatterns = VIETNAMESE, current: DataFrame | None = None
+) -> DataFrame:
     """Documents to chunks with the current version marked."""
     inventory = document_inventory(documents, patterns)
-    return resolve_versions(inventory, chunk_sections(inventory)).select(*EXPORT_COLUMNS)
+    return resolve_versions(inventory, chunk_sections(inventory), current).select(*EXPORT_COLUMNS)
 
 
 def chunk_export(chunks: DataFrame) -> DataFrame:

@@ -54,14 +54,22 @@ def first_copies(checked: DataFrame, retained: DataFrame | None = None) -> DataF
     return firsts.filter(repeated).select("record_digest", "salt", "first_seq")
 
 
-def resolve_duplicates(checked: DataFrame, retained: DataFrame | None = None) -> DataFrame:
-    """Add the duplicate issue, ``final_action`` and where the retained copy stands."""
+def resolve_duplicates(
+    checked: DataFrame, retained: DataFrame | None = None, firsts: DataFrame | None = None
+) -> DataFrame:
+    """Add the duplicate issue, ``final_action`` and where the retained copy stands.
+
+    A run that writes :func:`first_copies` first passes the written table as ``firsts``: its size
+    is then known, and while it is small the rows join it without a shuffle.
+    """
     eligible = is_analytical(F.col("first_action"))
     # Rows that take no part get a key of their own instead of NULL, which would all meet in one task.
     key = F.when(eligible, F.col("record_digest")).otherwise(F.col("line_seq").cast("string"))
     rows = checked.withColumn("salt", _salt()).withColumn("copy_key", key)
-    firsts = first_copies(checked, retained).withColumnRenamed("record_digest", "copy_key")
-    resolved = rows.join(firsts, ["copy_key", "salt"], "left").withColumn(
+    repeated = (first_copies(checked, retained) if firsts is None else firsts).withColumnRenamed(
+        "record_digest", "copy_key"
+    )
+    resolved = rows.join(repeated, ["copy_key", "salt"], "left").withColumn(
         "retained_seq", F.when(eligible, F.coalesce("first_seq", "line_seq"))
     )
     duplicate = F.coalesce(F.col("retained_seq") != F.col("line_seq"), F.lit(False))

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from proofline.operators.documents import VIETNAMESE, HeaderPatterns, build_chunks, chunk_export
+from proofline.operators.documents import (
+    VIETNAMESE,
+    HeaderPatterns,
+    build_chunks,
+    chunk_export,
+    current_paths,
+    document_inventory,
+)
 from proofline.operators.search import SearchIndex, build_index, corpus_stats
 from proofline.sources.sinks import write_json_lines
 
@@ -13,7 +20,10 @@ def build(documents: DataFrame, root: str, patterns: HeaderPatterns = VIETNAMESE
     """Write chunks and their tokens below ``root``; searches read those tables."""
     spark = documents.sparkSession
     root = root.rstrip("/")
-    build_chunks(documents, patterns).write.option("compression", "zstd").parquet(f"{root}/chunks")
+    current_paths(document_inventory(documents, patterns)).write.parquet(f"{root}/current")
+    current = spark.read.parquet(f"{root}/current")
+    marked = build_chunks(documents, patterns, current)
+    marked.write.option("compression", "zstd").parquet(f"{root}/chunks")
     chunks = spark.read.parquet(f"{root}/chunks")
     tokens = build_index(chunks).chunk_tokens
     tokens.write.option("compression", "zstd").parquet(f"{root}/tokens")

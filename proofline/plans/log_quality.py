@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from proofline.functions.messages import ErrorTaxonomy
-from proofline.operators.duplicates import resolve_duplicates
+from proofline.operators.duplicates import first_copies, resolve_duplicates
 from proofline.operators.ledger import (
     DEFAULT_TAXONOMY,
     clean_from_checked,
@@ -43,7 +43,9 @@ def publish(
     root = root.rstrip("/")
     check_lines(source.lines, max_line_bytes).write.option("compression", "zstd").parquet(f"{root}/checked")
     checked = spark.read.parquet(f"{root}/checked")
-    write_ledger(ledger_from_resolved(resolve_duplicates(checked), source.files, taxonomy), f"{root}/ledger")
+    first_copies(checked).write.option("compression", "zstd").parquet(f"{root}/copies")
+    resolved = resolve_duplicates(checked, firsts=spark.read.parquet(f"{root}/copies"))
+    write_ledger(ledger_from_resolved(resolved, source.files, taxonomy), f"{root}/ledger")
     write_clean(clean_from_checked(checked, source.files, taxonomy), f"{root}/clean")
     ledger = spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/ledger")
     clean = spark.read.parquet(f"{root}/clean")

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from proofline.session import shared_folder
+
 DEFAULT_MAX_LINE_BYTES = 1_048_576
 # Bits of ``line_seq`` below the file number: 68 billion lines per file, 134 million files.
 LINE_BITS = 36
@@ -56,24 +58,29 @@ def scan_text(
     )
 
 
-def number_lines(scan: DataFrame) -> DataFrame:
-    """Give every scanned row its 1-based line number in its file.
+def _with_row_id(scan: DataFrame) -> DataFrame:
+    return scan.withColumn("row_id", F.monotonically_increasing_id())
+
+
+def stage_splits(scan: DataFrame) -> DataFrame:
+    """Count the lines of every split and write one row per split: where its lines start.
 
     ``monotonically_increasing_id`` counts rows inside a scan task, and a split is read by one task
-    in order.  One small aggregate finds each split's first id and size; a running sum over splits
-    (not over lines) turns that into line numbers.  The rows themselves are not shuffled for it:
-    the split table has one row per split, and Spark picks the join from its run-time size.
+    in order, so a split's first id and size are all that numbering needs.  The counts are written
+    to the shared folder: what reads them back knows their size, and Spark broadcasts them when
+    they are small and joins by split when they are not.
     """
-    rows = scan.withColumn("row_id", F.monotonically_increasing_id())
-    splits = rows.groupBy("source_path", "block_start").agg(
+    spark = scan.sparkSession
+    path = shared_folder(spark, "splits")
+    _with_row_id(scan).groupBy("source_path", "block_start").agg(
         F.min("row_id").alias("first_id"),
         F.count(F.lit(1)).alias("split_lines"),
         F.sum(F.octet_length("value") + F.lit(1)).alias("split_bytes"),
         F.max("file_size").alias("file_size"),
-    )
+    ).write.parquet(path)
     by_file = Window.partitionBy("source_path")
     running = by_file.orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
+    return spark.read.parquet(path).select(
         "source_path",
         "block_start",
         "first_id",
@@ -81,29 +88,35 @@ def number_lines(scan: DataFrame) -> DataFrame:
         F.sum("split_lines").over(by_file).alias("file_lines"),
         # The last line of a plain file has no newline when the bytes come out one short.
         (F.sum("split_bytes").over(by_file) == F.col("file_size") + 1).alias("unterminated"),
-        F.dense_rank().over(Window.orderBy("source_path")).alias("file_rank"),
+        # One row per split: small enough to rank in one place.
+        (F.dense_rank().over(Window.orderBy("source_path")) - 1).cast("long").alias("file_no"),
     )
+
+
+def scanned_files(splits: DataFrame) -> DataFrame:
+    """``file_no, source_path, line_count`` of the files of a scan."""
+    return splits.groupBy("file_no", "source_path").agg(F.max("file_lines").alias("line_count"))
+
+
+def number_lines(scan: DataFrame, splits: DataFrame | None = None) -> DataFrame:
+    """Give every scanned row its 1-based line number in its file; the rows stay where they are."""
+    offsets = stage_splits(scan) if splits is None else splits
     text = F.make_valid_utf8("value")
-    return rows.join(offsets, ["source_path", "block_start"]).select(
-        (F.col("file_rank") - 1).cast("long").alias("file_no"),
-        "source_path",
-        (F.col("row_id") - F.col("first_id") + F.col("lines_before") + 1).alias("source_line"),
-        F.rtrim(text, F.lit("\r\n")).alias("raw_line"),
-        F.is_valid_utf8("value").alias("text_valid"),
-        F.octet_length("value").alias("content_bytes"),
-        "file_lines",
-        "unterminated",
-    ).select(
-        "file_no",
-        "source_path",
-        "source_line",
-        line_seq(F.col("file_no"), F.col("source_line")).alias("line_seq"),
-        "raw_line",
-        (
-            F.col("content_bytes")
-            + F.when(F.col("unterminated") & (F.col("source_line") == F.col("file_lines")), 0).otherwise(1)
-        ).cast("long").alias("byte_length"),
-        "text_valid",
+    ends_file = F.col("unterminated") & (F.col("source_line") == F.col("file_lines"))
+    return (
+        _with_row_id(scan)
+        .drop("file_size")
+        .join(offsets, ["source_path", "block_start"])
+        .withColumn("source_line", F.col("row_id") - F.col("first_id") + F.col("lines_before") + 1)
+        .select(
+            "file_no",
+            "source_path",
+            "source_line",
+            line_seq(F.col("file_no"), F.col("source_line")).alias("line_seq"),
+            F.rtrim(text, F.lit("\r\n")).alias("raw_line"),
+            (F.octet_length("value") + F.when(ends_file, 0).otherwise(1)).cast("long").alias("byte_length"),
+            F.is_valid_utf8("value").alias("text_valid"),
+        )
     )
 
 
@@ -153,13 +166,14 @@ def _stream_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def read_lines(spark: SparkSession, path: str, fingerprints: DataFrame | None = None) -> LineSet:
     """Lines and files below ``path``; pass ``fingerprints`` when a store already knows digests."""
-    lines = number_lines(scan_text(spark, path))
+    scan = scan_text(spark, path)
+    splits = stage_splits(scan)
+    lines = number_lines(scan, splits)
     digests = file_fingerprints(spark, path) if fingerprints is None else fingerprints
     # The scan reports paths as URIs, the file listing may use the short form of the same scheme.
     plain = lambda c: F.regexp_replace(c, r"^file:/+", "/")
     files = (
-        lines.groupBy("file_no", "source_path")
-        .agg(F.count(F.lit(1)).alias("line_count"))
+        scanned_files(splits)
         .withColumn("join_path", plain(F.col("source_path")))
         .join(
             digests.select(plain(F.col("source_path")).alias("join_path"), "source_sha256"),

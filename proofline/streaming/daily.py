@@ -15,11 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proofline.functions.messages import ErrorTaxonomy
-from proofline.operators.duplicates import is_analytical, resolve_duplicates
+from proofline.operators.duplicates import first_copies, is_analytical, resolve_duplicates
 from proofline.operators.ledger import DEFAULT_TAXONOMY, clean_from_resolved, ledger_from_resolved
 from proofline.operators.validation import check_lines
 from proofline.schemas import LEDGER_SCHEMA
-from proofline.sources.lines import DEFAULT_MAX_LINE_BYTES, line_seq, number_lines, scan_text
+from proofline.sources.lines import (
+    DEFAULT_MAX_LINE_BYTES,
+    number_lines,
+    scan_text,
+    scanned_files,
+    stage_splits,
+)
 
 _DIGEST_SCHEMA = "record_digest string, retained_seq long, batch_id long"
 
@@ -67,20 +73,20 @@ def ingest_batch(
 ) -> None:
     """Check, resolve and publish one batch of scanned lines."""
     spark = scanned.sparkSession
-    numbered = number_lines(scanned)
     # File numbers go on where the earlier batches ended.
+    splits = stage_splits(scanned)
     number = F.col("file_no") + F.lit(_files_before(spark, tables, batch_id))
-    lines = numbered.withColumn("file_no", number).withColumn(
-        "line_seq", line_seq(F.col("file_no"), F.col("source_line"))
-    )
-    checked_path = _overwrite(check_lines(lines, max_line_bytes), tables, "checked", batch_id)
-    files = lines.groupBy("file_no", "source_path").agg(F.count(F.lit(1)).alias("line_count")).withColumn(
+    splits = splits.withColumn("file_no", number)
+    files = scanned_files(splits).withColumn(
         # The digest of a whole file is the inventory's business; here the path identifies it.
         "source_sha256", F.sha2("source_path", 256)
     )
-    files_path = _overwrite(files, tables, "files", batch_id)
-    checked, files = spark.read.parquet(checked_path), spark.read.parquet(files_path)
-    resolved = resolve_duplicates(checked, retained_before(spark, tables, batch_id))
+    files = spark.read.parquet(_overwrite(files, tables, "files", batch_id))
+    lines = number_lines(scanned, splits)
+    checked = spark.read.parquet(_overwrite(check_lines(lines, max_line_bytes), tables, "checked", batch_id))
+    copies = first_copies(checked, retained_before(spark, tables, batch_id))
+    copies = spark.read.parquet(_overwrite(copies, tables, "copies", batch_id))
+    resolved = resolve_duplicates(checked, firsts=copies)
     resolved_path = _overwrite(resolved, tables, "resolved", batch_id)
     resolved = spark.read.parquet(resolved_path)
     ledger = ledger_from_resolved(resolved, files, taxonomy)
