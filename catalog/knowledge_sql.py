@@ -132,7 +132,7 @@ effective_date, owner, CASE WHEN is_current THEN 1 ELSE 0 END AS is_current, sou
     "build_stats": f"""WITH {CHUNKS} SELECT (SELECT count(*) FROM docs) AS documents, count(*) AS chunks,
 count(*) FILTER (is_current) AS current_chunks, count(*) FILTER (NOT is_current) AS superseded_chunks FROM chunks""",
     "run_evaluation": f"WITH {EVALUATED} SELECT case_id, hits, chunk_ids FROM graded",
-    "score_retrieval": f"WITH {EVALUATED} SELECT case_id, question_type, matched, retrieval_hit_score FROM graded",
+    "score_retrieval": f"WITH {EVALUATED} SELECT case_id, question_type, matched::BIGINT AS matched, retrieval_hit_score FROM graded",
     "score_groundedness": f"WITH {EVALUATED} SELECT case_id, len(found_keywords) AS found, groundedness_score FROM graded",
     "diagnosis_facts": f"""WITH {EVALUATED}, facts AS (SELECT *, {_SEEN.format(v="true")} AS current_seen, {_SEEN.format(v="false")} AS superseded_seen FROM graded)
 SELECT case_id, CASE WHEN matched = 1 THEN section ELSE '' END AS matched_sections,

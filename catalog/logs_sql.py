@@ -167,7 +167,7 @@ top AS (SELECT row_number() OVER (ORDER BY error_count DESC, error_type) AS rank
   FROM sums JOIN per USING (error_type) ORDER BY error_count DESC, error_type LIMIT 3)"""
 
 _CONTRACT = " UNION ALL ".join(
-    f"SELECT {i + 1} AS position, '{c.name}' AS column_name, '{c.data_type.simpleString()}' AS declared_type,"
+    f"SELECT {i + 1}::BIGINT AS position, '{c.name}' AS column_name, '{c.data_type.simpleString()}' AS declared_type,"
     f" '{c.data_type.simpleString()}' AS actual_type, {str(c.nullable).lower()} AS nullable,"
     f" count(*) FILTER ({c.name} IS NULL) AS null_count,"
     f" {str(c.nullable).lower()} OR count(*) FILTER ({c.name} IS NULL) = 0 AS holds FROM clean"
