@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import exact_dedup, language_id, simhash
+from proofline.llm import exact_dedup, language_id, packing, simhash, suffix_dedup
 from proofline.llm.staging import documents
 
 
@@ -17,20 +17,39 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without any string of 400 bytes that occurs elsewhere."""
+    return suffix_dedup.digest_columns(suffix_dedup.repeated_strings(documents(spark, sf_dir), keep_first=False))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document."""
     groups = exact_dedup.exact_groups(documents(spark, sf_dir), exact_dedup.even_half())
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of windows of 4096 tokens."""
+    return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), with_ids=False)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash.near_groups(documents(spark, sf_dir))
     return groups.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; they are installed beside Python, not kept here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_packing": op4_packing,
     "op9_simhash": op9_simhash,
 }
