@@ -424,3 +424,21 @@ def identify(docs: DataFrame, fitted: Calibrated | None, id_column: str = "doc_i
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
 
     return texts.mapInArrow(run, PREDICTION)
+
+
+def accepted(docs: DataFrame, fitted: Calibrated | None, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text is in a learnt language."""
+    if fitted is None:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(fitted))
+    column = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = unit_table()
+        fitted = pickle.loads(shared.value)
+        for batch in batches:
+            sums, counts, entropy, best = _judged(fitted.model, batch.column(column).to_pylist(), table)
+            off = (entropy[np.arange(len(best)), best] - fitted.centre[best]) * np.sqrt(np.minimum(counts, STEADY_UNITS))
+            yield batch.filter(pa.array((counts > 0) & (off <= fitted.bound[best])))
+
+    return docs.mapInArrow(run, docs.schema)

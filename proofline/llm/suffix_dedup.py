@@ -172,7 +172,10 @@ def hot_spans(segments: DataFrame, length: int, keep_first: bool) -> DataFrame:
 
 
 def cut_texts(candidates: DataFrame) -> DataFrame:
-    """``text_id, spans, kept``: merged spans and the bytes outside them."""
+    """``text_id, spans, kept, kept_text``: merged spans and what is outside them, as bytes and as text.
+
+    A character that is cut in two is no part of the text.
+    """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +191,11 @@ def cut_texts(candidates: DataFrame) -> DataFrame:
                 at = np.r_[0, ends] + offsets[i]
                 upto = np.r_[begins, offsets[i + 1] - offsets[i]] + offsets[i]
                 kept.append(b"".join(raw[b:e] for b, e in zip(at.tolist(), upto.tolist())))
-            arrays = [batch.column(0), pa.array(ranges, kind), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["text_id", "spans", "kept"])
+            texts = [k.decode("utf-8", "ignore") for k in kept]
+            arrays = [batch.column(0), pa.array(ranges, kind), pa.array(kept, pa.binary()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["text_id", "spans", "kept", "kept_text"])
 
-    return candidates.mapInArrow(run, f"text_id long, spans {SPAN}, kept binary")
+    return candidates.mapInArrow(run, f"text_id long, spans {SPAN}, kept binary, kept_text string")
 
 
 def repeated_strings(
@@ -203,10 +207,10 @@ def repeated_strings(
     gram: int = GRAM,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``doc_id, n_bytes, digest, spans, kept`` of every row.
+    """``doc_id, n_bytes, digest, spans, kept, kept_text`` of every row.
 
-    ``spans`` are the maximal removed ranges of bytes and ``kept`` the bytes outside them; ``kept`` is
-    null if nothing is removed, ``digest`` is the SHA-256 of the whole text.  With ``keep_first`` the first copy of
+    ``spans`` are the maximal removed ranges of bytes and ``kept`` the bytes outside them, as text in
+    ``kept_text``; both are null if nothing is removed, ``digest`` is the SHA-256 of the whole text.  With ``keep_first`` the first copy of
     a string, by ``doc_id`` and place, stays; else all its copies go.
     """
     texts = keyed_texts(docs, id_column, text_column)
@@ -248,6 +252,7 @@ def repeated_strings(
         "digest",
         F.when(gone, whole).otherwise(F.coalesce("spans", F.array().cast(SPAN))).alias("spans"),
         F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
     )
 
 
