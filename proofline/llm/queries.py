@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import block_dedup, exact_dedup, language_id, packing, simhash, suffix_dedup
+from proofline.llm import block_dedup, exact_dedup, language_id, line_quality, packing, simhash, suffix_dedup
 from proofline.llm.staging import documents
 
 
@@ -33,6 +33,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), with_ids=False)
 
 
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; the field is fitted on ``labels``."""
+    docs = documents(spark, sf_dir)
+    field = line_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return line_quality.judge(docs, field)
+
+
 def op6_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of 50 words that an earlier document has."""
     return block_dedup.digest_columns(block_dedup.repeated_passages(documents(spark, sf_dir)))
@@ -56,6 +63,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
+    "op5_line_quality": op5_line_quality,
     "op6_block_dedup": op6_block_dedup,
     "op9_simhash": op9_simhash,
 }
