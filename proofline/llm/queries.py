@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import block_dedup, exact_dedup, language_id, line_quality, packing, simhash, suffix_dedup
+from proofline.llm import block_dedup, exact_dedup, language_id, line_quality, packing, piece_stream, simhash, suffix_dedup
 from proofline.llm.staging import documents
 
 
@@ -45,6 +45,11 @@ def op6_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.digest_columns(block_dedup.repeated_passages(documents(spark, sf_dir)))
 
 
+def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and checksum of every document's ids, and the digest of what they decode to."""
+    return piece_stream.digests(piece_stream.encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash.near_groups(documents(spark, sf_dir))
@@ -65,5 +70,6 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_line_quality": op5_line_quality,
     "op6_block_dedup": op6_block_dedup,
+    "op7_piece_stream": op7_piece_stream,
     "op9_simhash": op9_simhash,
 }
