@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import block_dedup, exact_dedup, language_id, line_quality, packing, piece_stream, simhash, suffix_dedup
+from proofline.llm import block_dedup, exact_dedup, language_id, line_quality, packing, piece_stream, preference, revisits, simhash, suffix_dedup
 from proofline.llm.staging import documents
 
 
@@ -50,12 +50,30 @@ def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_stream.digests(piece_stream.encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")))
 
 
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every not-modified record derived from ``pages`` with its original's payload and merged headers."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = revisits.resolve(revisits.records_of_pages(pages))
+    shown = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return found.select(
+        "record_id", "canonical_url", "original_id", "outcome", shown.alias("headers"), F.sha2("payload", 256).alias("payload_sha256")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash.near_groups(documents(spark, sf_dir))
     return groups.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preference pair of every conversation and a rejected version of it."""
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    chosen = talks.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    pairs = preference.format_pairs(chosen, preference.rejected_of(talks))
+    return pairs.withColumns({c: preference.mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file; they are installed beside Python, not kept here."""
     import public_tokenizers
@@ -71,5 +89,7 @@ QUERIES = {
     "op5_line_quality": op5_line_quality,
     "op6_block_dedup": op6_block_dedup,
     "op7_piece_stream": op7_piece_stream,
+    "op8_revisits": op8_revisits,
     "op9_simhash": op9_simhash,
+    "op10_preference": op10_preference,
 }
