@@ -251,7 +251,10 @@ def repeated_passages(
         "texts",
     )
     met = distinct.select("text_id", F.inline("anchors"))
-    spread = met.groupBy("hash").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most")).filter("least < most")
+    # Stored, so that the join below reads two plain shuffles and a hot gram's rows can be split.
+    spread = stage(
+        met.groupBy("hash").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most")).filter("least < most"), "grams"
+    )
     marked = met.join(spread, "hash").select(
         "text_id",
         F.struct(
@@ -265,11 +268,11 @@ def repeated_passages(
     )
     rows = stage(blocks(candidates, window, block), "blocks")
     index = rows.filter("indexed")
-    first = index.groupBy("hash").agg(F.min("text_id").alias("first"))
+    first = stage(index.groupBy("hash").agg(F.min("text_id").alias("first")), "index")
     hits = stage(rows.filter("not indexed").join(first, "hash").filter("first < text_id").drop("first"), "hits")
-    last = hits.groupBy("hash").agg(F.max("text_id").alias("last"))
-    members = hits.unionByName(index.join(last, "hash").filter("text_id < last").drop("last"))
-    sizes = members.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows)
+    last = stage(hits.groupBy("hash").agg(F.max("text_id").alias("last")), "last")
+    members = stage(hits.unionByName(index.join(last, "hash").filter("text_id < last").drop("last")), "members")
+    sizes = stage(members.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows), "hot")
     members = members.join(sizes, "hash", "left").withColumn("hot", F.col("rows").isNotNull()).drop("rows")
     lists = members.groupBy("text_id").agg(F.collect_list(F.struct("hash", "pos", "low", "high", "indexed", "hot")).alias("members"))
     around = contexts(candidates.drop("anchors").join(lists, "text_id").select("text_id", "text", "members"), window)
