@@ -46,7 +46,11 @@ def compare_fields(spark, folder):
 
 
 def trial_summary(spark, folder):
-    return extraction.trial_summary(compared(spark, folder), KEY)
+    return extraction.trial_summary(compared(spark, folder), KEY).withColumn("pass_rate", F.round("pass_rate", 6))
+
+
+def case_results(spark, folder):
+    return extraction.case_results(compared(spark, folder), KEY)
 
 
 def field_accuracy(spark, folder):
@@ -86,6 +90,7 @@ QUERIES = {
     "strip_code_fence": strip_code_fence,
     "validate_extraction": validate_extraction,
     "compare_fields": compare_fields,
+    "case_results": case_results,
     "trial_summary": trial_summary,
     "field_accuracy": field_accuracy,
     "hallucination_check": hallucination_check,

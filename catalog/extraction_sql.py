@@ -45,9 +45,9 @@ cells AS ({" UNION ALL ".join(
     f"SELECT case_no, '{f}' AS field, {_TEXT.format(s='expected_json::JSON', f=f)} AS expected, {_TEXT.format(s='j', f=f)} AS actual,"
     f" coalesce(json_extract(expected_json::JSON, '$.{f}')::VARCHAR = coalesce(json_extract(j, '$.{f}')::VARCHAR, 'null'), false) AS \"match\""
     f" FROM valid WHERE status = 'OBJECT'" for f in FIELDS)}),
-results AS (SELECT case_no, CASE WHEN len(errors) = 0 AND bool_and("match") THEN 'PASS' ELSE 'FAIL' END AS result,
-  CASE WHEN len(errors) = 0 THEN '-' ELSE substr(array_to_string(errors, '; '), 1, 80) END AS notes
-  FROM valid LEFT JOIN cells USING (case_no) GROUP BY case_no, errors)"""
+results AS (SELECT case_no, len(errors) = 0 AND bool_and("match") AS passed, array_to_string(errors, '; ') AS errors,
+  count("match") AS fields_compared, count(*) FILTER ("match") AS fields_matched, response_text
+  FROM valid LEFT JOIN cells USING (case_no) GROUP BY case_no, errors, response_text)"""
 _TRUTH = """truth AS (SELECT *, CASE WHEN message LIKE 'ERR ConnTimeout%' THEN 'CONNECTION_TIMEOUT' WHEN message LIKE 'ERR PaymentDeclined%' THEN 'PAYMENT_DECLINED' END AS t_event,
   CASE WHEN message LIKE 'ERR %' THEN json_extract(expected_json::JSON, '$.parameters')::VARCHAR END AS t_params FROM valid)"""
 
@@ -69,7 +69,9 @@ SQL = {
     "strip_code_fence": f"WITH {RESPONSES} SELECT case_no, output_text FROM inner_text",
     "validate_extraction": f"WITH {VALID} SELECT case_no, len(errors) = 0 AS is_valid, array_to_string(errors, '; ') AS errors FROM valid",
     "compare_fields": f"WITH {COMPARED} SELECT * FROM cells",
-    "trial_summary": f"WITH {COMPARED} SELECT result, notes, count(*) AS cases FROM results GROUP BY ROLLUP (result, notes)",
+    "case_results": f"WITH {COMPARED} SELECT * FROM results",
+    "trial_summary": f"""WITH {COMPARED} SELECT passed, errors, count(*) AS cases, round(avg(passed::INT), 6) AS pass_rate
+FROM results GROUP BY ROLLUP (passed, errors)""",
     "field_accuracy": f"""WITH {VALID}, {_TRUTH} {_accuracy("event_type", "t_event", _TEXT.format(s="j", f="event_type"))}
 UNION ALL {_accuracy("parameters", "t_params", _TEXT.format(s="j", f="parameters"))}""",
     "hallucination_check": f"""WITH {PARSED}
@@ -83,14 +85,14 @@ UNION ALL SELECT case_no, 'parameters', k, json_extract_string(j, '$.parameters.
   FROM (SELECT *, unnest(json_keys(j, '$.parameters')) AS k FROM parsed WHERE json_type(j, '$.parameters') = 'OBJECT')""",
     "stratified_sample": f"""WITH {RESPONSES}, f AS (SELECT case_no, message, {_PATTERN} AS stratum, {_FRACTION} AS fraction FROM xr)
 SELECT case_no, message, stratum FROM f QUALIFY fraction < {SAMPLE_RATE} OR row_number() OVER (PARTITION BY stratum ORDER BY fraction, case_no) = 1""",
-    "review_routing": f"""WITH {PARSED}, r AS (SELECT case_no, CASE WHEN json_extract_string(j, '$.confidence') = 'low' THEN 'low_confidence'
-WHEN json_extract_string(j, '$.parse_status') = 'failed' THEN 'parse_failed'
-WHEN json_extract_string(j, '$.confidence') = 'high' AND {_FRACTION} < 0.05 THEN 'spot_check' END AS reason FROM parsed)
+    "review_routing": f"""WITH {VALID}, r AS (SELECT case_no, CASE WHEN len(errors) > 0 OR json_extract_string(j, '$.parse_status') = 'failed'
+THEN 'parse_failed' WHEN json_extract_string(j, '$.confidence') = 'low' THEN 'low_confidence'
+WHEN json_extract_string(j, '$.confidence') = 'high' AND {_FRACTION} < 0.05 THEN 'spot_check' END AS reason FROM valid)
 SELECT * FROM r WHERE reason IS NOT NULL""",
-    "usage_rollup": f"""WITH {RESPONSES}, u AS (SELECT {_PATTERN} AS group_name, json_extract(response_json, '$.usage.inputTokens')::BIGINT AS i,
+    "usage_rollup": f"""WITH {RESPONSES}, u AS (SELECT {_PATTERN} AS group_name, json_extract_string(response_json, '$.metadata.model_id') AS model_id, json_extract(response_json, '$.usage.inputTokens')::BIGINT AS i,
 json_extract(response_json, '$.usage.outputTokens')::BIGINT AS o, json_extract(response_json, '$.metrics.latencyMs')::BIGINT AS l FROM xr)
-SELECT group_name, count(*) AS responses, count(i) AS with_usage, sum(i)::BIGINT AS input_tokens, sum(o)::BIGINT AS output_tokens, round(avg(l), 6) AS latency_avg_ms,
-quantile_cont(l, 0.5)::DOUBLE AS latency_p50_ms, quantile_cont(l, 0.95)::DOUBLE AS latency_p95_ms, max(l) AS latency_max_ms FROM u GROUP BY 1""",
+SELECT group_name, model_id, count(*) AS responses, count(i) AS with_usage, sum(i)::BIGINT AS input_tokens, sum(o)::BIGINT AS output_tokens, round(avg(l), 6) AS latency_avg_ms,
+quantile_cont(l, 0.5)::DOUBLE AS latency_p50_ms, quantile_cont(l, 0.95)::DOUBLE AS latency_p95_ms, max(l) AS latency_max_ms FROM u GROUP BY 1, 2""",
     "build_prompts": f"""WITH {RESPONSES}, p AS (SELECT case_no, message, '{DEFAULT_INSTRUCTIONS}' || chr(10) || chr(10) || 'Log message: ' || message AS prompt FROM xr)
 SELECT *, sha256(prompt) AS prompt_sha256 FROM p""",
 }

@@ -12,7 +12,7 @@ from proofline.sources import lines, views
 
 LOG_PATH = "raw_log_lines.jsonl"
 # Lines per staged text file: files stay small whatever the size of the log.
-FILE_LINES = 5000
+FILE_LINES = 100_000
 GUARD_BYTES = 200
 
 

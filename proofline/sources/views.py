@@ -2,7 +2,7 @@
 
 ``RAW_LOG_LINES``: a dirty JSON-lines log made from ``events``, with every kind of defect.
 ``KB_MARKDOWN``: two versions of each knowledge-base document made from ``documents``.
-``EXTRACTION_RESPONSES``: saved extraction outputs made from the error rows of ``events``.
+``EXTRACTION_RESPONSES``: saved extraction outputs made from ``events``.
 The texts are plain SQL, so that any engine can build the same views.
 """
 
@@ -38,9 +38,9 @@ l AS (
     CASE WHEN d = 5 THEN ',"deployment":"canary"' WHEN d = 9 THEN ',"trace_id":""' WHEN event_id % 3 = 0 THEN ',"trace_id":"tr-' || CAST(user_id AS STRING) || '"' ELSE '' END ||
     CASE WHEN d = 0 THEN '' ELSE '}' END AS raw_line
   FROM m)
-SELECT event_id + 1 AS source_line, CASE WHEN d = 10 THEN '[1,2]' ELSE raw_line END AS raw_line FROM l
+SELECT event_id * 2 + 1 AS source_line, CASE WHEN d = 10 THEN '[1,2]' ELSE raw_line END AS raw_line FROM l
 UNION ALL
-SELECT event_id + 1000000001 AS source_line, raw_line FROM l WHERE d IN (4, 6)
+SELECT event_id * 2 + 2 AS source_line, raw_line FROM l WHERE d IN (4, 6)
 """
 
 SPARK_TIMESTAMP = """date_format(CASE WHEN user_id % 7 = 0 THEN ts + INTERVAL '7' HOUR ELSE ts END, "yyyy-MM-dd'T'HH:mm:ss") || CASE WHEN user_id % 7 = 0 THEN '+07:00' ELSE 'Z' END AS t,"""
@@ -61,7 +61,7 @@ SPARK_BODY = r"""CASE WHEN doc_id % 11 = 0 THEN text ELSE regexp_replace(text, r
 
 EXTRACTION_RESPONSES = """
 WITH e AS (
-  SELECT event_id, event_id % 23 AS d, user_id % 4 AS k, user_id FROM events WHERE event_type = 'error'),
+  SELECT event_id, event_id % 23 AS d, user_id % 4 AS k, user_id, event_type FROM events),
 m AS (
   SELECT *, CASE k WHEN 0 THEN 'ERR ConnTimeout db-primary after 30s retry=' || CAST(event_id % 4 AS STRING)
       WHEN 1 THEN 'ERR PaymentDeclined txn=t' || CAST(event_id AS STRING) || ' code=51'
@@ -89,7 +89,7 @@ SELECT event_id AS case_no, message,
   '{"output":{"message":{"role":"assistant","content":[{"text":"' ||
     replace(replace(txt, '"', chr(92) || '"'), chr(10), chr(92) || 'n') ||
   '"}]}},"usage":{"inputTokens":' || CAST(800 + event_id % 30 AS STRING) || ',"outputTokens":' || CAST(40 + event_id % 25 AS STRING) ||
-  '},"metrics":{"latencyMs":' || CAST(290 + event_id % 120 AS STRING) || '}}' END AS response_json
+  '},"metrics":{"latencyMs":' || CAST(290 + event_id % 120 AS STRING) || '},"metadata":{"model_id":"model-' || event_type || '"}}' END AS response_json
 FROM f
 """
 
