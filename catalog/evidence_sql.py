@@ -3,19 +3,29 @@
 from __future__ import annotations
 
 from catalog import extraction_sql, knowledge_sql, logs_sql
-from catalog.evidence import LATER_LINES
-from catalog.logs import FILE_LINES
+from catalog.evidence import DAILY_FILE_LINES, FILE_DOCUMENTS
+from catalog.logs import LOG_PATH
 from proofline.operators.audit import WORDS_PER_PAGE
 
-_LEDGER = ("final_action", "raw_line", "record_digest", "retained_source_line", "source_line")
-_CLEAN = ("error_parameters_json", "error_type", "level", "message_raw", "service", "source_line", "timestamp_raw")
-
-
-def _row_hash(columns: tuple[str, ...]) -> str:
+_LEDGER = (
+    "file_no final_action issues normalizations raw_line record_digest retained_file_no retained_source_line source_line"
+    " source_path source_sha256"
+).split()
+_CLEAN = (
+    "error_code error_parameters_json error_type event_date_utc level message_raw path related_component request_id service"
+    " source_line source_sha256 timestamp_offset_raw timestamp_raw timestamp_utc trace_id"
+).split()
+_DAY = (
+    "daily_error_count error_count_to_median_ratio event_date_utc is_unusual_by_2x_median_rule median_error_count service_contributions"
+).split()
+_RECON = "final_action is_reconciled issue_code issue_occurrences metric_type record_count".split()
+
+
+def _row_hash(columns: list[str]) -> str:
     return f"sha256(to_json([{', '.join(f'{c}::VARCHAR' for c in columns)}])::VARCHAR)"
 
 
-def _print(name: str, columns: tuple[str, ...], source: str) -> str:
+def _print(name: str, columns: list[str], source: str) -> str:
     lanes = ", ".join(
         f"coalesce(sum(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT), 0)::VARCHAR" for i in range(4)
     )
@@ -25,10 +35,17 @@ def _print(name: str, columns: tuple[str, ...], source: str) -> str:
     )
 
 
-MANIFEST = f"""{logs_sql.CLEAN}, {logs_sql._TOP}, ranked AS ({logs_sql._service_counts("ERROR")}),
-manifest AS ({_print("ledger", _LEDGER, "resolved")} UNION ALL {_print("clean", _CLEAN, "clean")}
-UNION ALL {_print("service-error-counts", ("error_count", "rank", "service"), "ranked")}
-UNION ALL {_print("top-normalized-errors", ("error_count", "error_type", "rank", "service_contributions_json", "unclassified_error_count"), "top")})"""
+_BOOK = f"""book AS (SELECT 0 AS file_no, final_action, array_to_string(codes, ';') AS issues,
+  {logs_sql._EVIDENCE.format(type=logs_sql._TYPE)} AS normalizations, raw_line, record_digest,
+  CASE WHEN retained_source_line IS NOT NULL THEN 0 END AS retained_file_no, retained_source_line, source_line,
+  '{LOG_PATH}' AS source_path, sha256('{LOG_PATH}') AS source_sha256 FROM resolved)"""
+MANIFEST = f"""{logs_sql.RECONCILED}, {logs_sql._DAYS}, {logs_sql._TOP}, ranked AS ({logs_sql._service_counts("ERROR")}), {_BOOK},
+daily AS ({logs_sql._DAILY}),
+manifest AS ({_print("ledger", _LEDGER, "book")} UNION ALL {_print("clean", _CLEAN, "clean")}
+UNION ALL {_print("service-error-counts", ["error_count", "rank", "service"], "ranked")}
+UNION ALL {_print("daily-error-counts", _DAY, "daily")}
+UNION ALL {_print("top-normalized-errors", ["error_count", "error_type", "rank", "service_contributions_json", "unclassified_error_count"], "top")}
+UNION ALL {_print("quality-reconciliation", _RECON, "recon")})"""
 _RUN = "sha256(string_agg(artifact || ' ' || row_count || ' ' || fingerprint, chr(10) ORDER BY artifact || ' ' || row_count || ' ' || fingerprint))"
 _HASHES = """texts AS (SELECT d.doc_id, lang, source, text, quality, toxic, source || '/' || d.doc_id || '.md' AS path, sha256(text) AS sha256
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -43,10 +60,10 @@ UNION ALL SELECT 'invalid_action', count(*) FILTER (final_action NOT IN ('ACCEPT
 UNION ALL SELECT 'clean', count(*) FROM {clean}"""
 
 
-VERIFY = f"""{logs_sql.CLEAN},
-forged AS (SELECT * EXCLUDE (final_action), CASE WHEN len(list_filter(codes, lambda c: c LIKE 'LEVEL_UNKNOWN%')) > 0 THEN 'MAYBE' ELSE final_action END AS final_action FROM resolved),
+VERIFY = f"""{logs_sql.CLEAN}, {_BOOK},
+forged AS (SELECT * REPLACE (CASE WHEN contains(';' || issues, ';LEVEL_UNKNOWN|') THEN 'MAYBE' ELSE final_action END AS final_action) FROM book),
 cut AS (SELECT * FROM clean WHERE service <> 'batch-report'),
-said AS ({_print("ledger", _LEDGER, "resolved")} UNION ALL {_print("clean", _CLEAN, "clean")}),
+said AS ({_print("ledger", _LEDGER, "book")} UNION ALL {_print("clean", _CLEAN, "clean")}),
 seen AS ({_print("ledger", _LEDGER, "forged")} UNION ALL {_print("clean", _CLEAN, "cut")}),
 said_totals AS ({_totals("resolved", "clean")}), seen_totals AS ({_totals("forged", "cut")}),
 sums AS (SELECT sum(total) FILTER (name = 'input') AS i, sum(total) FILTER (name IN ('accept', 'repair', 'reject')) AS a,
@@ -60,7 +77,7 @@ checks(check_name, expected, actual) AS (
   UNION ALL SELECT 'run_id', (SELECT {_RUN} FROM said), (SELECT {_RUN} FROM seen))"""
 _TAMPERED = "CASE WHEN error_type = 'HTTP_502' THEN 'HTTP_500' ELSE error_type END"
 _FILES = f"""{logs_sql.CHECKED},
-filed AS (SELECT *, source_line // {FILE_LINES} AS block, row_number() OVER (PARTITION BY source_line // {FILE_LINES} ORDER BY source_line) AS line FROM checked),
+filed AS (SELECT *, source_line // {DAILY_FILE_LINES} AS block, row_number() OVER (PARTITION BY source_line // {DAILY_FILE_LINES} ORDER BY source_line) AS line FROM checked),
 early AS (SELECT record_digest AS d, arg_min(line, (block::VARCHAR || '/', line)) AS first_line, arg_min(block, (block::VARCHAR || '/', line)) AS first_block
   FROM filed WHERE first_action = 'ACCEPT' GROUP BY 1)"""
 _SECRETS = r"""counts AS (SELECT doc_id, lang, source,
@@ -73,6 +90,8 @@ limited AS (SELECT *, CASE WHEN max_words IS NULL THEN 'warn' WHEN words > max_w
 
 
 SQL = {
+    "source_inventory": f"""SELECT doc_id // {FILE_DOCUMENTS} AS block, sum(strlen(text) + 1)::BIGINT AS byte_size,
+sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY 1""",
     "inventory_diff": f"""WITH {_HASHES}, b AS (SELECT path, sha256 FROM texts),
 a AS (SELECT path, CASE WHEN quality = 0 THEN sha256(text || ' [redacted]') ELSE sha256 END AS sha256 FROM texts WHERE coalesce(toxic <> 1, true)
   UNION ALL SELECT 'benchmark/' || item_id || '.md', sha256(text) FROM benchmark)
@@ -81,11 +100,13 @@ WHEN a.path IS NULL THEN 'removed' WHEN a.sha256 = b.sha256 THEN 'same' ELSE 'ch
     "artifact_manifest": f"WITH {MANIFEST} SELECT * FROM manifest",
     "run_fingerprint": f"WITH {MANIFEST} SELECT {_RUN} AS run_id FROM manifest",
     "verify_manifest": f"WITH {VERIFY} SELECT *, coalesce(expected = actual, false) AS ok FROM checks",
-    "reconstruction_diff": f"""WITH {logs_sql.CLEAN},
-sides AS (SELECT source_line, {_row_hash(_CLEAN)} AS row_sha256, 1 AS n FROM clean
-  UNION ALL SELECT source_line, {_row_hash(_CLEAN)}, -1 FROM (SELECT * REPLACE ({_TAMPERED} AS error_type) FROM clean WHERE coalesce(error_type <> 'NULL_POINTER', true)))
-SELECT source_line, row_sha256, CASE WHEN sum(n) > 0 THEN 'missing' ELSE 'unexpected' END AS status, abs(sum(n))::BIGINT AS copies
-FROM sides GROUP BY source_line, row_sha256 HAVING sum(n) <> 0""",
+    "reconstruction_diff": f"""WITH {logs_sql.CLEAN}, {_BOOK},
+sides AS (SELECT 'clean' AS table_name, source_line, {_row_hash(_CLEAN)} AS row_sha256, 1 AS n FROM clean
+  UNION ALL SELECT 'clean', source_line, {_row_hash(_CLEAN)}, -1 FROM (SELECT * REPLACE ({_TAMPERED} AS error_type) FROM clean WHERE coalesce(error_type <> 'NULL_POINTER', true))
+  UNION ALL SELECT 'ledger', source_line, {_row_hash(_LEDGER)}, 1 FROM book
+  UNION ALL SELECT 'ledger', source_line, {_row_hash(_LEDGER)}, -1 FROM (SELECT * REPLACE (CASE WHEN source_line % 50 = 1 THEN substr(raw_line, 1, 20) ELSE raw_line END AS raw_line) FROM book))
+SELECT table_name, source_line, row_sha256, CASE WHEN sum(n) > 0 THEN 'missing' ELSE 'unexpected' END AS status, abs(sum(n))::BIGINT AS copies
+FROM sides GROUP BY table_name, source_line, row_sha256 HAVING sum(n) <> 0""",
     "input_binding": f"""WITH {_HASHES}, d AS (SELECT doc_id, CASE WHEN quality = 0 THEN '../' || path ELSE path END AS path,
 CASE WHEN toxic = 1 THEN substr(sha256, 1, 10) ELSE sha256 END AS sha256 FROM texts),
 live AS (SELECT path, CASE WHEN lang = 'fr' THEN sha256(lower(text)) ELSE sha256 END AS sha256 FROM texts WHERE source <> 'src0')
@@ -98,9 +119,9 @@ FROM d LEFT JOIN live ON live.path = d.path""",
     "scan_exclusions": "SELECT doc_id, source || '/' || doc_id || '.md' AS path FROM documents WHERE lang <> 'de' AND source <> 'src3'",
     "audit_summary": f"""WITH {_SECRETS}, {_LENGTHS},
 parts(check_name, pass_count, warn_count, fail_count) AS (
-  SELECT 'secrets', 0, 0, (SELECT count(*) FROM labelled WHERE matches > 0 AND lang <> 'de' AND source <> 'src3')
+  SELECT 'secrets', (SELECT count(*) FROM (SELECT doc_id FROM labelled WHERE lang <> 'de' AND source <> 'src3' GROUP BY 1 HAVING max(matches) = 0)), 0, (SELECT count(*) FROM labelled WHERE matches > 0 AND lang <> 'de' AND source <> 'src3')
   UNION ALL SELECT 'lengths', count(*) FILTER (status = 'pass'), count(*) FILTER (status = 'warn'), count(*) FILTER (status = 'fail') FROM limited
-  UNION ALL SELECT 'labels', 0, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)), 0),
+  UNION ALL SELECT 'labels', (SELECT count(*) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)), 0),
 both_levels AS (SELECT * FROM parts UNION ALL SELECT 'overall', sum(pass_count), sum(warn_count), sum(fail_count) FROM parts)
 SELECT check_name, pass_count::BIGINT AS pass_count, warn_count::BIGINT AS warn_count, fail_count::BIGINT AS fail_count,
 CASE WHEN fail_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS verdict FROM both_levels""",
@@ -109,9 +130,9 @@ CASE WHEN first_action = 'ACCEPT' AND first_line = line AND first_block = block
 CASE WHEN first_action = 'ACCEPT' THEN first_line END AS retained_source_line FROM filed LEFT JOIN early ON record_digest = d""",
     "curated_partitions": f"""WITH {logs_sql.CLEAN} SELECT event_date_utc, count(*) AS clean_rows,
 count(*) FILTER (level = 'ERROR') AS error_rows FROM clean GROUP BY 1""",
-    "cross_batch_duplicates": f"""WITH {logs_sql.CHECKED}, e AS (SELECT record_digest AS d, arg_min(source_line, (source_line > {LATER_LINES}, source_line)) AS f
+    "cross_batch_duplicates": f"""WITH {logs_sql.CHECKED}, e AS (SELECT record_digest AS d, arg_min(source_line, (source_line % 2 = 0, source_line)) AS f
   FROM checked WHERE first_action = 'ACCEPT' GROUP BY 1)
-SELECT CASE WHEN source_line > {LATER_LINES} THEN 2 ELSE 1 END AS batch, source_line,
+SELECT CASE WHEN source_line % 2 = 0 THEN 2 ELSE 1 END AS batch, source_line,
 CASE WHEN first_action = 'ACCEPT' AND f = source_line THEN 'ACCEPT' ELSE 'REJECT' END AS final_action,
 CASE WHEN first_action = 'ACCEPT' THEN f END AS retained_source_line FROM checked LEFT JOIN e ON record_digest = d""",
 }
@@ -119,13 +140,14 @@ CASE WHEN first_action = 'ACCEPT' THEN f END AS retained_source_line FROM checke
 
 def _summary() -> str:
     logs_part = f"SELECT 'logs' AS part, name AS metric, total::VARCHAR AS value FROM ({_totals('resolved', 'clean')})"
-    return f"""WITH logs_rows AS (WITH {logs_sql.CLEAN} {logs_part}),
+    return f"""WITH run_rows AS (WITH {MANIFEST} SELECT 'manifest' AS part, 'run_id' AS metric, {_RUN} AS value FROM manifest),
+logs_rows AS (WITH {logs_sql.CLEAN} {logs_part}),
 kb_rows AS (SELECT 'knowledge_base' AS part, metric, value::VARCHAR AS value FROM (UNPIVOT ({knowledge_sql.SQL["build_stats"]}) ON COLUMNS(*) INTO NAME metric VALUE value)),
 eval_rows AS (WITH {knowledge_sql.EVALUATED} SELECT 'evaluation' AS part, g AS metric, (SELECT count(*) FROM graded WHERE retrieval_hit_score = g)::VARCHAR AS value
   FROM (SELECT unnest(['pass', 'partial', 'fail']) AS g)),
 answer_rows AS (WITH {extraction_sql.COMPARED} SELECT 'extraction' AS part, 'responses' AS metric, count(*)::VARCHAR AS value FROM results
-  UNION ALL SELECT 'extraction', 'passed', (count(*) FILTER (result = 'PASS'))::VARCHAR FROM results)
-SELECT * FROM logs_rows UNION ALL SELECT * FROM kb_rows UNION ALL SELECT * FROM eval_rows UNION ALL SELECT * FROM answer_rows"""
+  UNION ALL SELECT 'extraction', 'passed', (count(*) FILTER (passed))::VARCHAR FROM results)
+SELECT * FROM run_rows UNION ALL SELECT * FROM logs_rows UNION ALL SELECT * FROM kb_rows UNION ALL SELECT * FROM eval_rows UNION ALL SELECT * FROM answer_rows"""
 
 
 SQL["run_summary"] = _summary()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from proofline.operators import analyses, ledger, validation
 from proofline.operators.duplicates import is_analytical, resolve_duplicates
+from proofline.plans import log_quality
 from proofline.session import ensure_settings, shared_folder
 from proofline.sources import lines, views
 
@@ -25,20 +26,24 @@ def checked(spark: SparkSession, folder: str) -> DataFrame:
     return validation.check_lines(line_set(spark, folder).lines)
 
 
-def ledger_frame(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger.quality_ledger(line_set(spark, folder))
+def stage_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """The checked lines, parsed once and stored."""
+    path = shared_folder(spark, "checked")
+    checked(spark, folder).write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
-def clean_frame(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger.clean_records(line_set(spark, folder))
+def published(spark: SparkSession, folder: str) -> log_quality.Published:
+    """Ledger and clean records of one run that parses every line once."""
+    return log_quality.publish(line_set(spark, folder), shared_folder(spark, "published"))
 
 
-def stage_log_files(spark: SparkSession, folder: str) -> str:
-    """Write the log as text files of ``FILE_LINES`` consecutive source lines each."""
+def stage_log_files(spark: SparkSession, folder: str, file_lines: int = FILE_LINES) -> str:
+    """Write the log as text files of ``file_lines`` consecutive source lines each."""
     ensure_settings(spark)
     path = shared_folder(spark, "log-files")
     rows = views.raw_log_lines(spark, folder).withColumn(
-        "block", F.floor(F.col("source_line") / FILE_LINES)
+        "block", F.floor(F.col("source_line") / file_lines)
     )
     (
         rows.repartition("block")
@@ -54,7 +59,7 @@ def _block(path: Column) -> Column:
     return F.regexp_extract(path, "block=([0-9]+)", 1).cast("long")
 
 
-def _issue_text(issues: str = "issues") -> Column:
+def issue_text(issues: str = "issues") -> Column:
     blank = lambda c: F.coalesce(c, F.lit(""))
     return F.array_join(
         F.transform(
@@ -72,7 +77,7 @@ def _issue_text(issues: str = "issues") -> Column:
     )
 
 
-def _normalization_text() -> Column:
+def normalization_text() -> Column:
     return F.array_join(
         F.transform(
             "normalizations",
@@ -82,10 +87,16 @@ def _normalization_text() -> Column:
     )
 
 
-def _instant_text(name: str) -> Column:
+def instant_text(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
 
 
+def shown(result: DataFrame) -> DataFrame:
+    """A result with days as text and fractions rounded, so that any engine writes the same."""
+    kinds = {"double": lambda c: F.round(c, 6), "date": lambda c: F.col(c).cast("string")}
+    return result.withColumns({c: kinds[kind](c) for c, kind in result.dtypes if kind in kinds})
+
+
 # ---------------------------------------------------------------- L
 
 
@@ -107,14 +118,23 @@ def line_size_guard(spark, folder):
 
 
 def utf8_check(spark, folder):
-    """Documents as another program might have saved them: in Latin-1 instead of UTF-8."""
+    """Documents as lines another program saved in Latin-1 instead of UTF-8, checked like any log line."""
     ensure_settings(spark)
     latin = F.encode(F.regexp_replace("text", r"[^\x00-\xff]", "?"), "ISO-8859-1").cast("string")
     rows = views.table(spark, folder, "documents").select("doc_id", latin.alias("value"))
-    return rows.select(
-        "doc_id",
+    found = rows.select(
+        F.lit(0).cast("long").alias("file_no"),
+        F.col("doc_id").alias("source_line"),
+        F.col("doc_id").alias("line_seq"),
+        F.make_valid_utf8("value").alias("raw_line"),
+        (F.octet_length("value") + 1).cast("long").alias("byte_length"),
         F.is_valid_utf8("value").alias("text_valid"),
-        F.when(~F.is_valid_utf8("value"), F.lit("TEXT_INVALID_UTF8")).alias("guard_code"),
+    )
+    return validation.check_lines(found).select(
+        F.col("source_line").alias("doc_id"),
+        F.get("issues", F.lit(0))["issue_code"].alias("issue_code"),
+        F.size("issues").cast("long").alias("issues"),
+        F.col("first_action").alias("final_action"),
     )
 
 
@@ -144,7 +164,7 @@ def _issues_of(*codes: str):
 
 
 def issue_catalog(spark, folder):
-    found = ledger_frame(spark, folder).select(F.explode("issues.issue_code").alias("issue_code"))
+    found = published(spark, folder).ledger.select(F.explode("issues.issue_code").alias("issue_code"))
     counts = found.groupBy("issue_code").agg(F.count(F.lit(1)).alias("n"))
     return (
         validation.issue_catalog(spark)
@@ -158,7 +178,7 @@ def final_action(spark, folder):
 
 
 def exact_duplicates(spark, folder):
-    return resolve_duplicates(checked(spark, folder)).select(
+    return resolve_duplicates(stage_checked(spark, folder)).select(
         "source_line", "record_digest", "final_action", "retained_source_line"
     )
 
@@ -170,7 +190,7 @@ def _analytical(spark, folder):
 def normalize_timestamps(spark, folder):
     return ledger.normalize_timestamps(_analytical(spark, folder)).select(
         "source_line",
-        _instant_text("timestamp_utc"),
+        instant_text("timestamp_utc"),
         F.col("event_date_utc").cast("string").alias("event_date_utc"),
         "timestamp_offset_raw",
     )
@@ -189,107 +209,103 @@ def message_parameters(spark, folder):
 
 
 def normalization_evidence(spark, folder):
-    return ledger_frame(spark, folder).select("source_line", _normalization_text().alias("evidence"))
+    return published(spark, folder).ledger.select("source_line", normalization_text().alias("evidence"))
 
 
 def clean_records(spark, folder):
-    return clean_frame(spark, folder).withColumns(
+    return ledger.clean_records(line_set(spark, folder)).withColumns(
         {
-            "timestamp_utc": _instant_text("timestamp_utc"),
+            "timestamp_utc": instant_text("timestamp_utc"),
             "event_date_utc": F.col("event_date_utc").cast("string"),
         }
     )
 
 
 def quality_ledger(spark, folder):
-    return ledger_frame(spark, folder).select(
+    return published(spark, folder).ledger.select(
         "source_path",
         "source_sha256",
         "source_line",
         "record_digest",
         "raw_line",
-        _issue_text().alias("issues"),
-        _normalization_text().alias("normalizations"),
+        issue_text().alias("issues"),
+        normalization_text().alias("normalizations"),
         "final_action",
         "retained_source_line",
     )
 
 
 def row_conservation(spark, folder):
-    return ledger.row_conservation(ledger_frame(spark, folder), clean_frame(spark, folder))
+    run = published(spark, folder)
+    return ledger.row_conservation(run.ledger, run.clean)
 
 
 def trace_line(spark, folder):
-    traced = ledger.traced_lines(ledger_frame(spark, folder), clean_frame(spark, folder))
-    return traced.select(
+    """One request per event, for the line after its own: analytical, rejected, or outside the log."""
+    run = published(spark, folder)
+    requests = views.table(spark, folder, "events").select(
+        F.lit(0).cast("long").alias("file_no"), (F.col("event_id") * 2 + F.col("event_id") % 3).alias("source_line")
+    )
+    return ledger.trace_requests(requests, run.ledger, run.clean).select(
         "source_line",
+        "status",
         "final_action",
         "retained_source_line",
         "service",
         "level",
         "error_type",
-        _instant_text("timestamp_utc"),
+        instant_text("timestamp_utc"),
         "service_error_count",
     )
 
 
 def schema_contract(spark, folder):
-    return ledger.schema_contract(clean_frame(spark, folder))
+    return ledger.schema_contract(published(spark, folder).clean)
 
 
 # ---------------------------------------------------------------- A
 
 
 def service_counts_by_level(spark, folder):
-    return analyses.service_error_counts(clean_frame(spark, folder), "WARN")
+    return analyses.service_error_counts(ledger.clean_records(line_set(spark, folder)), "WARN")
 
 
 def service_error_counts(spark, folder):
-    return analyses.service_error_counts(clean_frame(spark, folder))
+    return analyses.service_error_counts(ledger.clean_records(line_set(spark, folder)))
 
 
 def daily_error_counts(spark, folder):
-    result = analyses.daily_error_counts(clean_frame(spark, folder))
-    return result.withColumns(
-        {
-            "event_date_utc": F.col("event_date_utc").cast("string"),
-            "error_count_to_median_ratio": F.round("error_count_to_median_ratio", 6),
-        }
-    )
+    return shown(analyses.daily_error_counts(published(spark, folder).clean))
 
 
 def top_error_types(spark, folder):
-    return analyses.top_error_types(clean_frame(spark, folder))
+    return analyses.top_error_types(published(spark, folder).clean)
 
 
 def quality_reconciliation(spark, folder):
-    return analyses.quality_reconciliation(ledger_frame(spark, folder), clean_frame(spark, folder))
+    run = published(spark, folder)
+    return analyses.quality_reconciliation(run.ledger, run.clean)
 
 
 def unclassified_rate(spark, folder):
-    return analyses.unclassified_rate(clean_frame(spark, folder)).withColumns(
+    return analyses.unclassified_rate(published(spark, folder).clean).withColumns(
         {name: F.round(name, 6) for name in ("share_of_rows", "share_of_errors")}
     )
 
 
 def report_facts(spark, folder):
-    return analyses.report_facts(ledger_frame(spark, folder), clean_frame(spark, folder))
+    run = published(spark, folder)
+    return analyses.report_facts(run.ledger, run.clean)
 
 
 def run_analysis(spark, folder):
-    """Every registered analysis by id, as ``(analysis_id, row_json)``."""
-    book, clean = ledger_frame(spark, folder), clean_frame(spark, folder)
+    """Every registered analysis by id, as ``(analysis_id, row_text)`` with all columns of its rows."""
+    run = published(spark, folder)
     parts = []
     for analysis_id in analyses.ANALYSES:
-        result = analyses.run_analysis(analysis_id, book, clean)
-        parts.append(
-            result.select(
-                F.lit(analysis_id).alias("analysis_id"),
-                F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in result.columns[:3]]).alias(
-                    "row_text"
-                ),
-            )
-        )
+        result = shown(analyses.run_analysis(analysis_id, run.ledger, run.clean))
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in result.columns]
+        parts.append(result.select(F.lit(analysis_id).alias("analysis_id"), F.concat_ws("|", *cells).alias("row_text")))
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)

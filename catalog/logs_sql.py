@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 from catalog.logs import FILE_LINES, GUARD_BYTES, LOG_PATH
-from proofline.operators.validation import ISSUE_CATALOG
-from proofline.schemas import CLEAN_CONTRACT
 from proofline.sources import views
-from proofline.sources.lines import DEFAULT_MAX_LINE_BYTES
 
 _TIMESTAMP = (
     "strftime(CASE WHEN user_id % 7 = 0 THEN ts + INTERVAL '7' HOUR ELSE ts END, '%Y-%m-%dT%H:%M:%S')"
@@ -122,10 +119,21 @@ SELECT source_line, split_part(code, '|', 1) AS issue_code, nullif(split_part(co
   nullif(split_part(code, '|', 3), '') AS original_value FROM one WHERE split_part(code, '|', 1) IN ({wanted})"""
 
 
-_CATALOG_ROWS = ", ".join(
-    f"('{code}', '{action}', '{reason.format(limit=DEFAULT_MAX_LINE_BYTES) if code != 'LINE_TOO_LARGE' else reason}')"
-    for code, (action, reason) in ISSUE_CATALOG.items()
-)
+_CATALOG_ROWS = """
+('LINE_TOO_LARGE', 'REJECT', 'physical line exceeds the {limit}-byte parsing limit'),
+('TEXT_INVALID_UTF8', 'REJECT', 'physical line is not valid UTF-8 and cannot be parsed as JSON text'),
+('JSON_MALFORMED', 'REJECT', 'physical line is not valid JSON'),
+('JSON_NOT_OBJECT', 'REJECT', 'JSON value must be an object representing one log record'),
+('REQUIRED_FIELD_MISSING', 'REJECT', 'required analytical field is missing'),
+('REQUIRED_FIELD_TYPE', 'REJECT', 'required analytical field must be a string'),
+('REQUIRED_FIELD_EMPTY', 'REJECT', 'required analytical field must not be empty'),
+('TIMESTAMP_INVALID', 'REJECT', 'timestamp is not ISO 8601'),
+('TIMESTAMP_OFFSET_MISSING', 'REJECT', 'timestamp must include a UTC offset or Z suffix'),
+('LEVEL_UNKNOWN', 'REJECT', 'level must be one of INFO, WARN, or ERROR for this fixed POC'),
+('TRACE_ID_TYPE', 'REJECT', 'optional trace_id must be a non-empty string'),
+('UNEXPECTED_FIELD', 'ACCEPT', 'unexpected field is retained in raw provenance but ignored analytically'),
+('EXACT_DUPLICATE', 'REJECT', 'canonical full-record digest was first retained at an earlier source line'),
+('SYNTHETIC_REPAIR', 'REPAIR', 'synthetic test-only example of a lossless, unambiguous, mechanically provable repair')"""
 _ISSUE_COUNTS = """issue_counts AS (SELECT split_part(c, '|', 1) AS issue_code,
   CASE WHEN c LIKE '%|ACCEPT' THEN 'ACCEPT' ELSE 'REJECT' END AS final_action,
   count(DISTINCT source_line) AS record_count, count(*) AS issue_occurrences
@@ -166,12 +174,16 @@ top AS (SELECT row_number() OVER (ORDER BY error_count DESC, error_type) AS rank
   coalesce((SELECT error_count FROM sums WHERE error_type = 'UNCLASSIFIED_ERROR'), 0) AS unclassified_error_count
   FROM sums JOIN per USING (error_type) ORDER BY error_count DESC, error_type LIMIT 3)"""
 
+# Name, type, and whether it may be null, of every clean column.
+_CONTRACT_COLUMNS = """source_line bigint not null; source_sha256 string not null; timestamp_raw string not null;
+timestamp_utc timestamp not null; event_date_utc date not null; timestamp_offset_raw string not null; service string not null;
+level string not null; message_raw string not null; request_id string not null; trace_id string null; error_type string null;
+error_code string null; related_component string null; path string null; error_parameters_json string not null"""
 _CONTRACT = " UNION ALL ".join(
-    f"SELECT {i + 1}::BIGINT AS position, '{c.name}' AS column_name, '{c.data_type.simpleString()}' AS declared_type,"
-    f" '{c.data_type.simpleString()}' AS actual_type, {str(c.nullable).lower()} AS nullable,"
-    f" count(*) FILTER ({c.name} IS NULL) AS null_count,"
-    f" {str(c.nullable).lower()} OR count(*) FILTER ({c.name} IS NULL) = 0 AS holds FROM clean"
-    for i, c in enumerate(CLEAN_CONTRACT)
+    f"SELECT {i + 1}::BIGINT AS position, '{name}' AS column_name, '{kind}' AS declared_type, '{kind}' AS actual_type,"
+    f" {'false' if rest[0] == 'not' else 'true'} AS nullable, count(*) FILTER ({name} IS NULL) AS null_count,"
+    f" {'count(*) FILTER (' + name + ' IS NULL) = 0' if rest[0] == 'not' else 'true'} AS holds FROM clean"
+    for i, (name, kind, *rest) in enumerate(column.split() for column in _CONTRACT_COLUMNS.split(";"))
 )
 _DAILY = f"""SELECT event_date_utc, daily_error_count, median_error_count, round(ratio, 6) AS error_count_to_median_ratio,
 is_unusual_by_2x_median_rule, service_contributions FROM days"""
@@ -185,8 +197,8 @@ strlen(raw_line) + 1 AS byte_length FROM rl""",
 sha256(string_agg(raw_line || chr(10), '' ORDER BY source_line)) AS source_sha256 FROM rl GROUP BY 1""",
     "line_size_guard": f"""WITH {RAW} SELECT source_line, strlen(raw_line) + 1 AS byte_length,
 CASE WHEN strlen(raw_line) + 1 > {GUARD_BYTES} THEN 'LINE_TOO_LARGE' END AS guard_code FROM rl""",
-    "utf8_check": r"""SELECT doc_id, NOT regexp_matches(text, '[\x{80}-\x{ff}]') AS text_valid,
-CASE WHEN regexp_matches(text, '[\x{80}-\x{ff}]') THEN 'TEXT_INVALID_UTF8' END AS guard_code FROM documents""",
+    "utf8_check": r"""SELECT doc_id, CASE WHEN regexp_matches(text, '[\x{80}-\x{ff}]') THEN 'TEXT_INVALID_UTF8' ELSE 'JSON_MALFORMED' END AS issue_code,
+1::BIGINT AS issues, 'REJECT' AS final_action FROM documents""",
     "parse_json_object": f"""WITH {PARSED} SELECT source_line, json_status,
 concat_ws(',', {", ".join(f"{f}_kind" for f in _FIELDS)}) AS kinds,
 coalesce(array_to_string({_EXTRA}, ','), '') AS extra_keys FROM parsed""",
@@ -214,8 +226,11 @@ final_action, retained_source_line FROM resolved""",
     "row_conservation": f"""WITH {CLEAN}, t AS (SELECT count(*) AS input_lines, count(*) FILTER (final_action = 'ACCEPT') AS accept_lines,
 0::BIGINT AS repair_lines, count(*) FILTER (final_action = 'REJECT') AS reject_lines, (SELECT count(*) FROM clean) AS clean_rows FROM resolved)
 SELECT *, input_lines = accept_lines + reject_lines AS input_equals_actions, accept_lines = clean_rows AS analytical_equals_clean FROM t""",
-    "trace_line": f"""WITH {CLEAN} SELECT source_line, 'ACCEPT' AS final_action, source_line AS retained_source_line, service, level,
-error_type, timestamp_utc, CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END::BIGINT AS service_error_count FROM clean""",
+    "trace_line": f"""WITH {CLEAN}, rq AS (SELECT event_id * 2 + event_id % 3 AS source_line FROM events)
+SELECT rq.source_line, CASE WHEN r.final_action IS NULL THEN 'outside' WHEN r.final_action = 'ACCEPT' THEN 'traced' ELSE 'rejected' END AS status,
+r.final_action, r.retained_source_line, c.service, c.level, c.error_type, c.timestamp_utc,
+CASE WHEN r.final_action = 'ACCEPT' THEN (c.level = 'ERROR')::BIGINT END AS service_error_count
+FROM rq LEFT JOIN resolved r ON r.source_line = rq.source_line LEFT JOIN clean c ON c.source_line = rq.source_line""",
     "schema_contract": f"WITH {CLEAN} {_CONTRACT}",
     "service_counts_by_level": f"WITH {CLEAN} {_service_counts('WARN')}",
     "service_error_counts": f"WITH {CLEAN} {_service_counts('ERROR')}",
@@ -235,8 +250,8 @@ UNION ALL SELECT 'unclassified', 'UNCLASSIFIED_ERROR', unclassified_error_count:
 UNION ALL SELECT 'quality', concat_ws('/', metric_type, issue_code, final_action),
   concat_ws(' ', record_count::VARCHAR, issue_occurrences::VARCHAR) FROM recon""",
     "run_analysis": f"""WITH {RECONCILED}, {_DAYS}, {_TOP}, ranked AS ({_service_counts("ERROR")})
-SELECT 'service-error-counts' AS analysis_id, rank || '|' || service || '|' || error_count AS row_text FROM ranked
-UNION ALL SELECT 'daily-error-counts', event_date_utc || '|' || daily_error_count || '|' || median_error_count::DOUBLE::VARCHAR FROM days
-UNION ALL SELECT 'top-normalized-errors', rank || '|' || error_type || '|' || error_count FROM top
-UNION ALL SELECT 'quality-reconciliation', metric_type || '|' || coalesce(issue_code, '') || '|' || final_action FROM recon""",
+SELECT 'service-error-counts' AS analysis_id, coalesce(rank::VARCHAR, '') || '|' || coalesce(service::VARCHAR, '') || '|' || coalesce(error_count::VARCHAR, '') AS row_text FROM ranked
+UNION ALL SELECT 'daily-error-counts', coalesce(event_date_utc::VARCHAR, '') || '|' || coalesce(daily_error_count::VARCHAR, '') || '|' || coalesce(median_error_count::VARCHAR, '') || '|' || coalesce(round(ratio, 6)::VARCHAR, '') || '|' || coalesce(is_unusual_by_2x_median_rule::VARCHAR, '') || '|' || coalesce(service_contributions::VARCHAR, '') FROM days
+UNION ALL SELECT 'top-normalized-errors', coalesce(rank::VARCHAR, '') || '|' || coalesce(error_type::VARCHAR, '') || '|' || coalesce(error_count::VARCHAR, '') || '|' || coalesce(service_contributions_json::VARCHAR, '') || '|' || coalesce(unclassified_error_count::VARCHAR, '') FROM top
+UNION ALL SELECT 'quality-reconciliation', coalesce(metric_type::VARCHAR, '') || '|' || coalesce(issue_code::VARCHAR, '') || '|' || coalesce(final_action::VARCHAR, '') || '|' || coalesce(record_count::VARCHAR, '') || '|' || coalesce(issue_occurrences::VARCHAR, '') || '|' || coalesce(is_reconciled::VARCHAR, '') FROM recon""",
 }

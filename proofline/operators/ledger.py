@@ -182,6 +182,21 @@ def traced_lines(ledger: DataFrame, clean: DataFrame) -> DataFrame:
     ).withColumn("service_error_count", (F.col("level") == "ERROR").cast("long"))
 
 
+def trace_requests(requests: DataFrame, ledger: DataFrame, clean: DataFrame) -> DataFrame:
+    """Answer every row ``file_no, source_line``: ``traced`` with its records, ``rejected`` or ``outside``."""
+    entries = ledger.select("file_no", "source_line", "source_sha256", "final_action", "retained_source_line")
+    found = requests.join(entries, ["file_no", "source_line"], "left")
+    record = clean.select("source_line", "source_sha256", "service", "level", "timestamp_utc", "error_type")
+    status = F.when(F.col("final_action").isNull(), F.lit("outside")).when(
+        is_analytical(F.col("final_action")), F.lit("traced")
+    )
+    return (
+        found.withColumn("status", status.otherwise(F.lit("rejected")))
+        .join(record, ["source_sha256", "source_line"], "left")
+        .withColumn("service_error_count", F.when(F.col("status") == "traced", (F.col("level") == "ERROR").cast("long")))
+    )
+
+
 def schema_contract(frame: DataFrame, contract: tuple[ContractColumn, ...] = CLEAN_CONTRACT) -> DataFrame:
     """One row per contract column: declared and actual type, NULLs found, and whether it holds."""
     actual = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
