@@ -30,24 +30,27 @@ def index(spark: SparkSession, folder: str) -> search.SearchIndex:
 
 
 def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
-    """Per benchmark text: its first two words, its second word, its first three words, a blank."""
+    """Per benchmark text: the whole text, its second word, a blank, and every three words in a row."""
     words = F.split("text", r"\s+")
-    texts = [
-        F.array_join(F.slice(words, 1, 2), " "),
-        F.get(words, F.lit(1)),
-        F.concat(F.lit('"'), F.array_join(F.slice(words, 1, 3), " "), F.lit('" *')),
-        F.lit("   "),
-    ]
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('" *'))
+    starts = F.when(F.size(words) >= 3, F.sequence(F.lit(1), F.size(words) - 2)).otherwise(F.array())
+    triples = F.transform(starts, lambda s: quoted(F.array_join(F.slice(words, s, F.lit(3)), " ")))
+    texts = F.concat(F.array(quoted(F.col("text")), F.get(words, F.lit(1)), F.lit("   ")), triples)
     return (
         views.table(spark, folder, "benchmark")
-        .select("item_id", F.posexplode(F.array(*texts)).alias("variant", "query_text"))
-        .select((F.col("item_id") * 4 + F.col("variant")).alias("query_id"), "query_text")
+        .select("item_id", F.posexplode(texts).alias("variant", "query_text"))
+        .select((F.col("item_id") * 100_000 + F.col("variant")).alias("query_id"), "query_text")
     )
 
 
 def cases(spark: SparkSession, folder: str) -> DataFrame:
-    """One case per document: words two to five of its text, expected in its first section."""
+    """One case per document: four words from anywhere in its text, expected in its first section.
+
+    Every third case has words from the text's start.
+    """
     words = F.split("text", r"\s+")
+    anywhere = F.col("doc_id") * 7 % F.greatest(F.size(words) - 4, F.lit(1)) + 2
+    start = F.when(F.col("doc_id") % 3 == 0, F.lit(2)).otherwise(anywhere).cast("int")
     kind = F.col("doc_id") % 10
     family = F.concat(F.lit("DOC-"), F.floor(F.col("doc_id") / 2).cast("string"))
     section = F.when(F.col("doc_id") % 11 == 0, F.lit("(full document)")).otherwise(F.get(words, F.lit(0)))
@@ -59,7 +62,7 @@ def cases(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind >= 6, "multi_source")
         .otherwise("direct_lookup")
     )
-    phrase = F.array_join(F.slice(words, 2, 4), " ")
+    phrase = F.array_join(F.slice(words, start, F.lit(4)), " ")
     return views.table(spark, folder, "documents").select(
         F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("case_id"),
         F.concat(F.lit("Where is: "), phrase).alias("question"),
@@ -71,8 +74,8 @@ def cases(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.array(own))
         .alias("expected_sources"),
         F.when(kind == 9, F.array().cast("array<string>"))
-        .when(kind == 7, F.concat(F.slice(words, 2, 1), F.array(F.lit("zzqx"))))
-        .otherwise(F.slice(words, 2, 2))
+        .when(kind == 7, F.concat(F.slice(words, start, F.lit(1)), F.array(F.lit("zzqx"))))
+        .otherwise(F.slice(words, start, F.lit(2)))
         .alias("expected_answer_keywords"),
     )
 
@@ -89,12 +92,9 @@ def document_inventory(spark, folder):
 
 
 def header_metadata(spark, folder):
-    """Metadata from the third line of each document, the header line by construction."""
-    ensure_settings(spark)
-    rows = views.kb_markdown(spark, folder).select(
-        "doc_id", F.get(F.split("md_text", "\n"), F.lit(2)).alias("line")
-    )
-    return documents.header_metadata(rows, "line").drop("line")
+    """Metadata from the header line that is found in each whole document."""
+    columns = ("version", "effective_date", "department", "approver", "supersedes_previous")
+    return inventory(spark, folder).select("source_path", *columns)
 
 
 def chunk_sections(spark, folder):

@@ -67,9 +67,9 @@ hits AS (SELECT query_id, phrase.search_mode, rank, chunk_id, bm25_score FROM ph
   JOIN ranked ON array_to_string(terms, ' ') = ranked.phrase AND phrase.search_mode = ranked.search_mode)
 """
 _WORDS = r"regexp_split_to_array(text, '\s+')"
-_ASKED = f"""asked AS (SELECT item_id * 4 + v AS query_id, '{{mode}}' AS search_mode,
-  CASE v WHEN 0 THEN array_to_string(w[1:2], ' ') WHEN 1 THEN w[2] WHEN 2 THEN '"' || array_to_string(w[1:3], ' ') || '" *' ELSE '   ' END AS query_text
-  FROM (SELECT item_id, {_WORDS} AS w, unnest([0, 1, 2, 3]) AS v FROM benchmark))"""
+_ASKED = f"""asked AS (SELECT item_id * 100000 + v AS query_id, '{{mode}}' AS search_mode,
+  CASE v WHEN 0 THEN '"' || text || '" *' WHEN 1 THEN w[2] WHEN 2 THEN '   ' ELSE '"' || array_to_string(w[v - 2:v], ' ') || '" *' END AS query_text
+  FROM (SELECT item_id, text, w, unnest(range(0, greatest(len(w) + 1, 3))) AS v FROM (SELECT item_id, text, {_WORDS} AS w FROM benchmark)))"""
 
 
 def _benchmark(mode: str) -> str:
@@ -80,12 +80,13 @@ _HITS = """SELECT query_id, rank, chunk_id, doc_id, section, version, is_current
 FROM hits JOIN chunks USING (chunk_id) WHERE rank <= {k}"""
 CASES = f"""cases AS (SELECT 'C' || doc_id AS case_id, doc_id % 10 AS kind,
   CASE WHEN doc_id % 10 = 9 THEN 'out_of_scope' WHEN doc_id % 10 = 8 THEN 'version_trap' WHEN doc_id % 10 >= 6 THEN 'multi_source' ELSE 'direct_lookup' END AS question_type,
-  array_to_string(w[2:5], ' ') || CASE WHEN doc_id % 10 = 9 THEN ' zzqx' ELSE '' END AS query_terms,
+  array_to_string(w[s:s + 3], ' ') || CASE WHEN doc_id % 10 = 9 THEN ' zzqx' ELSE '' END AS query_terms,
   CASE WHEN doc_id % 4 = 0 THEN 'all' ELSE 'current' END AS search_mode,
   'DOC-' || (doc_id // 2) AS family, CASE WHEN doc_id % 11 = 0 THEN '(full document)' ELSE w[1] END AS section,
   CASE WHEN doc_id % 10 = 9 THEN 0 WHEN doc_id % 10 IN (6, 7) THEN 2 ELSE 1 END AS expected,
-  CASE doc_id % 10 WHEN 9 THEN []::VARCHAR[] WHEN 7 THEN list_concat(w[2:2], ['zzqx']) ELSE w[2:3] END AS keywords
-  FROM (SELECT *, {_WORDS} AS w FROM documents)),
+  CASE doc_id % 10 WHEN 9 THEN []::VARCHAR[] WHEN 7 THEN list_concat(w[s:s], ['zzqx']) ELSE w[s:s + 1] END AS keywords
+  FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN 2 ELSE doc_id * 7 % greatest(len(w) - 4, 1) + 2 END AS s
+    FROM (SELECT *, {_WORDS} AS w FROM documents))),
 asked AS (SELECT case_id AS query_id, search_mode, query_terms AS query_text FROM cases)"""
 
 
@@ -114,7 +115,7 @@ _SEEN = "(kind = 8 AND list_contains(seen, family || '/{v}'))"
 SQL = {
     "document_inventory": f"""WITH {DOCS} SELECT source_path, sha256, doc_id, filename_version_hint, version, effective_date, department,
 approver, supersedes_previous FROM docs""",
-    "header_metadata": f"""WITH {DOCS} SELECT number AS doc_id, version, effective_date, department, approver, supersedes_previous FROM docs""",
+    "header_metadata": f"""WITH {DOCS} SELECT source_path, version, effective_date, department, approver, supersedes_previous FROM docs""",
     "chunk_sections": f"WITH {CHUNKS} SELECT source_path, section, chunk_index, content FROM chunks",
     "chunk_identity": f"WITH {CHUNKS} SELECT source_path, chunk_id, sha256(content) AS content_hash FROM chunks",
     "resolve_versions": f"WITH {DOCS} SELECT source_path, doc_id, is_current FROM best",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from proofline.session import shared_folder
 
 DEFAULT_MAX_LINE_BYTES = 1_048_576
-# Bits of ``line_seq`` below the file number: 68 billion lines per file, 134 million files.
+# Bits of ``line_seq`` below the file number: 68 billion lines per file, 134 million files.  A line beyond
+# either is an error; larger inputs are cut into files.
 LINE_BITS = 36
 
 
@@ -31,7 +33,10 @@ class LineSet:
 
 
 def line_seq(file_no: Column, source_line: Column) -> Column:
-    return F.shiftleft(file_no.cast("long"), LINE_BITS) + source_line
+    fits = source_line.between(0, (1 << LINE_BITS) - 1) & file_no.between(0, (1 << (63 - LINE_BITS)) - 1)
+    return F.when(fits, F.shiftleft(file_no.cast("long"), LINE_BITS) + source_line).otherwise(
+        F.raise_error(F.lit("a line number does not fit")).cast("long")
+    )
 
 
 def seq_line(seq: Column) -> Column:
@@ -121,38 +126,53 @@ def number_lines(scan: DataFrame, splits: DataFrame | None = None) -> DataFrame:
 
 
 def file_fingerprints(
-    spark: SparkSession, path: str, pattern: str = "*", inline_bytes: int = 64 << 20
+    spark: SparkSession, path: str | list[str], pattern: str = "*", inline_bytes: int = 64 << 20
 ) -> DataFrame:
-    """``source_path, byte_size, source_sha256`` of every file below ``path``.
+    """``source_path, byte_size, source_sha256`` of every file below ``path``, or of the files of a list.
 
-    Small files are hashed by Spark from their content.  A larger file is read block by block in
-    one task per file: memory stays at one block whatever the size.
+    Paths are URIs as a text scan reports them, so both sides join without decoding; a list holds such
+    URIs.  Small files are hashed by Spark from their content.  A larger file is read block by block in
+    one task per file: memory stays at one block whatever the size; its store must be one that pyarrow opens.
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
-    found = spark.read.format("binaryFile").options(**options).load(path)
+    # Spark takes a path with ``%`` literally; names a scan reported are decoded first.
+    paths = path if isinstance(path, str) else [unquote(p) for p in path]
+    found = spark.read.format("binaryFile").options(**options).load(paths).select(
+        F.col("_metadata.file_path").alias("source_path"), "length", "content"
+    )
     small = found.filter(F.col("length") <= inline_bytes).select(
-        F.col("path").alias("source_path"),
+        "source_path",
         F.col("length").alias("byte_size"),
         F.sha2("content", 256).alias("source_sha256"),
     )
     large = (
         found.filter(F.col("length") > inline_bytes)
-        .select(F.col("path").alias("source_path"), F.col("length").alias("byte_size"))
+        .select("source_path", F.col("length").alias("byte_size"))
         .repartition("source_path")
         .mapInArrow(_stream_digests, "source_path string, byte_size long, source_sha256 string")
     )
     return small.unionByName(large)
 
 
+def with_digests(files: DataFrame, digests: DataFrame) -> DataFrame:
+    """``files`` with ``source_sha256``; a file without a digest is an error, not a null."""
+    joined = files.join(digests.select("source_path", "source_sha256"), "source_path", "left")
+    missing = F.raise_error(F.concat(F.lit("no digest of "), "source_path"))
+    return joined.select(*files.columns, F.coalesce("source_sha256", missing).alias("source_sha256"))
+
+
 def _stream_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import hashlib
+    import string
+    from urllib.parse import quote
 
     from pyarrow import fs
 
     for batch in batches:
         digests = []
         for uri in batch.column(0).to_pylist():
-            system, name = fs.FileSystem.from_uri(uri)
+            # Spark leaves other letters in the URI, which pyarrow wants encoded, too.
+            system, name = fs.FileSystem.from_uri(quote(uri, safe=string.printable))
             digest = hashlib.sha256()
             with system.open_input_stream(name) as stream:
                 while block := stream.read(1 << 20):
@@ -170,19 +190,8 @@ def read_lines(spark: SparkSession, path: str, fingerprints: DataFrame | None =
     splits = stage_splits(scan)
     lines = number_lines(scan, splits)
     digests = file_fingerprints(spark, path) if fingerprints is None else fingerprints
-    # The scan reports paths as URIs, the file listing may use the short form of the same scheme.
-    plain = lambda c: F.regexp_replace(c, r"^file:/+", "/")
-    files = (
-        scanned_files(splits)
-        .withColumn("join_path", plain(F.col("source_path")))
-        .join(
-            digests.select(plain(F.col("source_path")).alias("join_path"), "source_sha256"),
-            "join_path",
-            "left",
-        )
-        .select("file_no", "source_path", "source_sha256", "line_count")
-    )
-    return LineSet(lines.drop("source_path"), files)
+    files = with_digests(scanned_files(splits), digests)
+    return LineSet(lines.drop("source_path"), files.select("file_no", "source_path", "source_sha256", "line_count"))
 
 
 def from_table(lines: DataFrame, source_path: str) -> LineSet:
@@ -196,7 +205,7 @@ def from_table(lines: DataFrame, source_path: str) -> LineSet:
     rows = lines.select(
         F.lit(0).cast("long").alias("file_no"),
         F.col("source_line").cast("long").alias("source_line"),
-        F.col("source_line").cast("long").alias("line_seq"),
+        line_seq(F.lit(0).cast("long"), F.col("source_line").cast("long")).alias("line_seq"),
         "raw_line",
         (F.octet_length("raw_line") + 1).cast("long").alias("byte_length"),
         F.lit(True).alias("text_valid"),

@@ -21,10 +21,12 @@ from proofline.operators.validation import check_lines
 from proofline.schemas import LEDGER_SCHEMA
 from proofline.sources.lines import (
     DEFAULT_MAX_LINE_BYTES,
+    file_fingerprints,
     number_lines,
     scan_text,
     scanned_files,
     stage_splits,
+    with_digests,
 )
 
 _DIGEST_SCHEMA = "record_digest string, retained_seq long, batch_id long"
@@ -54,14 +56,21 @@ def run_available(
     """Process everything new in ``incoming`` and stop; returns the number of batches run."""
     # A new source remembers its files in the checkpoint, so every run starts where the last ended.
     stream = scan_text(spark, incoming, streaming=True, max_files=max_files_per_batch)
+    done = []
+
+    def process(batch: DataFrame, number: int) -> None:
+        ingest_batch(batch, number, tables, max_line_bytes, taxonomy)
+        done.append(number)
+
     query = (
         stream.writeStream.option("checkpointLocation", tables.path("checkpoint"))
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, number: ingest_batch(batch, number, tables, max_line_bytes, taxonomy))
+        .foreachBatch(process)
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    # The query's own progress reports are a bounded list; a batch replayed after a failure counts once.
+    return len(set(done))
 
 
 def ingest_batch(
@@ -77,10 +86,10 @@ def ingest_batch(
     splits = stage_splits(scanned)
     number = F.col("file_no") + F.lit(_files_before(spark, tables, batch_id))
     splits = splits.withColumn("file_no", number)
-    files = scanned_files(splits).withColumn(
-        # The digest of a whole file is the inventory's business; here the path identifies it.
-        "source_sha256", F.sha2("source_path", 256)
-    )
+    # The names of a batch's files are a list the source itself keeps on the driver.
+    named = scanned_files(splits)
+    names = [r["source_path"] for r in named.select("source_path").collect()]
+    files = with_digests(named, file_fingerprints(spark, names))
     files = spark.read.parquet(_overwrite(files, tables, "files", batch_id))
     lines = number_lines(scanned, splits)
     checked = spark.read.parquet(_overwrite(check_lines(lines, max_line_bytes), tables, "checked", batch_id))

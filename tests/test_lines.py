@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from proofline.operators import ledger, validation
 from proofline.sources import lines
 
@@ -75,3 +77,23 @@ def test_large_files_are_hashed_in_blocks(spark, tmp_path):
     for limit in (10, 1 << 20):
         row = lines.file_fingerprints(spark, folder, inline_bytes=limit).first()
         assert (row["byte_size"], row["source_sha256"]) == (len(content), hashlib.sha256(content).hexdigest())
+
+
+def test_paths_with_spaces_and_other_letters(spark, tmp_path):
+    folder = tmp_path / "nhật ký 1"
+    folder.mkdir()
+    content = b'{"a":1}\n{"b":2}\n'
+    write(folder / "ngày 1%.log", content)
+    for limit in (4, 1 << 20):
+        prints = lines.file_fingerprints(spark, str(folder), inline_bytes=limit)
+        source = lines.read_lines(spark, str(folder), prints)
+        assert [r["source_sha256"] for r in source.files.collect()] == [hashlib.sha256(content).hexdigest()]
+    names = [r["source_path"] for r in source.files.collect()]
+    again = lines.file_fingerprints(spark, names)
+    assert [r["source_sha256"] for r in again.collect()] == [hashlib.sha256(content).hexdigest()]
+
+
+def test_a_line_number_that_does_not_fit_is_an_error(spark):
+    frame = spark.createDataFrame([(1 << 36, "x")], "source_line long, raw_line string")
+    with pytest.raises(Exception, match="does not fit"):
+        lines.from_table(frame, "x").lines.collect()
