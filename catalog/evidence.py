@@ -87,6 +87,13 @@ def artifact_manifest(spark, folder):
     return evidence.artifact_manifest(_artifacts(_published(spark, folder)))
 
 
+def analysis_links(spark, folder):
+    """Every analysis result with the digest of its published columns and of the table it was made from."""
+    logic = {i: ",".join(a.columns) for i, a in analyses.ANALYSES.items()}
+    manifest = evidence.artifact_manifest(_artifacts(_published(spark, folder)))
+    return evidence.analysis_links(manifest, logic, "clean")
+
+
 def run_fingerprint(spark, folder):
     return evidence.run_fingerprint(evidence.artifact_manifest(_artifacts(_published(spark, folder))))
 
@@ -271,6 +278,7 @@ QUERIES = {
     "source_inventory": source_inventory,
     "inventory_diff": inventory_diff,
     "artifact_manifest": artifact_manifest,
+    "analysis_links": analysis_links,
     "run_fingerprint": run_fingerprint,
     "verify_manifest": verify_manifest,
     "reconstruction_diff": reconstruction_diff,

@@ -98,6 +98,12 @@ a AS (SELECT path, CASE WHEN quality = 0 THEN sha256(text || ' [redacted]') ELSE
 SELECT coalesce(b.path, a.path) AS path, b.sha256 AS before_sha256, a.sha256 AS after_sha256, CASE WHEN b.path IS NULL THEN 'added'
 WHEN a.path IS NULL THEN 'removed' WHEN a.sha256 = b.sha256 THEN 'same' ELSE 'changed' END AS status FROM b FULL JOIN a ON a.path = b.path""",
     "artifact_manifest": f"WITH {MANIFEST} SELECT * FROM manifest",
+    "analysis_links": f"""WITH {MANIFEST}, logic(artifact, columns) AS (VALUES ('service-error-counts', 'rank,service,error_count'),
+  ('daily-error-counts', 'event_date_utc,daily_error_count,median_error_count,error_count_to_median_ratio,is_unusual_by_2x_median_rule,service_contributions'),
+  ('top-normalized-errors', 'rank,error_type,error_count,service_contributions_json,unclassified_error_count'),
+  ('quality-reconciliation', 'metric_type,issue_code,final_action,record_count,issue_occurrences,is_reconciled'))
+SELECT artifact AS analysis_id, sha256(columns) AS logic_sha256, fingerprint AS result_fingerprint, row_count AS result_row_count,
+(SELECT fingerprint FROM manifest WHERE artifact = 'clean') AS dataset_fingerprint FROM manifest JOIN logic USING (artifact)""",
     "run_fingerprint": f"WITH {MANIFEST} SELECT {_RUN} AS run_id FROM manifest",
     "verify_manifest": f"WITH {VERIFY} SELECT *, coalesce(expected = actual, false) AS ok FROM checks",
     "reconstruction_diff": f"""WITH {logs_sql.CLEAN}, {_BOOK},

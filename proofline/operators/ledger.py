@@ -226,7 +226,3 @@ def require_columns(frame: DataFrame, expected: tuple[str, ...], name: str) -> D
     if tuple(frame.columns) != tuple(expected):
         raise ValueError(f"{name} returned {tuple(frame.columns)}, expected {tuple(expected)}")
     return frame
-
-
-def type_name(data_type: T.DataType) -> str:
-    return data_type.simpleString()

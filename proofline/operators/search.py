@@ -86,11 +86,6 @@ def term_statistics(index: SearchIndex) -> DataFrame:
     )
 
 
-def write_postings(index: SearchIndex, table: str, buckets: int) -> None:
-    """Save the postings as a table bucketed by term, for look-ups of single terms."""
-    postings(index).write.bucketBy(buckets, "term").sortBy("term").mode("overwrite").saveAsTable(table)
-
-
 def phrases(queries: DataFrame) -> DataFrame:
     """Queries ``query_id, query_text, search_mode`` with their phrase; blank ones drop out."""
     terms = queries.withColumn("terms", tokens(F.col("query_text")))
@@ -142,7 +137,8 @@ def phrase_matches(index: SearchIndex, wanted: DataFrame) -> DataFrame:
         .select("*", F.posexplode_outer(F.array(F.xxhash64("t.tokens"), F.xxhash64("t.tokens", "t.following"))).alias("is_pair", "gram"))
     )
     pieces = _pieces(wanted.select("phrase").distinct())
-    if fits_broadcast(wanted, "phrase"):
+    # What is measured is what would be sent: every piece carries its whole phrase.
+    if fits_broadcast(pieces, "phrase"):
         hits = grams.join(F.broadcast(pieces), "gram")
     else:
         spread = pieces.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
@@ -211,15 +207,13 @@ def search(
     asked = phrases(queries)
     matches = phrase_matches(index, asked)
     modes = asked.select("phrase", "search_mode").distinct()
-    small = fits_broadcast(asked, "phrase")
-    bounded = F.broadcast if small else lambda frame: frame
     order = Window.partitionBy("phrase", "search_mode").orderBy(
         F.desc(F.round("saturation", 9)), "chunk_id", "source_path"
     )
     limit = F.when(F.col("search_mode") == ALL, F.lit(all_k)).otherwise(F.lit(current_k))
     top = (
         _saturated(index, matches)
-        .join(bounded(modes), "phrase")
+        .join(modes, "phrase")
         .filter((F.col("search_mode") == ALL) | F.col("is_current"))
         .withColumn("rank", F.row_number().over(order).cast("long"))
         .filter(F.col("rank") <= max(current_k, all_k))
@@ -229,8 +223,8 @@ def search(
     scored = _scored(index, top.join(counts, "phrase")).select(
         "phrase", "search_mode", "rank", *_KEY, "bm25_score"
     )
-    # At most k rows per phrase and mode: small whenever the batch of queries is.
-    attributed = index.chunks.select(*_RESULT).join(bounded(scored), list(_KEY))
+    # Adaptive execution knows the size of the scored rows and broadcasts them where they are few.
+    attributed = index.chunks.select(*_RESULT).join(scored, list(_KEY))
     return asked.join(attributed, ["phrase", "search_mode"]).select(
         "query_id", "search_mode", "rank", *_RESULT, "bm25_score"
     )

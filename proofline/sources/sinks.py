@@ -1,19 +1,21 @@
-"""Writers of the published tables; Spark's committers make them all-or-nothing."""
+"""Writers of the published tables, and the reader of JSON lines; Spark's committers make writes all-or-nothing."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_clean(clean: DataFrame, path: str, mode: str = "error", **options: str) -> None:
     """Zstd Parquet by UTC day.
 
-    Rows stay in their partitions and are only sorted in them, so a day of any size is written by
-    as many tasks as hold rows of it.
+    Rows are dealt by day, where a heavy day is split over tasks and light ones share one, so there
+    are neither huge nor very many files.
     """
     (
-        clean.sortWithinPartitions("event_date_utc", "source_line")
+        clean.hint("rebalance", "event_date_utc")
+        .sortWithinPartitions("event_date_utc", "source_line")
         .write.mode(mode)
         .options(compression="zstd", **options)
         .partitionBy("event_date_utc")
@@ -32,6 +34,11 @@ def write_json_lines(frame: DataFrame, path: str, mode: str = "error") -> None:
     ordered.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines with a declared schema; a line that does not fit it is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path).select(*schema.names)
+
+
 def write_table_csv(result: DataFrame, path: str, mode: str = "error") -> None:
     """A small ordered result as CSV with a header."""
     text = result.select(*[F.col(c).cast("string").alias(c) for c in result.columns])
