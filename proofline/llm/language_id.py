@@ -48,6 +48,8 @@ UNDETERMINED = "und"
 TEMPERATURES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 OWN_SHARE = 0.999
 SLACK = 2.0
+# Nats per unit above a language's mean that are always allowed.
+LEAST_SLACK = 1.5
 # Deviations shrink with the square root of a text's length up to this many units.
 STEADY_UNITS = 400
 
@@ -387,8 +389,8 @@ def calibrate(model: Model, texts: DataFrame) -> Calibrated:
     for row in bounds:
         at = model.languages.index(row.lang)
         centre[at] = row.centre
-        # A few texts say little about the tail: at least one nat per unit is always allowed.
-        bound[at] = max(SLACK * row.bound, math.sqrt(STEADY_UNITS))
+        # A few texts say little about the tail, and a text of two learnt languages is no stranger.
+        bound[at] = max(SLACK * row.bound, LEAST_SLACK * math.sqrt(STEADY_UNITS))
     return Calibrated(model, temperature, centre, bound)
 
 
