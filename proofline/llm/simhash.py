@@ -119,7 +119,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fingerprint, component_id, links``: one row per document with its group.
+    """``doc_id, fingerprint, component_id``: one row per document with its group.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links.
     """

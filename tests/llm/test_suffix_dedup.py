@@ -40,9 +40,9 @@ def brute(rows: list[tuple[int, str | None]], length: int, keep_first: bool):
     return result
 
 
-@pytest.mark.parametrize("keep_first", [False, True])
-@pytest.mark.parametrize("hot_rows", [10_000, 2])
-@pytest.mark.parametrize("piece", [1 << 20, 16])
+@pytest.mark.parametrize(
+    ("keep_first", "hot_rows", "piece"), [(False, 10_000, 1 << 20), (True, 10_000, 16), (False, 2, 16), (True, 2, 1 << 20)]
+)
 def test_equals_brute_force(spark, monkeypatch, keep_first, hot_rows, piece):
     monkeypatch.setattr(suffix_dedup, "PIECE", piece)
     rows = [(i * 3, t) for i, t in enumerate(_texts(5))] + [(1000, None)]
