@@ -237,8 +237,9 @@ def eval_summary(spark, folder):
 
 def eval_regression(spark, folder):
     """The run with five results per case as the baseline of one with a single result."""
-    before = evaluation.score_retrieval(evaluated(spark, folder, 5))
-    after = evaluation.score_retrieval(evaluated(spark, folder, 1))
+    found, asked = index(spark, folder), cases(spark, folder)
+    before = evaluation.score_retrieval(evaluation.run_evaluation(found, asked, 5))
+    after = evaluation.score_retrieval(evaluation.run_evaluation(found, asked, 1))
     return evaluation.eval_regression(before, after)
 
 
