@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofline.llm.arrays import PIECE, Powers, Words, anchors, flat_text, gram_hashes, joined_words, pieces, prefix_hash
+from proofline.llm.arrays import PIECE, Powers, Words, anchors, flat_text, gram_hashes, joined_words, pieces, prefix_hash, spans
 from proofline.llm.contexts import columns, merged, runs_of, whole_buckets
 from proofline.llm.staging import keyed_texts, stage
 
@@ -41,6 +41,7 @@ TABLE_ROWS = 8192
 
 ANCHORS = "array<struct<hash:long,pos:long,low:int,high:int>>"
 SPAN = "array<struct<start:long,end:long>>"
+AROUND = "hash long, text_id long, positions array<long>, low int, high int, indexed boolean, segment binary"
 MEMBER = "hash long, text_id long, pos long, low int, high int, indexed boolean"
 
 
@@ -133,7 +134,11 @@ def blocks(candidates: DataFrame, window: int, block: int) -> DataFrame:
 
 
 def contexts(candidates: DataFrame, window: int) -> DataFrame:
-    """Members with ``segment``: the hashes of all words that passages around their block reach."""
+    """Members with ``segment``, the hashes of all words that passages around their block reach.
+
+    A text that repeats a few words over and over has the same block with the same surroundings at very
+    many places; these are one row with all their ``positions``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -145,13 +150,25 @@ def contexts(candidates: DataFrame, window: int) -> DataFrame:
                 raw = Words(own, np.array([0, len(own)])).hashes(own, powers).tobytes()
                 cells = lists[i].values
                 pos, low, high = (cells.field(n).to_numpy() for n in ("pos", "low", "high"))
-                segments = [raw[8 * b : 8 * e] for b, e in zip((pos - high).tolist(), (pos - low + window).tolist())]
-                arrays = [cells.field("hash"), pa.array([ids[i].as_py()] * len(pos), pa.int64())]
-                arrays += [cells.field(n) for n in ("pos", "low", "high", "indexed", "hot")]
-                names = ["hash", "text_id", "pos", "low", "high", "indexed", "hot", "segment"]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(segments, pa.binary())], names=names)
-
-    return candidates.mapInArrow(run, f"{MEMBER}, hot boolean, segment binary")
+                keys = zip(cells.field("hash").to_pylist(), low.tolist(), high.tolist(), cells.field("indexed").to_pylist())
+                places: dict[tuple, list[int]] = {}
+                for key, at in zip(keys, pos.tolist()):
+                    segment = raw[8 * (at - key[2]) : 8 * (at - key[1] + window)]
+                    places.setdefault((*key, segment), []).append(at)
+                hashes, lows, highs, indexed, segments = zip(*places)
+                arrays = [
+                    pa.array(hashes, pa.int64()),
+                    pa.array([ids[i].as_py()] * len(places), pa.int64()),
+                    pa.array(list(places.values()), pa.list_(pa.int64())),
+                    pa.array(lows, pa.int32()),
+                    pa.array(highs, pa.int32()),
+                    pa.array(indexed),
+                    pa.array(segments, pa.binary()),
+                ]
+                names = ["hash", "text_id", "positions", "low", "high", "indexed", "segment"]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return candidates.mapInArrow(run, AROUND)
 
 
 def extended(table: pa.Table, window: int, block: int) -> np.ndarray:
@@ -181,11 +198,21 @@ def bucket_spans(members: DataFrame, window: int, block: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_buckets(batches, 0, TABLE_ROWS):
             row, nearest, farthest = runs_of(extended(table, window, block))
-            pos, ids = table.column("pos").to_numpy()[row], table.column("text_id").to_numpy()[row]
-            arrays = [pa.array(ids), pa.array(pos - farthest), pa.array(pos - nearest + window)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["text_id", "start", "end"])
-
-    dealt = members.repartition(F.col("hash")).sortWithinPartitions("hash", "text_id", "pos")
+            ids = table.column("text_id").to_numpy()[row]
+            positions = table.column("positions").combine_chunks()
+            counts = positions.value_lengths().to_numpy()
+            first = (np.cumsum(counts) - counts)[row]
+            at = positions.flatten().to_numpy()[spans(first, counts[row])]
+            begins, ends = at - np.repeat(farthest, counts[row]), at - np.repeat(nearest, counts[row]) + window
+            ids = np.repeat(ids, counts[row])
+            # Ranges of a text that overlap are one; the places of a repeated block come in order.
+            opens = np.ones(len(ids), bool)
+            opens[1:] = (ids[1:] != ids[:-1]) | (begins[1:] < begins[:-1]) | (begins[1:] > ends[:-1])
+            starts = np.flatnonzero(opens)
+            ends = np.maximum.reduceat(ends, starts) if len(starts) else ends
+            yield pa.RecordBatch.from_arrays([pa.array(ids[starts]), pa.array(begins[starts]), pa.array(ends)], names=["text_id", "start", "end"])
+
+    dealt = members.repartition(F.col("hash")).sortWithinPartitions("hash", "text_id")
     return dealt.mapInArrow(run, "text_id long, start long, end long")
 
 
@@ -195,12 +222,14 @@ def hot_spans(members: DataFrame, window: int) -> DataFrame:
     passages = members.select("*", F.explode(F.sequence("low", "high")).alias("distance")).select(
         "text_id",
         "indexed",
-        (F.col("pos") - F.col("distance")).alias("start"),
+        "positions",
+        "distance",
         F.unhex(F.md5(F.substring("segment", at * 8 + 1, F.lit(window * 8)))).alias("passage"),
     )
     first = passages.filter("indexed").groupBy("passage").agg(F.min("text_id").alias("first"))
     found = passages.filter("not indexed").join(first, "passage").filter("first < text_id")
-    return found.select("text_id", "start", (F.col("start") + window).alias("end"))
+    starts = found.select("text_id", "distance", F.explode("positions").alias("pos"))
+    return starts.select("text_id", (F.col("pos") - F.col("distance")).alias("start"), (F.col("pos") - F.col("distance") + window).alias("end"))
 
 
 def cut_words(candidates: DataFrame) -> DataFrame:
@@ -271,14 +300,17 @@ def repeated_passages(
     first = stage(index.groupBy("hash").agg(F.min("text_id").alias("first")), "index")
     hits = stage(rows.filter("not indexed").join(first, "hash").filter("first < text_id").drop("first"), "hits")
     last = stage(hits.groupBy("hash").agg(F.max("text_id").alias("last")), "last")
-    members = stage(hits.unionByName(index.join(last, "hash").filter("text_id < last").drop("last")), "members")
-    sizes = stage(members.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows), "hot")
-    members = members.join(sizes, "hash", "left").withColumn("hot", F.col("rows").isNotNull()).drop("rows")
-    lists = members.groupBy("text_id").agg(F.collect_list(F.struct("hash", "pos", "low", "high", "indexed", "hot")).alias("members"))
-    around = contexts(candidates.drop("anchors").join(lists, "text_id").select("text_id", "text", "members"), window)
-    ranges = bucket_spans(around.filter("not hot"), window, block)
-    if not sizes.isEmpty():
-        ranges = ranges.unionByName(hot_spans(around.filter("hot"), window))
+    members = hits.unionByName(index.join(last, "hash").filter("text_id < last").drop("last"))
+    listed = F.sort_array(F.collect_list(F.struct("pos", "hash", "low", "high", "indexed")))
+    lists = members.groupBy("text_id").agg(listed.alias("members"))
+    around = stage(contexts(candidates.drop("anchors").join(lists, "text_id").select("text_id", "text", "members"), window), "around")
+    sizes = stage(around.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows), "hot")
+    if sizes.isEmpty():
+        ranges = bucket_spans(around, window, block)
+    else:
+        ranges = bucket_spans(around.join(sizes, "hash", "left_anti"), window, block).unionByName(
+            hot_spans(around.join(sizes, "hash", "left_semi"), window)
+        )
     covered = ranges.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     cut = cut_words(candidates.join(covered, "text_id").select("text_id", "text", "spans"))
     named = found.select("doc_id", "digest", "n_words").join(distinct.select("digest", "text_id"), "digest")
