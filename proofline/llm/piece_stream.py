@@ -11,7 +11,8 @@ piece wins.  A character without a piece costs more than any piece and is writte
 is read with a space before it, and spaces as ``▁``.
 
 Between two characters that stand next to each other in no piece all paths always converge, so texts are
-cut there first and every distinct part is searched once per batch of texts.
+cut there first and every distinct part is searched once while it is remembered.  A part of up to ``WINDOW``
+characters fits the window as a whole and converges at its end; a longer one is streamed.
 
 Null and empty texts have no ids.  Repeated rows are each returned; an empty table gives no rows; other columns
 are not read.
@@ -36,9 +37,11 @@ from proofline.llm.staging import keyed_texts
 SPACE = "▁"
 # A character without a piece is that much worse than the worst piece.
 UNKNOWN_COST = 10.0
-KNOWN_PARTS = 1 << 20
+KNOWN_PARTS = 1 << 19
+# Parts up to this length are searched as one window.
+WINDOW = 64
 # Texts are encoded together up to this many characters.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 
 ENCODED = "doc_id long, ids array<int>, decoded binary"
 
@@ -168,6 +171,33 @@ class Stream:
         return ids
 
 
+def search(vocabulary: Vocabulary, part: str) -> list[int]:
+    """Ids of a part that is one window: scores of all its boundaries, forward, then the way back."""
+    begins, values, unknown = vocabulary.begins, vocabulary.scores.get, vocabulary.unknown
+    size = len(part)
+    best: list[float | None] = [None] * (size + 1)
+    best[0] = 0.0
+    before = [0] * (size + 1)
+    for begin in range(size):
+        base = best[begin]
+        for end in range(begin + 1, size + 1):
+            piece = part[begin:end]
+            if piece not in begins:
+                break
+            score = values(piece)
+            if score is not None:
+                if best[end] is None or base + score > best[end]:
+                    best[end], before[end] = base + score, begin
+        if part[begin] not in vocabulary.ids:
+            if best[begin + 1] is None or base + unknown > best[begin + 1]:
+                best[begin + 1], before[begin + 1] = base + unknown, begin
+    cuts = [size]
+    while cuts[-1]:
+        cuts.append(before[cuts[-1]])
+    cuts.reverse()
+    return [i for b, e in zip(cuts, cuts[1:]) for i in vocabulary.spelled(part[b:e])]
+
+
 class Encoder:
     """Ids of texts; distinct parts between sure boundaries are searched once while they are remembered."""
 
@@ -212,8 +242,11 @@ class Encoder:
         place = self.places.get(part)
         if place is None:
             place = self.places[part] = len(self.ends) - 1
-            self.ids.extend(self.stream.push(part))
-            self.ids.extend(self.stream.finish())
+            if len(part) <= WINDOW:
+                self.ids.extend(search(self.vocabulary, part))
+            else:
+                self.ids.extend(self.stream.push(part))
+                self.ids.extend(self.stream.finish())
             self.ends.append(len(self.ids))
         return place
 

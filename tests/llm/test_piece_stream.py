@@ -71,7 +71,9 @@ def _texts():
     return ["".join(rng.choice(pool) + rng.choice([" ", "", "\n", "  "]) for _ in range(rng.randrange(0, 60))) for _ in range(150)]
 
 
-def test_equals_brute_force(vocabulary):
+@pytest.mark.parametrize("window", [64, 0])
+def test_equals_brute_force(vocabulary, monkeypatch, window):
+    monkeypatch.setattr(piece_stream, "WINDOW", window)
     encoder = Encoder(vocabulary)
     texts = [*_texts(), "", " ", "   a", "a   ", "\n\n", "a" * 300]
     ids, counts = encoder.encode(texts)
