@@ -226,7 +226,8 @@ def repeated_strings(
         "texts",
     )
     met = distinct.select("text_id", F.inline("anchors"))
-    counts = met.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    # Stored, so that the join below reads two plain shuffles and a hot anchor's rows can be split.
+    counts = stage(met.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "counts")
     repeated = met.join(counts, "hash").select(
         "text_id", F.struct("hash", "pos", "low", "high", (F.col("rows") > hot_rows).alias("hot")).alias("anchor")
     )
