@@ -1,4 +1,10 @@
-"""SentencePiece encoding by a streaming Viterbi search, and decoding.
+"""SentencePiece encoding, and decoding: ids equal those of ``SentencePieceProcessor.encode``.
+
+The vocabulary file says what its scores are.  In a BPE file they are ranks of merges: the best ranked pair of
+neighbouring symbols that is a piece is joined first, of equal ranks the leftmost, until no pair is one.  In a
+unigram file they are log probabilities, and a streaming Viterbi search finds the segmentation of the highest sum.
+Kinds of files whose ids need more than that (other models, normalization, pieces given by the user or unused)
+raise ``ValueError``.
 
 The search reads a text character by character and keeps, for the last ``longest`` boundaries, the best score
 of a segmentation that ends there and the boundary before.  Every later path passes through one of these
@@ -6,13 +12,14 @@ boundaries; as soon as all of them go back to one common boundary, the pieces up
 their ids are committed, and what lies before it is forgotten.  A window bounded by the longest piece is all that
 is needed for scores, whatever the text's length.
 
-Ids are those of the highest total score of the vocabulary file's pieces; of equal scores the longer last
-piece wins.  A character without a piece costs more than any piece and is written as its bytes.  A text
+Of equal sums the longer last piece wins.  A character without a piece costs more than any piece and is
+written as its bytes, in both kinds of files.  A text
 is read with a space before it, and spaces as ``▁``.
 
-Between two characters that stand next to each other in no piece all paths always converge, so texts are
-cut there first and every distinct part is searched once while it is remembered.  A part of up to ``WINDOW``
-characters fits the window as a whole and converges at its end; a longer one is streamed.
+Between two characters that stand next to each other in no piece all paths always converge and nothing is
+merged, so texts are cut there first and every distinct part is searched once while it is remembered.  A part of up to ``WINDOW``
+characters fits the window as a whole and converges at its end; a longer one is streamed, or for merges cut at
+every such pair of characters.  What is left is held whole.
 
 Null and empty texts have no ids.  Repeated rows are each returned; an empty table gives no rows; other columns
 are not read.
@@ -20,6 +27,7 @@ are not read.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from array import array
@@ -43,20 +51,32 @@ WINDOW = 64
 # Texts are encoded together up to this many characters.
 TOGETHER = 2 << 20
 
+_UNIGRAM, _BPE = 1, 2
+_USER_DEFINED, _UNUSED = 4, 5
+
 ENCODED = "doc_id long, ids array<int>, decoded binary"
 
 
 def read_vocabulary(path: str) -> dict:
-    """Pieces, scores and kinds of a vocabulary file, as plain lists."""
+    """Pieces, scores and kinds of a vocabulary file, as plain lists, and whether scores are ranks of merges."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    stored = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    trained, rules = stored.trainer_spec, stored.normalizer_spec
+    plain = rules.add_dummy_prefix and rules.escape_whitespaces and not rules.remove_extra_whitespaces
+    if rules.precompiled_charsmap or not plain or trained.treat_whitespace_as_suffix or not trained.byte_fallback:
+        raise ValueError(f"{path}: normalizes texts or has no bytes")
+    if trained.model_type not in (_UNIGRAM, _BPE) or any(p.type in (_USER_DEFINED, _UNUSED) for p in stored.pieces):
+        raise ValueError(f"{path}: neither BPE nor unigram, or has pieces given by the user or unused")
     size = model.get_piece_size()
     return {
         "pieces": [model.id_to_piece(i) for i in range(size)],
         "scores": [model.get_score(i) for i in range(size)],
         "bytes": [i for i in range(size) if model.is_byte(i)],
         "special": [i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_unused(i)],
+        "by_rank": trained.model_type == _BPE,
     }
 
 
@@ -73,6 +93,7 @@ class Vocabulary:
         self.longest = max(map(len, self.ids), default=1)
         self.begins = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
         inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.inside = inside
         # Characters no piece joins with another one, and whether only spaces go before a space.
         self.space_begins = not any(pair[1] == SPACE and pair[0] != SPACE for pair in inside)
         self.line_alone = not any("\n" in pair for pair in inside)
@@ -198,11 +219,43 @@ def search(vocabulary: Vocabulary, part: str) -> list[int]:
     return [i for b, e in zip(cuts, cuts[1:]) for i in vocabulary.spelled(part[b:e])]
 
 
+def merge(vocabulary: Vocabulary, part: str) -> list[int]:
+    """Ids of a part by merges: the best ranked pair first, of equal ranks the leftmost."""
+    values, size = vocabulary.scores.get, len(part)
+    symbols = list(part)
+    before, after = list(range(-1, size - 1)), list(range(1, size + 1))
+    waiting = []
+    for left in range(size - 1):
+        piece = part[left : left + 2]
+        if (score := values(piece)) is not None:
+            waiting.append((-score, left, left + 1, piece))
+    heapq.heapify(waiting)
+    while waiting:
+        _, left, right, piece = heapq.heappop(waiting)
+        # One of the two was merged meanwhile.
+        if not symbols[right] or symbols[left] + symbols[right] != piece:
+            continue
+        symbols[left], symbols[right] = piece, ""
+        behind = after[left] = after[right]
+        if behind < size:
+            before[behind] = left
+        for first, second in ((before[left], left), (left, behind)):
+            if first >= 0 and second < size:
+                piece = symbols[first] + symbols[second]
+                if (score := values(piece)) is not None:
+                    heapq.heappush(waiting, (-score, first, second, piece))
+    return [i for symbol in symbols if symbol for i in vocabulary.spelled(symbol)]
+
+
 class Encoder:
-    """Ids of texts; distinct parts between sure boundaries are searched once while they are remembered."""
+    """Ids of texts; distinct parts between sure boundaries are searched once while they are remembered.
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    ``by_rank`` says that the scores are ranks of merges, else they are summed.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, by_rank: bool = False) -> None:
         self.vocabulary = vocabulary
+        self.by_rank = by_rank
         self.stream = Stream(vocabulary)
         if vocabulary.space_begins and vocabulary.line_alone:
             self.parts = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n").findall
@@ -242,7 +295,10 @@ class Encoder:
         place = self.places.get(part)
         if place is None:
             place = self.places[part] = len(self.ends) - 1
-            if len(part) <= WINDOW:
+            if self.by_rank:
+                for short in self._apart(part):
+                    self.ids.extend(merge(self.vocabulary, short))
+            elif len(part) <= WINDOW:
                 self.ids.extend(search(self.vocabulary, part))
             else:
                 self.ids.extend(self.stream.push(part))
@@ -250,6 +306,16 @@ class Encoder:
             self.ends.append(len(self.ids))
         return place
 
+    def _apart(self, part: str) -> Iterator[str]:
+        """A long part cut between all characters that no piece joins."""
+        start = 0
+        if len(part) > WINDOW:
+            for at in range(1, len(part)):
+                if part[at - 1 : at + 1] not in self.vocabulary.inside:
+                    yield part[start:at]
+                    start = at
+        yield part[start:]
+
 
 def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
     start, total = 0, 0
@@ -271,7 +337,7 @@ def encode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(shared.value)
-        encoder = Encoder(vocabulary)
+        encoder = Encoder(vocabulary, shared.value["by_rank"])
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for first, after in _together(texts):

@@ -122,3 +122,27 @@ def test_decoding(spark):
         assert (short[i].n_ids, short[i].ids_crc32) == (len(got[i].ids), zlib.crc32(raw))
         assert short[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert piece_stream.encode(docs.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("window", [64, 0])
+def test_ids_equal_the_unpatched_library(spark, monkeypatch, window):
+    monkeypatch.setattr(piece_stream, "WINDOW", window)
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    more = ["the language of the nation", "", " ", "   a", "a   ", "a" * 300, "日本語の文" * 40, "hyphen-ated_words/" * 20, "ab\n\n cd\r\n"]
+    texts = [*_texts(), *more]
+    ids, counts = Encoder(Vocabulary(piece_stream.read_vocabulary(PATH)), by_rank=True).encode(texts)
+    ends = np.cumsum(counts)
+    for text, found in zip(texts, np.split(ids, ends[:-1])):
+        assert found.tolist() == model.encode(text), text
+    docs = spark.createDataFrame(list(enumerate(more)), "doc_id long, text string")
+    assert {r.doc_id: list(r.ids) for r in piece_stream.encode(docs, PATH).collect()} == dict(enumerate(map(model.encode, more)))
+
+
+def test_other_kinds_of_files_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    stored = sentencepiece_model_pb2.ModelProto.FromString(open(PATH, "rb").read())
+    stored.normalizer_spec.remove_extra_whitespaces = True
+    (tmp_path / "other.model").write_bytes(stored.SerializeToString())
+    with pytest.raises(ValueError, match="normalizes"):
+        piece_stream.read_vocabulary(str(tmp_path / "other.model"))
