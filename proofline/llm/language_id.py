@@ -8,10 +8,11 @@ probability under each language, and one per context length with the back-off we
 to the language of the lowest cross-entropy per unit.
 
 The units of a run are packed in 64 bits, which a bijection spreads, so different runs never share
-a hash.  Training counts cover all learning rows.  The model is bounded by two parameters:
-``MAX_GRAMS`` runs of the highest order per language (the most frequent) and ``MAX_LANGUAGES``
-languages (more raise ``ValueError``); what is sent to the tasks never exceeds
-their product.  A tenth of the learning rows is kept out of the counts and calibrates two things: the
+a hash.  Training counts cover all learning rows, and every run of them is in the model.  A model of
+up to ``TOGETHER_VALUES`` runs times languages is sent to the tasks.  A larger one stays a table of
+counts: texts are cut into chunks, the distinct runs of a chunk are joined with the table, and the
+chunk is scored with what was found; the scores are the same.  More than ``MAX_LANGUAGES``
+languages raise ``ValueError``.  A tenth of the learning rows is kept out of the counts and calibrates two things: the
 temperature of the score, and per language the bound beyond which a text is rejected as being in no
 learnt language.
 
@@ -26,20 +27,25 @@ from __future__ import annotations
 import math
 import pickle
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from proofline.llm.arrays import mixed
 from proofline.llm.staging import stage
 
 ORDER = 4
-MAX_GRAMS = 1 << 18
+# Distinct runs of the highest order times languages of a model that is sent to the tasks.
+TOGETHER_VALUES = 1 << 22
+# Characters of a chunk that is joined with a larger model; fewer if there are many languages.
+CHUNK = 1 << 23
+CHUNK_VALUES = 1 << 25
 MAX_LANGUAGES = 256
 PIECE = 1 << 20
 UNDETERMINED = "und"
@@ -157,7 +163,7 @@ def count_runs(texts: DataFrame) -> DataFrame:
 
 
 def bounded(runs: DataFrame, most: int) -> DataFrame:
-    """The most frequent runs of every language, at most ``most``; equal counts go together."""
+    """The most frequent runs of every language, at most ``most``; equal counts go together.  No model is cut by it."""
     sizes = runs.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("runs"))
     above = Window.partitionBy("lang").orderBy(F.desc("n"))
     kept = sizes.withColumn("upto", F.sum("runs").over(above)).filter(F.col("upto") <= most)
@@ -279,6 +285,153 @@ def train(languages: list[str], runs: dict[str, tuple[np.ndarray, np.ndarray]])
     return Model(languages, tables, weights, bottom)
 
 
+@dataclass
+class Spread:
+    """All languages' counts as a table, for models too large to be sent to the tasks.
+
+    ``entries`` has ``(kind, key, found)``: of kind ``n`` the runs of ``n`` units with their counts ``a``, of
+    kind ``ORDER + n`` their contexts with the sum ``a`` and the number ``b`` of what follows.
+    """
+
+    languages: list[str]
+    entries: DataFrame
+    discounts: np.ndarray
+    alphabet: int
+    unseen: float
+
+
+def spread(runs: DataFrame, languages: list[str]) -> Spread:
+    """The counts that ``train`` has, of all runs, without gathering them."""
+    codes = F.array(*[F.lit(lang) for lang in languages])
+    level = runs.select((F.array_position(codes, F.col("lang")) - 1).cast("int").alias("lang"), "key", F.col("n").cast("double").alias("n"))
+    discounts = np.full((ORDER + 1, len(languages)), 0.5)
+    entries: DataFrame | None = None
+    for order in range(ORDER, 0, -1):
+        if order < ORDER:
+            shorter = F.col("key").bitwiseAND(F.lit((1 << (16 * order)) - 1)).alias("key")
+            level = stage(level.groupBy("lang", shorter).agg(F.count(F.lit(1)).cast("double").alias("n")), "level")
+        few = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
+        for row in few.collect():
+            if row.once and row.twice:
+                discounts[order, row.lang] = row.once / (row.once + 2 * row.twice)
+        contexts = level.groupBy("lang", F.shiftrightunsigned("key", 16).alias("key"))
+        contexts = contexts.agg(F.sum("n").alias("a"), F.count(F.lit(1)).cast("double").alias("b"))
+        own = level.select(F.lit(order).alias("kind"), "key", "lang", F.col("n").alias("a"), F.lit(0.0).alias("b"))
+        both = own.unionByName(contexts.withColumn("kind", F.lit(ORDER + order)))
+        entries = both if entries is None else entries.unionByName(both)
+    alphabet = level.select("key").distinct().count() + 1
+    gammas = np.ones(len(languages))
+    for row in contexts.collect():
+        gammas[row.lang] = discounts[1, row.lang] * row.b / row.a
+    found = entries.groupBy("kind", "key").agg(F.collect_list(F.struct("lang", "a", "b")).alias("found"))
+    return Spread(languages, stage(found, "entries"), discounts, alphabet, float(np.log(gammas).mean() - math.log(alphabet)))
+
+
+def model_of(found: pa.Table, languages: list[str], discounts: np.ndarray, alphabet: int, unseen: float) -> Model:
+    """The part of the model that has the given entries; scores of their runs equal those of ``train``."""
+    lists = found.column("found").combine_chunks()
+    cells = lists.flatten()
+    entry = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    kinds, keys = found.column("kind").to_numpy(), found.column("key").to_numpy().view(np.uint64)
+    lang, a, b = (cells.field(n).to_numpy() for n in ("lang", "a", "b"))
+    # Never a run or a context: arrays are not empty.
+    none = np.full(1, (1 << 64) - 1, np.uint64)
+
+    def of(kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of a kind in order, its cells, and the place of each cell's key."""
+        own = np.flatnonzero(kinds[entry] == kind)
+        union = np.unique(np.r_[keys[kinds == kind], none])
+        return union, own, np.searchsorted(union, keys[entry[own]])
+
+    tables, weights = [], []
+    below, below_keys = np.full((1, len(languages)), 1 / alphabet), np.zeros(1, np.uint64)
+    for order in range(1, ORDER + 1):
+        discount = discounts[order]
+        context_keys, own, place = of(ORDER + order)
+        gammas, totals = np.ones((len(context_keys), len(languages))), np.ones((len(context_keys), len(languages)))
+        gammas[place, lang[own]] = discount[lang[own]] * b[own] / a[own]
+        totals[place, lang[own]] = a[own]
+        union, own, place = of(order)
+        context_of = np.searchsorted(context_keys, union >> np.uint64(16))
+        context_of[-1] = 0
+        shares = np.zeros((len(union), len(languages)))
+        shares[place, lang[own]] = (a[own] - discount[lang[own]]) / totals[context_of[place], lang[own]]
+        low = np.searchsorted(below_keys, union & np.uint64((1 << (16 * (order - 1))) - 1))
+        low[-1] = 0
+        shares += gammas[context_of] * below[low]
+        tables.append(HashArray(union, np.log(shares).astype(np.float32)))
+        weights.append(HashArray(context_keys, np.log(gammas).astype(np.float32)))
+        below, below_keys = shares, union
+    return Model(languages, tables, weights, unseen)
+
+
+def wanted_keys(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Kinds and keys of all entries that scoring the given runs can need."""
+    for order in range(ORDER, 0, -1):
+        keys = np.unique(keys & np.uint64((1 << (16 * order)) - 1))
+        yield order, keys
+        yield ORDER + order, np.unique(keys >> np.uint64(16))
+
+
+def scored(rows: DataFrame, text_at: int, model: Model | Spread, work: Callable, schema) -> DataFrame:
+    """``work(model, batch, table)`` for all rows; the text is in column ``text_at``."""
+    if isinstance(model, Model):
+        shared = rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = unit_table()
+            model = pickle.loads(shared.value)
+            for batch in batches:
+                yield work(model, batch, table)
+
+        return rows.mapInArrow(run, schema)
+
+    given = (model.languages, model.discounts, model.alphabet, model.unseen)
+    most = max(1, min(CHUNK, CHUNK_VALUES // len(model.languages)))
+    chunk = "chunk"
+    while chunk.lower() in map(str.lower, rows.columns):
+        chunk += "_"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows with their chunk: the task's rows one after another."""
+        first, total = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = np.array([len(t or "") for t in batch.column(text_at).to_pylist()], np.int64)
+            ends = total + np.cumsum(sizes)
+            total += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + (ends - sizes) // most)], names=[*batch.schema.names, chunk])
+
+    def want(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = unit_table()
+        at, keys = None, np.zeros(0, np.uint64)
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for kind, found in wanted_keys(keys) if len(keys) else ():
+                columns = [pa.array(np.full(len(found), n, t)) for n, t in ((at, np.int64), (kind, np.int32))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found.view(np.int64))], names=["chunk", "kind", "key"])
+
+        for batch in batches:
+            chunks, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for own in np.unique(chunks):
+                if own != at:
+                    yield from told()
+                    at, keys = int(own), np.zeros(0, np.uint64)
+                for _, parts in _cut([texts[i] or "" for i in np.flatnonzero(chunks == own)]):
+                    keys = np.union1d(keys, packed(units_of(parts, table))[1])
+        yield from told()
+
+    def score(found: pa.Table, own: pa.Table) -> pa.Table:
+        table, local = unit_table(), model_of(found, *given)
+        own = own.drop_columns([chunk]).combine_chunks()
+        return pa.Table.from_batches([work(local, batch, table) for batch in own.to_batches()])
+
+    dealt = stage(rows.mapInArrow(deal, T.StructType([*rows.schema.fields, T.StructField(chunk, T.LongType())])), "chunks")
+    texts = dealt.select(F.col(chunk).alias("chunk"), dealt[dealt.columns[text_at]].alias("text"))
+    wanted = texts.mapInArrow(want, "chunk long, kind int, key long").distinct()
+    found = wanted.join(model.entries, ["kind", "key"]).select("chunk", "kind", "key", "found")
+    return found.groupBy("chunk").cogroup(dealt.groupBy(chunk)).applyInArrow(score, schema)
+
+
 def score_texts(model: Model, texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Summed log probabilities per language, and the number of units; no units without a letter."""
     sums = np.zeros((len(texts), len(model.languages)))
@@ -312,7 +465,7 @@ def learning_rows(docs: DataFrame, id_column: str, lang_column: str) -> tuple[Co
 class Calibrated:
     """A model with what its calibration rows gave."""
 
-    model: Model
+    model: Model | Spread
     temperature: float
     centre: np.ndarray
     bound: np.ndarray
@@ -330,7 +483,7 @@ def posterior(sums: np.ndarray, best: np.ndarray, temperature: float) -> np.ndar
     return 1 / np.exp((sums - top) / temperature).sum(axis=1)
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", max_grams: int = MAX_GRAMS) -> Calibrated | None:
+def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", together: int = TOGETHER_VALUES) -> Calibrated | None:
     """Train and calibrate on the learning rows; ``None`` if there are none."""
     learns, calibrates = learning_rows(docs, id_column, lang_column)
     labelled = docs.select(
@@ -345,37 +498,36 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
         return None
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counted = bounded(runs, max_grams).toArrow()
+    calibrating = labelled.filter("calibrates").select("lang", "text")
+    if runs.select("key").distinct().count() * len(languages) > together:
+        return calibrate(spread(runs, languages), calibrating)
+    counted = runs.toArrow()
     codes = counted.column("lang").to_numpy(zero_copy_only=False)
     keys = counted.column("key").to_numpy().view(np.uint64)
     n = counted.column("n").to_numpy()
     model = train(languages, {lang: (keys[codes == lang], n[codes == lang]) for lang in languages})
-    return calibrate(model, labelled.filter("calibrates").select("lang", "text"))
+    return calibrate(model, calibrating)
 
 
-def calibrate(model: Model, texts: DataFrame) -> Calibrated:
+def calibrate(model: Model | Spread, texts: DataFrame) -> Calibrated:
     """Temperature and rejection bounds from texts the model has not counted."""
-    shared = texts.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = unit_table()
-        model = pickle.loads(shared.value)
+    def work(model: Model, batch: pa.RecordBatch, table: np.ndarray) -> pa.RecordBatch:
         place = {lang: i for i, lang in enumerate(model.languages)}
-        for batch in batches:
-            sums, counts, entropy, best = _judged(model, batch.column(1).to_pylist(), table)
-            true = np.array([place.get(lang, -1) for lang in batch.column(0).to_pylist()], np.int64)
-            used = np.flatnonzero((counts > 0) & (true >= 0))
-            sums, true, best = sums[used], true[used], best[used]
-            losses = [-np.log(np.maximum(posterior(sums, true, t), 1e-300)) for t in TEMPERATURES]
-            columns = [
-                pa.array([model.languages[i] for i in best], pa.string()),
-                pa.array(counts[used]),
-                pa.array(entropy[used, best]),
-                pa.array(list(np.stack(losses, axis=1)) if len(used) else [], pa.list_(pa.float64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "units", "entropy", "losses"])
-
-    judged = stage(texts.mapInArrow(run, "lang string, units long, entropy double, losses array<double>"), "judged")
+        sums, counts, entropy, best = _judged(model, batch.column(1).to_pylist(), table)
+        true = np.array([place.get(lang, -1) for lang in batch.column(0).to_pylist()], np.int64)
+        used = np.flatnonzero((counts > 0) & (true >= 0))
+        sums, true, best = sums[used], true[used], best[used]
+        losses = [-np.log(np.maximum(posterior(sums, true, t), 1e-300)) for t in TEMPERATURES]
+        columns = [
+            pa.array([model.languages[i] for i in best], pa.string()),
+            pa.array(counts[used]),
+            pa.array(entropy[used, best]),
+            pa.array(list(np.stack(losses, axis=1)) if len(used) else [], pa.list_(pa.float64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "units", "entropy", "losses"])
+
+    judged = stage(scored(texts, 1, model, work, "lang string, units long, entropy double, losses array<double>"), "judged")
     total = judged.agg(*[F.sum(F.col("losses")[i]).alias(f"t{i}") for i in range(len(TEMPERATURES))]).first()
     temperature = TEMPERATURES[0]
     if total.t0 is not None:
@@ -403,44 +555,38 @@ def identify(docs: DataFrame, fitted: Calibrated | None, id_column: str = "doc_i
     if fitted is None:
         blank = [F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")]
         return texts.select("doc_id", *blank, F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(fitted))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = unit_table()
-        fitted = pickle.loads(shared.value)
-        names = np.array([*fitted.model.languages, UNDETERMINED], object)
-        for batch in batches:
-            sums, counts, entropy, best = _judged(fitted.model, batch.column(1).to_pylist(), table)
-            lowest = entropy[np.arange(len(best)), best]
-            off = (lowest - fitted.centre[best]) * np.sqrt(np.minimum(counts, STEADY_UNITS))
-            empty = counts == 0
-            rejected = empty | (off > fitted.bound[best])
-            score = np.where(empty, 0.0, posterior(sums, best, fitted.temperature))
-            columns = [
-                batch.column(0),
-                pa.array(names[np.where(empty, len(names) - 1, best)], pa.string()),
-                pa.array(score),
-                pa.array(lowest, mask=empty),
-                pa.array(rejected),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
-
-    return texts.mapInArrow(run, PREDICTION)
+    temperature, centre, bound = fitted.temperature, fitted.centre, fitted.bound
+
+    def work(model: Model, batch: pa.RecordBatch, table: np.ndarray) -> pa.RecordBatch:
+        names = np.array([*model.languages, UNDETERMINED], object)
+        sums, counts, entropy, best = _judged(model, batch.column(1).to_pylist(), table)
+        lowest = entropy[np.arange(len(best)), best]
+        off = (lowest - centre[best]) * np.sqrt(np.minimum(counts, STEADY_UNITS))
+        empty = counts == 0
+        rejected = empty | (off > bound[best])
+        score = np.where(empty, 0.0, posterior(sums, best, temperature))
+        columns = [
+            batch.column(0),
+            pa.array(names[np.where(empty, len(names) - 1, best)], pa.string()),
+            pa.array(score),
+            pa.array(lowest, mask=empty),
+            pa.array(rejected),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
+
+    return scored(texts, 1, fitted.model, work, PREDICTION)
 
 
 def accepted(docs: DataFrame, fitted: Calibrated | None, text_column: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is in a learnt language."""
     if fitted is None:
         return docs.limit(0)
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(fitted))
+    centre, bound = fitted.centre, fitted.bound
     column = docs.columns.index(text_column)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = unit_table()
-        fitted = pickle.loads(shared.value)
-        for batch in batches:
-            sums, counts, entropy, best = _judged(fitted.model, batch.column(column).to_pylist(), table)
-            off = (entropy[np.arange(len(best)), best] - fitted.centre[best]) * np.sqrt(np.minimum(counts, STEADY_UNITS))
-            yield batch.filter(pa.array((counts > 0) & (off <= fitted.bound[best])))
+    def work(model: Model, batch: pa.RecordBatch, table: np.ndarray) -> pa.RecordBatch:
+        sums, counts, entropy, best = _judged(model, batch.column(column).to_pylist(), table)
+        off = (entropy[np.arange(len(best)), best] - centre[best]) * np.sqrt(np.minimum(counts, STEADY_UNITS))
+        return batch.filter(pa.array((counts > 0) & (off <= bound[best])))
 
-    return docs.mapInArrow(run, docs.schema)
+    return scored(docs, column, fitted.model, work, docs.schema)

@@ -119,3 +119,36 @@ def test_empty_tables_and_bounds(spark):
         patch.setattr(language_id, "MAX_LANGUAGES", 3)
         with pytest.raises(ValueError, match="languages"):
             language_id.fit(many)
+
+
+@pytest.mark.parametrize("chunk", [1 << 23, 500])
+def test_a_model_that_is_not_sent_gives_the_same_results(spark, monkeypatch, chunk):
+    monkeypatch.setattr(language_id, "CHUNK", chunk)
+    odd = [(1000, None, None), (1001, "", "aa"), (1002, "12 #!", "bb"), (1003, "жшщ юяэ " * 40, None), (1004, "abcab " * 3000, None)]
+    docs = _docs(spark).union(spark.createDataFrame(odd, "doc_id long, text string, lang string")).withColumn("chunk", F.lit("clash"))
+    sent, apart = language_id.fit(docs), language_id.fit(docs, together=0)
+    assert isinstance(sent.model, language_id.Model) and isinstance(apart.model, language_id.Spread)
+    assert apart.temperature == sent.temperature
+    assert np.allclose(apart.centre, sent.centre, atol=1e-5) and np.allclose(apart.bound, sent.bound, atol=1e-3)
+    one, two = ({r.doc_id: r for r in language_id.identify(docs, fitted).collect()} for fitted in (sent, apart))
+    assert one.keys() == two.keys() and len(one) == docs.count()
+    for i, r in one.items():
+        assert (r.lang_pred, r.rejected) == (two[i].lang_pred, two[i].rejected)
+        assert np.allclose([r.score, r.cross_entropy or 0.0], [two[i].score, two[i].cross_entropy or 0.0], atol=1e-4)
+    kept = [sorted(map(tuple, language_id.accepted(docs, fitted).collect())) for fitted in (sent, apart)]
+    assert kept[0] == kept[1] and kept[0]
+
+
+def test_every_run_of_a_varied_language_is_in_the_model(spark):
+    # More runs than 2^18 and most of them once: cut by count, nothing of this language would be left.
+    rng = random.Random(9)
+    signs = [chr(c) for c in range(0x4E00, 0x9FA5)]
+    rows = [(i, "".join(rng.choices(signs, k=4000)), "zz") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").union(_docs(spark).selectExpr("doc_id + 1000", "text", "lang"))
+    fitted = language_id.fit(docs)
+    got = language_id.identify(docs, fitted).filter("doc_id < 1000").collect()
+    assert {r.lang_pred for r in got} == {"zz"}
+    learns, calibrates = language_id.learning_rows(docs, "doc_id", "lang")
+    counted = docs.filter(learns & ~calibrates)
+    runs = language_id.count_runs(counted.select("lang", "text")).select("key").distinct().count()
+    assert runs > 1 << 18 and len(fitted.model.runs[-1].hashes) == runs
