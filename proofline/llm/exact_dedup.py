@@ -9,7 +9,8 @@ A digest is a member only if the 32 bytes in its slot are its own; the others gr
 themselves.  Shards are bounded by ``SHARD_ROWS``, their number follows the table.
 
 Null and empty texts are equal texts.  Rows that share a ``doc_id`` are one document and get the
-same decision.  An empty table gives no rows.  Other columns are not read, whatever their names.
+same decision; so do rows without one, which never win over rows that have one: a text that only they
+have gets a null ``keep_id`` and all of them are kept.  An empty table gives no rows.  Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ SHARD_ROWS = 8192
 SLOTS_PER_KEY = 2.0
 
 GROUPS = "shard long, digest binary, winner long, size long"
-INDEX = "shard long, level_bits array<long>, bits binary, digests binary, winners binary, sizes binary"
+INDEX = "shard long, level_bits array<long>, bits binary, digests binary, winners binary, named binary, sizes binary"
 MERGED = "digest binary, keep_id long, group_size long, historical boolean"
 
 DIGEST_BYTES = 32
@@ -79,7 +80,12 @@ def _words(digests: pa.ChunkedArray) -> np.ndarray:
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy().astype(np.int64)
+    """Numbers of a column; null is the least of all, so that it never passes through a float."""
+    return table.column(name).fill_null(np.iinfo(np.int64).min).to_numpy().astype(np.int64)
+
+
+def _named(table: pa.Table) -> np.ndarray:
+    return table.column("winner").is_valid().to_numpy()
 
 
 def build_shard(table: pa.Table) -> pa.Table:
@@ -94,6 +100,7 @@ def build_shard(table: pa.Table) -> pa.Table:
         "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
         "digests": pa.array([words[order].tobytes()], pa.binary()),
         "winners": pa.array([_column(table, "winner")[order].tobytes()], pa.binary()),
+        "named": pa.array([_named(table)[order].tobytes()], pa.binary()),
         "sizes": pa.array([_column(table, "size")[order].tobytes()], pa.binary()),
     }
     return pa.table(row)
@@ -103,9 +110,10 @@ def probe_shard(index: pa.Table, incoming: pa.Table) -> pa.Table:
     """Members merged into their slots, nonmembers as they are, untouched slots as they were."""
     words = _words(incoming.column("digest"))
     winners, counts = _column(incoming, "winner"), _column(incoming, "size")
+    named = _named(incoming)
     member = np.zeros(len(words), bool)
     slot_words = np.zeros((0, 4), np.uint64)
-    slot_winners, slot_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    slot_winners, slot_sizes, slot_named = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     if index.num_rows:
         row = index.to_pylist()[0]
         sizes = row["level_bits"]
@@ -113,12 +121,14 @@ def probe_shard(index: pa.Table, incoming: pa.Table) -> pa.Table:
         slot_words = np.frombuffer(row["digests"], np.uint64).reshape(-1, 4)
         slot_winners = np.frombuffer(row["winners"], np.int64).copy()
         slot_sizes = np.frombuffer(row["sizes"], np.int64).copy()
+        slot_named = np.frombuffer(row["named"], bool).copy()
         slots = probe_hash(words, sizes, bits)
         hit = np.flatnonzero(slots >= 0)
         # The whole digest decides, not the slot.
         hit = hit[(slot_words[slots[hit]] == words[hit]).all(axis=1)]
         member[hit] = True
         slot_winners[slots[hit]] = np.maximum(slot_winners[slots[hit]], winners[hit])
+        slot_named[slots[hit]] |= named[hit]
         slot_sizes[slots[hit]] += counts[hit]
     new = ~member
     raw = np.concatenate([slot_words, words[new]]).tobytes()
@@ -126,7 +136,7 @@ def probe_shard(index: pa.Table, incoming: pa.Table) -> pa.Table:
     return pa.table(
         {
             "digest": pa.array([raw[i * DIGEST_BYTES : (i + 1) * DIGEST_BYTES] for i in range(total)], pa.binary()),
-            "keep_id": np.r_[slot_winners, winners[new]],
+            "keep_id": pa.array(np.r_[slot_winners, winners[new]], mask=~np.r_[slot_named, named[new]]),
             "group_size": np.r_[slot_sizes, counts[new]],
             "historical": pa.array(np.r_[np.ones(len(slot_words), bool), np.zeros(int(new.sum()), bool)]),
         }

@@ -56,3 +56,15 @@ def test_groups_equal_brute_force(spark, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert exact_dedup.exact_groups(docs, exact_dedup.even_half()).count() == 0
+
+
+def test_texts_that_only_null_ids_have(spark):
+    large = 2**53 + 1
+    rows = [(None, "only null"), (None, "only null"), (large, "a"), (large + 2, "a"), (large + 4, "own"), (None, "own"), (-(2**63), "least")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keep = {"only null": None, "a": large + 2, "own": large + 4, "least": -(2**63)}
+    expected = sorted((i is None, i or 0, keep[t] or 0, keep[t] is None, sum(u == t for _, u in rows), i == keep[t]) for i, t in rows)
+    for history in (exact_dedup.even_half(), F.lit(False), F.lit(True), F.col("doc_id").isNull(), F.col("doc_id").isNotNull()):
+        got = exact_dedup.exact_groups(docs, F.coalesce(history, F.lit(False))).collect()
+        found = [(r.doc_id is None, r.doc_id or 0, r.keep_id or 0, r.keep_id is None, r.group_size, r.kept) for r in got]
+        assert sorted(found) == expected
