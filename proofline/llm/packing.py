@@ -289,17 +289,17 @@ class Packer:
         begin, end = edges[:-1], edges[1:]
         doc = np.searchsorted(starts, begin, "right") - 1
         window = np.searchsorted(ends, begin, "right")
-        opens = np.r_[0, ends[:-1]]
+        opens = np.array([0, *ends[:-1]], np.int64)
         raw = memoryview(self.ids[:size].astype("<u4").tobytes())
         crc = [zlib.crc32(raw[4 * b : 4 * e]) for b, e in zip(begin.tolist(), end.tolist())]
         arrays = [
             pa.array([self.docs[i][0] for i in doc.tolist()], pa.int64()),
-            pa.array(begin - starts[doc]),
-            pa.array(end - begin),
+            pa.array(begin - starts[doc], pa.int64()),
+            pa.array(end - begin, pa.int64()),
             pa.array(crc, pa.int64()),
             pa.array([self.docs[i][1] for i in doc.tolist()], pa.int64()),
-            pa.array(self.sequence + window),
-            pa.array(begin - opens[window]),
+            pa.array(self.sequence + window, pa.int64()),
+            pa.array(begin - opens[window], pa.int64()),
             pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(self.ids[:size].astype(np.int32))),
         ]
         self.sequence += len(ends)

@@ -55,6 +55,14 @@ def test_every_token_is_packed_once(spark, partitions):
     assert all(r.ids == whole[r.doc_id][r.start : r.start + r.length] for r in rows)
 
 
+@pytest.mark.parametrize("words", [[0], [None], [255], [256], [4095], [4096], [8191], [packing.BLOCK - 1, 4095], [packing.BLOCK - 1, 0], [packing.BLOCK, 255]])
+def test_partitions_that_end_with_one_window(spark, words):
+    texts = [(i, None if n is None else "a " * n) for i, n in enumerate(words)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    _check(packing.pack(docs, VOCABULARY, with_ids=False).collect(), texts)
+    assert [f.dataType.typeName() for f in packing.pack(docs, VOCABULARY).schema][:-1] == ["long"] * 7
+
+
 def test_order_is_kept(spark):
     docs = spark.createDataFrame([(i, f"word {i}. " * (i % 50)) for i in range(300)], "doc_id long, text string").coalesce(1)
     rows = sorted(packing.pack(docs, VOCABULARY, with_ids=False).collect(), key=lambda r: (r.sequence_id, r.offset))
