@@ -1,11 +1,25 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import block_dedup, exact_dedup, language_id, line_quality, packing, piece_stream, preference, revisits, simhash, suffix_dedup
+from proofline.llm import (
+    block_dedup,
+    exact_dedup,
+    hard_negatives,
+    language_id,
+    line_quality,
+    packing,
+    periodic_runs,
+    piece_stream,
+    preference,
+    revisits,
+    simhash,
+    suffix_dedup,
+    tree_bpe,
+)
 from proofline.llm.staging import documents
 
 
@@ -74,6 +88,34 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumns({c: preference.mask_text(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best scored negatives of every hundredth vector and its positives; every seventh label is moved on."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(vectors.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, and the digest of what they decode to."""
+    return tree_bpe.digests(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which end in a loop, and the digest of what is left without repetitions."""
+    docs = documents(spark, sf_dir)
+    looped = docs.select("doc_id", periodic_runs.looped_tails(F.col("text"), F.col("doc_id")).alias("text"))
+    best = F.col("best")
+    return periodic_runs.periodic_runs(looped).select(
+        "doc_id",
+        "n_runs",
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        "runs_sha256",
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file; they are installed beside Python, not kept here."""
     import public_tokenizers
@@ -92,4 +134,7 @@ QUERIES = {
     "op8_revisits": op8_revisits,
     "op9_simhash": op9_simhash,
     "op10_preference": op10_preference,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_tree_bpe": op12_tree_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }

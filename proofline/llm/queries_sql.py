@@ -78,4 +78,21 @@ SQL = {
           coalesce(max(mask) FILTER (side = 'no' AND NOT common), '') AS rejected_mask
         FROM part GROUP BY pair_id
     """,
+    "op11_hard_negatives": """
+        WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))::BIGINT) AS q
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+            list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id,
+          row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+          other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
 }
