@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofline.operators import documents, evaluation, search
-from proofline.plans import knowledge_base
+from proofline.plans import evaluation_runs, knowledge_base
 from proofline.session import ensure_settings, shared_folder
 from proofline.sources import documents as source
 from proofline.sources import views
@@ -23,10 +23,10 @@ def chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def index(spark: SparkSession, folder: str) -> search.SearchIndex:
-    """A stored index: what follows reads chunks and tokens instead of deriving them again."""
+    """The stored index of the folder's documents: the first query builds it, others open it while the documents are the same."""
     ensure_settings(spark)
-    found = source.from_table(views.kb_markdown(spark, folder))
-    return knowledge_base.build(found, shared_folder(spark, "knowledge-base"))
+    state = knowledge_base.input_state(spark, f"{folder.rstrip('/')}/documents.parquet")
+    return knowledge_base.stored(spark, state, lambda: source.from_table(views.kb_markdown(spark, folder)))
 
 
 def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,27 +119,30 @@ def chunk_export(spark, folder):
 
 
 def tokenize(spark, folder):
-    return search.build_index(chunks(spark, folder)).chunk_tokens.select(
+    return search.tokenized(chunks(spark, folder)).select(
         "chunk_id", "token_count", F.array_join("tokens", " ").alias("tokens")
     )
 
 
 def build_index(spark, folder):
-    found = search.build_index(chunks(spark, folder))
+    """What the stored postings say of every term."""
+    found = index(spark, folder)
     stats = found.stats.select("chunk_count").scalar()
     return search.term_statistics(found).withColumn("corpus_chunks", stats)
 
 
 def phrase_match(spark, folder):
     asked = search.phrases(benchmark_queries(spark, folder).withColumn("search_mode", F.lit(search.ALL)))
-    return search.phrase_matches(index(spark, folder), asked).select("phrase", "chunk_id", "tf", "token_count")
+    found = index(spark, folder)
+    matches = search.named(found, search.phrase_matches(found, asked))
+    return matches.select("phrase", "chunk_id", "tf", "token_count")
 
 
 def bm25_rank(spark, folder):
     asked = search.phrases(benchmark_queries(spark, folder).withColumn("search_mode", F.lit(search.ALL)))
     found = index(spark, folder)
     scores = search.bm25_scores(found, search.phrase_matches(found, asked))
-    return scores.select("phrase", "chunk_id", F.round("bm25_score", 6).alias("bm25_score"))
+    return search.named(found, scores).select("phrase", "chunk_id", F.round("bm25_score", 6).alias("bm25_score"))
 
 
 def _hits(frame: DataFrame) -> DataFrame:
@@ -236,11 +239,19 @@ def eval_summary(spark, folder):
 
 
 def eval_regression(spark, folder):
-    """The run with five results per case as the baseline of one with a single result."""
-    found, asked = index(spark, folder), cases(spark, folder)
-    before = evaluation.score_retrieval(evaluation.run_evaluation(found, asked, 5))
-    after = evaluation.score_retrieval(evaluation.run_evaluation(found, asked, 1))
-    return evaluation.eval_regression(before, after)
+    """A run with one result per case against the last approved one, which had five.
+
+    A run in between, with two results, was recorded but not approved, and is no baseline.
+    """
+    runs = evaluation_runs.EvaluationRuns(shared_folder(spark, "evaluation-runs"))
+    searched = shared_folder(spark, "evaluated")
+    evaluated(spark, folder).write.parquet(searched)
+    found = spark.read.parquet(searched)
+    for run_id, top_k in ((1, 5), (2, 2), (3, 1)):
+        runs.record(run_id, evaluation.score_groundedness(evaluation.score_retrieval(evaluation.first_results(found, top_k))))
+    runs.decide(spark, 1, approved=True)
+    runs.decide(spark, 2, approved=False)
+    return runs.regression(spark, 3)
 
 
 QUERIES = {

@@ -1,17 +1,21 @@
-"""Batched phrase search with BM25 ranking over section chunks.
+"""Batched phrase search with BM25 ranking over a stored inverted index of section chunks.
 
-All queries of a batch are answered in one pass.  A query is one phrase; equal phrases are looked
-up once however many queries share them.  Phrases are cut into adjacent token pairs (a one-token
-phrase stays one token), so a frequent word alone never produces candidates for a longer phrase;
-only pairs that really occur leave the scan, and pairs that line up at one start are a match.
-Corpus statistics cover all versions; the filter on the current version comes after scoring.
+The index is a table of postings, one row per (pair of neighbouring tokens, chunk) with all positions, so every token
+of the corpus is in one row: as the first of its pair, the last token of a chunk with no second one.  Rows are stored by
+bucket of the first token and sorted by pair and chunk; a pair in very many chunks is cut into several files by ranges of
+chunks.  A batch of queries reads only the buckets of its own first tokens.
+
+All queries of a batch are answered in one pass.  A query is one phrase; equal phrases are looked up once however many queries share
+them.  Phrases are cut into pairs (a one-token phrase stays one token), so a frequent word alone never produces candidates
+for a longer phrase, and pairs that line up at one start are a match.  Corpus statistics cover all versions; the filter on
+the current version comes after scoring.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from proofline.functions.sizing import fits_broadcast
@@ -19,6 +23,10 @@ from proofline.functions.tokens import tokens
 
 CURRENT, ALL = "current", "all"
 CURRENT_K, ALL_K = 5, 10
+# Parts of the index by first token; an index keeps the number it was built with.
+BUCKETS = 32
+# So few first tokens are also named in the filter of the scan, which then skips row groups.
+NAMED_TERMS = 200
 
 # Fixed values of the ranking function: k1, b, and the floor of the term weight.
 K1, B, WEIGHT_FLOOR = 1.2, 0.75, 1e-6
@@ -40,50 +48,77 @@ _SPREAD = 16
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """Chunks, their token arrays, and the corpus statistics (one row)."""
+    """A stored index: chunks with their number, postings, and one row of statistics."""
 
     chunks: DataFrame
-    chunk_tokens: DataFrame
+    postings: DataFrame
     stats: DataFrame
 
 
-def build_index(chunks: DataFrame) -> SearchIndex:
-    """Index every chunk of every version."""
-    rows = chunks.select(*_KEY, "is_current", tokens(F.col("content")).alias("tokens")).withColumn(
-        "token_count", F.size("tokens").cast("long")
+def tokenized(chunks: DataFrame) -> DataFrame:
+    """Chunks with their tokens and how many there are."""
+    rows = chunks.withColumn("tokens", tokens(F.col("content")))
+    return rows.withColumn("token_count", F.size("tokens").cast("long"))
+
+
+def build_index(chunks: DataFrame, root: str, buckets: int = BUCKETS) -> SearchIndex:
+    """Index every chunk of every version below ``root``.
+
+    Chunks are numbered in the order of their ids, so that a long stands for id and path wherever rows travel or are
+    ranked.  One exchange deals the tokens by ranges of (bucket, pair, chunk): it gathers the positions of a pair in a chunk,
+    sorts the files, and cuts frequent pairs.
+    """
+    spark = chunks.sparkSession
+    root = root.rstrip("/")
+    ordered = tokenized(chunks).orderBy(*_KEY).withColumn("chunk_no", F.monotonically_increasing_id())
+    ordered.write.option("compression", "zstd").parquet(f"{root}/chunks")
+    stored = spark.read.schema(ordered.schema).parquet(f"{root}/chunks")
+    place = ["bucket", "first", "second", "chunk_no"]
+    rows = (
+        token_pairs(stored)
+        .withColumn("bucket", bucket_of(F.col("first"), F.lit(buckets)))
+        .repartitionByRange(*place)
+        .groupBy(*place, "token_count", "is_current")
+        .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+        .sortWithinPartitions(*place)
     )
-    return SearchIndex(chunks, rows, corpus_stats(rows))
+    rows.write.option("compression", "zstd").partitionBy("bucket").parquet(f"{root}/postings")
+    corpus_stats(stored).withColumn("buckets", F.lit(buckets)).write.parquet(f"{root}/stats")
+    return open_index(spark, root)
+
+
+def open_index(spark: SparkSession, root: str) -> SearchIndex:
+    """The index stored below ``root``."""
+    root = root.rstrip("/")
+    postings = "first string, second string, chunk_no long, token_count long, is_current boolean, positions array<int>, bucket int"
+    chunks = spark.read.parquet(f"{root}/chunks")
+    return SearchIndex(chunks, spark.read.schema(postings).parquet(f"{root}/postings"), spark.read.parquet(f"{root}/stats"))
+
+
+def bucket_of(first: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(first), buckets).cast("int")
 
 
-def corpus_stats(chunk_tokens: DataFrame) -> DataFrame:
+def token_pairs(stored: DataFrame) -> DataFrame:
+    """``chunk_no, token_count, is_current, pos, first, second``: every token with the one after it."""
+    following = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
+    return stored.select(
+        "chunk_no", "token_count", "is_current", F.posexplode(F.arrays_zip("tokens", following.alias("following"))).alias("pos", "t")
+    ).select("chunk_no", "token_count", "is_current", "pos", F.col("t.tokens").alias("first"), F.col("t.following").alias("second"))
+
+
+def corpus_stats(stored: DataFrame) -> DataFrame:
     """Number of chunks, tokens, and the average chunk length."""
-    return chunk_tokens.agg(
+    return stored.agg(
         F.count(F.lit(1)).alias("chunk_count"),
         F.coalesce(F.sum("token_count"), F.lit(0)).alias("total_tokens"),
     ).withColumn("average_tokens", F.col("total_tokens") / F.nullif("chunk_count", F.lit(0)))
 
 
-def postings(index: SearchIndex) -> DataFrame:
-    """``chunk_id, source_path, pos, term``: one row per token."""
-    return index.chunk_tokens.select(*_KEY, F.posexplode("tokens").alias("pos", "term"))
-
-
 def term_statistics(index: SearchIndex) -> DataFrame:
-    """Chunks and occurrences per term, combined on the map side.
-
-    In a chunk's sorted tokens a term differs from its predecessor exactly once.
-    """
-    ordered = index.chunk_tokens.select(F.sort_array("tokens").alias("term"))
-    shifted = F.concat(F.array(F.lit(None).cast("string")), F.slice("term", F.lit(1), F.greatest(F.size("term") - 1, F.lit(0))))
-    rows = ordered.withColumn("before", shifted).select(
-        F.explode_outer(F.arrays_zip("term", "before")).alias("m")
-    )
-    is_first = ~F.col("m.term").eqNullSafe(F.col("m.before"))
-    return (
-        rows.filter(F.col("m.term").isNotNull())
-        .groupBy("m.term")
-        .agg(F.count_if(is_first).alias("chunks"), F.count(F.lit(1)).alias("occurrences"))
-    )
+    """Chunks and occurrences per term, from the postings; combined on the map side, where a term's pairs stand together."""
+    in_chunk = index.postings.groupBy(F.col("first").alias("term"), "chunk_no").agg(F.sum(F.size("positions")).alias("occurrences"))
+    return in_chunk.groupBy("term").agg(F.count(F.lit(1)).alias("chunks"), F.sum("occurrences").alias("occurrences"))
 
 
 def phrases(queries: DataFrame) -> DataFrame:
@@ -95,9 +130,9 @@ def phrases(queries: DataFrame) -> DataFrame:
 
 
 def _pieces(phrase: DataFrame) -> DataFrame:
-    """``phrase, piece_count, at, first, second, gram``: pairs at every second token, and the last.
+    """``phrase, piece_count, at, first, second``: pairs at every second token, and the last.
 
-    ``second`` is NULL for a phrase of one token; ``gram`` is the piece's hash.
+    ``second`` is NULL for a phrase of one token.
     """
     terms = F.split("phrase", " ")
     n = F.size(terms)
@@ -110,60 +145,52 @@ def _pieces(phrase: DataFrame) -> DataFrame:
             s.alias("at"), F.get(terms, s).alias("first"), F.get(terms, s + 1).alias("second")
         ),
     )
-    pieces = phrase.select("phrase", F.size(starts).alias("piece_count"), F.explode(cut).alias("p")).select(
+    return phrase.select("phrase", F.size(starts).alias("piece_count"), F.explode(cut).alias("p")).select(
         "phrase", "piece_count", "p.*"
     )
-    return pieces.withColumn(
-        "gram",
-        F.when(F.col("second").isNull(), F.xxhash64("first")).otherwise(F.xxhash64("first", "second")),
-    )
 
 
-def phrase_matches(index: SearchIndex, wanted: DataFrame) -> DataFrame:
-    """``phrase, chunk_id, source_path, token_count, is_current, tf`` for a table of ``phrase``.
+def pruned_postings(index: SearchIndex, pieces: DataFrame) -> DataFrame:
+    """The postings that can meet ``pieces``: only their buckets are read, for few terms only these terms' row groups.
 
-    Each token offers the hash of itself and of itself with its successor.  Hashes only find
-    candidates; the tokens themselves decide.
+    What comes to the driver is a set of bucket numbers, and of terms only if there are at most ``NAMED_TERMS``.
     """
-    following = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
-    grams = (
-        index.chunk_tokens.withColumn("following", following)
-        .select(
-            *_KEY,
-            "token_count",
-            "is_current",
-            F.posexplode_outer(F.arrays_zip("tokens", "following")).alias("pos", "t"),
-        )
-        .select("*", F.posexplode_outer(F.array(F.xxhash64("t.tokens"), F.xxhash64("t.tokens", "t.following"))).alias("is_pair", "gram"))
-    )
+    buckets = index.stats.first()["buckets"]
+    firsts = pieces.select("first", bucket_of(F.col("first"), F.lit(buckets)).alias("bucket")).distinct()
+    found = firsts.agg(F.collect_set("bucket").alias("buckets"), F.count(F.lit(1)).alias("terms")).first()
+    read = index.postings.filter(F.col("bucket").isin(sorted(found["buckets"])))
+    if found["terms"] <= NAMED_TERMS:
+        read = read.filter(F.col("first").isin(sorted(r["first"] for r in firsts.select("first").collect())))
+    return read
+
+
+def phrase_matches(index: SearchIndex, wanted: DataFrame) -> DataFrame:
+    """``phrase, chunk_no, token_count, is_current, tf`` for a table of ``phrase``."""
     pieces = _pieces(wanted.select("phrase").distinct())
-    # What is measured is what would be sent: every piece carries its whole phrase.
-    if fits_broadcast(pieces, "phrase"):
-        hits = grams.join(F.broadcast(pieces), "gram")
-    else:
-        spread = pieces.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
-        part = F.pmod(F.xxhash64(*_KEY), F.lit(_SPREAD)).cast("int")
-        hits = grams.withColumn("part", part).join(spread, ["gram", "part"]).drop("part")
-    single = (F.col("is_pair") == 0) & F.col("second").isNull() & (F.col("t.tokens") == F.col("first"))
-    pair = (
-        (F.col("is_pair") == 1)
-        & (F.col("t.tokens") == F.col("first"))
-        & (F.col("t.following") == F.col("second"))
-    )
+    hits = [_met(index, pieces.filter("second is not null"), ["first", "second"]), _met(index, pieces.filter("second is null"), ["first"])]
     # One exchange serves both steps: the pieces of a match and the matches of a chunk meet in it.
-    placed = (
-        hits.filter(single | pair)
-        .select(
-            "phrase", *_KEY, "token_count", "is_current", "piece_count", (F.col("pos") - F.col("at")).alias("start")
-        )
-        .repartition("phrase", *_KEY)
-    )
+    placed = hits[0].unionByName(hits[1]).repartition("phrase", "chunk_no")
+    rows = placed.select("*", F.explode("positions").alias("pos")).withColumn("start", F.col("pos") - F.col("at"))
     whole = (
-        placed.groupBy("phrase", *_KEY, "token_count", "is_current", "piece_count", "start")
+        rows.groupBy("phrase", "chunk_no", "token_count", "is_current", "piece_count", "start")
         .agg(F.count(F.lit(1)).alias("found"))
         .filter(F.col("found") == F.col("piece_count"))
     )
-    return whole.groupBy("phrase", *_KEY, "token_count", "is_current").agg(F.count(F.lit(1)).alias("tf"))
+    return whole.groupBy("phrase", "chunk_no", "token_count", "is_current").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _met(index: SearchIndex, pieces: DataFrame, on: list[str]) -> DataFrame:
+    """Postings of the pieces that agree with them in the columns ``on``."""
+    rows = pruned_postings(index, pieces).drop("bucket")
+    asked = pieces.select("phrase", "piece_count", "at", *on)
+    # What is measured is what would be sent: every piece carries its whole phrase.
+    if fits_broadcast(asked, "phrase"):
+        met = rows.join(F.broadcast(asked), on)
+    else:
+        spread = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
+        part = F.pmod("chunk_no", F.lit(_SPREAD)).cast("int")
+        met = rows.withColumn("part", part).join(spread, [*on, "part"])
+    return met.select("phrase", "piece_count", "at", "chunk_no", "token_count", "is_current", "positions")
 
 
 def _saturation(tf: Column, length: Column, average: Column) -> Column:
@@ -207,9 +234,8 @@ def search(
     asked = phrases(queries)
     matches = phrase_matches(index, asked)
     modes = asked.select("phrase", "search_mode").distinct()
-    order = Window.partitionBy("phrase", "search_mode").orderBy(
-        F.desc(F.round("saturation", 9)), "chunk_id", "source_path"
-    )
+    # Chunks are numbered in the order of their ids.
+    order = Window.partitionBy("phrase", "search_mode").orderBy(F.desc(F.round("saturation", 9)), "chunk_no")
     limit = F.when(F.col("search_mode") == ALL, F.lit(all_k)).otherwise(F.lit(current_k))
     top = (
         _saturated(index, matches)
@@ -221,15 +247,20 @@ def search(
     )
     counts = matches.groupBy("phrase").agg(F.count(F.lit(1)).alias("matching"))
     scored = _scored(index, top.join(counts, "phrase")).select(
-        "phrase", "search_mode", "rank", *_KEY, "bm25_score"
+        "phrase", "search_mode", "rank", "chunk_no", "bm25_score"
     )
     # Adaptive execution knows the size of the scored rows and broadcasts them where they are few.
-    attributed = index.chunks.select(*_RESULT).join(scored, list(_KEY))
+    attributed = index.chunks.select("chunk_no", *_RESULT).join(scored, "chunk_no")
     return asked.join(attributed, ["phrase", "search_mode"]).select(
         "query_id", "search_mode", "rank", *_RESULT, "bm25_score"
     )
 
 
+def named(index: SearchIndex, matches: DataFrame) -> DataFrame:
+    """Matches or scores with the id and path of their chunk."""
+    return matches.join(index.chunks.select("chunk_no", *_KEY), "chunk_no")
+
+
 def search_current(index: SearchIndex, queries: DataFrame, top_k: int = CURRENT_K) -> DataFrame:
     """Top chunks of current versions for ``query_id, query_text``."""
     return search(index, queries.withColumn("search_mode", F.lit(CURRENT)), current_k=top_k)

@@ -1,8 +1,11 @@
-"""The whole knowledge-base run: documents to stored chunks and a stored token index."""
+"""The whole knowledge-base run: documents to a stored index."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from proofline.operators.documents import (
     VIETNAMESE,
@@ -12,31 +15,42 @@ from proofline.operators.documents import (
     current_paths,
     document_inventory,
 )
-from proofline.operators.search import SearchIndex, build_index, corpus_stats
-from proofline.sources.sinks import write_json_lines
+from proofline.operators.search import SearchIndex, build_index, open_index
+from proofline.session import named_folder, shared_folder
+from proofline.sources.sinks import path_exists, write_json_lines
 
 
 def build(documents: DataFrame, root: str, patterns: HeaderPatterns = VIETNAMESE) -> SearchIndex:
-    """Write chunks and their tokens below ``root``; searches read those tables."""
+    """Write chunks, their tokens and the postings below ``root``; searches read those tables."""
     spark = documents.sparkSession
     root = root.rstrip("/")
     current_paths(document_inventory(documents, patterns)).write.parquet(f"{root}/current")
     current = spark.read.parquet(f"{root}/current")
-    marked = build_chunks(documents, patterns, current)
-    marked.write.option("compression", "zstd").parquet(f"{root}/chunks")
-    chunks = spark.read.parquet(f"{root}/chunks")
-    tokens = build_index(chunks).chunk_tokens
-    tokens.write.option("compression", "zstd").parquet(f"{root}/tokens")
-    return open_index(spark, root)
+    return build_index(build_chunks(documents, patterns, current), root)
 
 
 def export(index: SearchIndex, path: str) -> None:
     """Write the chunks as JSON lines in export order."""
-    write_json_lines(chunk_export(index.chunks), path)
+    write_json_lines(chunk_export(index.chunks.drop("chunk_no", "tokens", "token_count")), path)
 
 
-def open_index(spark, root: str) -> SearchIndex:
-    """A stored index."""
-    root = root.rstrip("/")
-    tokens = spark.read.parquet(f"{root}/tokens")
-    return SearchIndex(spark.read.parquet(f"{root}/chunks"), tokens, corpus_stats(tokens))
+def input_state(spark: SparkSession, *paths: str) -> str:
+    """A digest of name, size and time of all files below ``paths``; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    line = F.concat_ws(" ", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
+    # Sums of digests commute, so the list of files is not gathered.
+    lanes = [F.sum(F.conv(F.substring(F.sha2(line, 256), 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+    return files.agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)), *lanes), 256)).first()[0]
+
+
+def stored(spark: SparkSession, state: str, documents: Callable[[], DataFrame]) -> SearchIndex:
+    """The index of an input in ``state``: built once, and opened by whoever asks for the same state later.
+
+    An index is built in a folder of its own; the pointer to it is written last, so a run that failed leaves nothing to be found.
+    """
+    pointer = named_folder(spark, f"knowledge-base-{state}")
+    if not path_exists(spark, f"{pointer}/_SUCCESS"):
+        root = shared_folder(spark, "knowledge-base")
+        build(documents(), root)
+        spark.createDataFrame([(root,)], "root string").coalesce(1).write.mode("overwrite").text(pointer)
+    return open_index(spark, spark.read.text(pointer).first()[0])

@@ -38,7 +38,12 @@ def ensure_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``."""
+    return named_folder(spark, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def named_folder(spark: SparkSession, name: str) -> str:
+    """A path below the folder the cluster names in ``spark.checkpoint.dir``.
 
     Every executor can read that folder, so tables staged there survive the loss of an executor.
     Only a local session without the setting falls back to a temporary folder of this machine.
@@ -49,4 +54,4 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="proofline-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/proofline/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/proofline/{name}"

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def write_clean(clean: DataFrame, path: str, mode: str = "error", **options: str) -> None:
-    """Zstd Parquet by UTC day.
+def write_clean(
+    clean: DataFrame, path: str, mode: str = "error", observation: Observation | None = None, **options: str
+) -> None:
+    """Zstd Parquet by UTC day; ``observation`` gets ``clean``, the rows written.
 
     Rows are dealt by day, where a heavy day is split over tasks and light ones share one, so there
     are neither huge nor very many files.
     """
+    dealt = clean.hint("rebalance", "event_date_utc").sortWithinPartitions("event_date_utc", "source_line")
+    # Counted in the stage that writes, where a repeated task counts once.
+    counted = dealt.observe(observation, F.count(F.lit(1)).alias("clean")) if observation else dealt
     (
-        clean.hint("rebalance", "event_date_utc")
-        .sortWithinPartitions("event_date_utc", "source_line")
-        .write.mode(mode)
+        counted.write.mode(mode)
         .options(compression="zstd", **options)
         .partitionBy("event_date_utc")
         .parquet(path)
@@ -43,3 +45,15 @@ def write_table_csv(result: DataFrame, path: str, mode: str = "error") -> None:
     """A small ordered result as CSV with a header."""
     text = result.select(*[F.col(c).cast("string").alias(c) for c in result.columns])
     text.write.mode(mode).option("header", "true").csv(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in any store Spark reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what is at ``path``, in any store Spark writes."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -5,6 +5,8 @@ import pytest
 
 from proofline.functions import sizing
 from proofline.operators import search
+from proofline.plans import knowledge_base
+from proofline.sources.documents import from_table
 
 WORDS = ["log", "Log", "sao", "lưu", "Sao", "trữ", "đường", "ngưỡng", "CRITICAL", "502", "a", "ERR", "naïve", "x-y", "kết"]
 
@@ -43,11 +45,12 @@ def sqlite_results(rows, current, k):
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_phrases_and_scores_match_a_full_text_engine(spark, monkeypatch, broadcast):
+def test_phrases_and_scores_match_a_full_text_engine(spark, monkeypatch, tmp_path, broadcast):
     if not broadcast:
         monkeypatch.setattr(search, "fits_broadcast", lambda *a, **k: False)
+        monkeypatch.setattr(search, "NAMED_TERMS", 0)
     rows = corpus()
-    index = search.build_index(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).repartition(5), str(tmp_path / "index"), 7 if broadcast else 1)
     queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, query_text string")
     for current, k, run in ((True, 5, search.search_current), (False, 10, search.search_all)):
         found = {}
@@ -56,21 +59,62 @@ def test_phrases_and_scores_match_a_full_text_engine(spark, monkeypatch, broadca
         assert found == sqlite_results(rows, current, k)
 
 
-def test_equal_phrases_share_results_and_copies_do_not_multiply(spark):
+def test_equal_phrases_share_results_and_copies_do_not_multiply(spark, tmp_path):
     rows = [(f"c{i:04d}", "D", "s", None, None, True, "the same passage again", f"p{i}") for i in range(500)]
-    index = search.build_index(spark.createDataFrame(rows, SCHEMA))
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"))
     queries = spark.createDataFrame([(i, "Same PASSAGE") for i in range(50)], "query_id int, query_text string")
     found = search.search_current(index, queries).collect()
     assert len(found) == 250 and {r["chunk_id"] for r in found} == {f"c000{i}" for i in range(5)}
 
 
-def test_term_statistics(spark):
-    rows = [("c1", "D", "s", None, None, True, "b a b", "p1"), ("c2", "D", "s", None, None, True, "b", "p2"),
-            ("c3", "D", "s", None, None, True, "--", "p3")]
-    index = search.build_index(spark.createDataFrame(rows, SCHEMA))
-    assert sorted(map(tuple, search.term_statistics(index).collect())) == [("a", 1, 1), ("b", 2, 3)]
-    assert tuple(index.stats.first()) == (3, 4, pytest.approx(4 / 3))
-    assert search.postings(index).count() == 4
+def test_term_statistics_and_postings(spark, tmp_path):
+    rows = [("c1", "D", "s", None, None, True, "b a b a b", "p1"), ("c2", "D", "s", None, None, True, "b", "p2"),
+            ("c3", "D", "s", None, None, True, "--", "p3"), ("c1", "D", "s", None, None, False, "a", "p0")]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"))
+    assert sorted(map(tuple, search.term_statistics(index).collect())) == [("a", 2, 3), ("b", 2, 4)]
+    assert tuple(index.stats.first()) == (4, 7, pytest.approx(7 / 4), search.BUCKETS)
+    found = search.named(index, index.postings).select("chunk_id", "source_path", "first", "second", "positions").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [("c1", "p1", "b", "a", [0, 2]), ("c1", "p1", "a", "b", [1, 3]), ("c1", "p1", "b", None, [4]), ("c2", "p2", "b", None, [0]), ("c1", "p0", "a", None, [0])],
+        key=str,
+    )
+    # Numbers are in the order of ids, then paths.
+    order = [tuple(r) for r in index.chunks.orderBy("chunk_no").select("chunk_id", "source_path").collect()]
+    assert order == sorted(order)
+
+
+def test_a_search_reads_only_its_buckets_and_terms(spark, tmp_path):
+    rows = [(f"c{i:03d}", "D", "s", None, None, True, f"w{i} w{i + 1} common", f"p{i}") for i in range(300)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"), 16)
+    asked = spark.createDataFrame([("w5 w6",), ("common",)], "phrase string")
+    matches = search.phrase_matches(index, asked)
+    plan = matches._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "In(first" in plan or "EqualTo(first" in plan
+    assert {r["phrase"]: r["count"] for r in matches.groupBy("phrase").count().collect()} == {"w5 w6": 1, "common": 300}
+    read = search.pruned_postings(index, asked.selectExpr("phrase as first"))
+    assert len(read.select("bucket").distinct().collect()) <= 2
+    many = spark.range(1000).selectExpr("concat('w', id) as phrase")
+    assert search.phrase_matches(index, many).count() == 600
+
+
+def test_an_index_is_built_once_for_the_same_input(spark, tmp_path):
+    source = str(tmp_path / "docs")
+    spark.range(3).selectExpr("cast(id as string) as value").coalesce(1).write.text(source)
+    state = knowledge_base.input_state(spark, source)
+    assert state == knowledge_base.input_state(spark, source)
+    built = []
+
+    def documents():
+        built.append(1)
+        frame = spark.createDataFrame([(1, "# A\n\n**x** \n\n## B one\n", "A-1_x_v1.md")], "doc_id long, md_text string, file_name string")
+        return from_table(frame)
+
+    first = knowledge_base.stored(spark, state, documents)
+    again = knowledge_base.stored(spark, state, documents)
+    assert built == [1] and first.chunks.collect() == again.chunks.collect()
+    spark.range(1).selectExpr("'x' as value").write.mode("append").text(source)
+    assert knowledge_base.input_state(spark, source) != state
 
 
 def test_size_check(spark):
