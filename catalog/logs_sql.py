@@ -10,6 +10,10 @@ _TIMESTAMP = (
     " || CASE WHEN user_id % 7 = 0 THEN '+07:00' ELSE 'Z' END AS t,"
 )
 RAW = f"rl AS ({views.RAW_LOG_LINES.replace('@TIMESTAMP@', _TIMESTAMP)})"
+_SOURCE_LANES = ", ".join(f"sum(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT)::VARCHAR" for i in range(4))
+# A table of lines is known by its content: the count and four sums over the digests of all numbered lines.
+SOURCE = f"""src AS MATERIALIZED (SELECT sha256(concat_ws(':', count(*)::VARCHAR, {_SOURCE_LANES})) AS source_sha256
+  FROM (SELECT sha256(to_json([raw_line, source_line::VARCHAR])::VARCHAR) AS h FROM rl))"""
 
 _FIELDS = ("timestamp", "service", "level", "message", "request_id", "trace_id")
 _KIND = (
@@ -101,7 +105,8 @@ normal AS (SELECT *, {_FIND.format(k="code")} AS error_code, {_FIND.format(k="co
 """
 CLEAN = f"""
 {NORMAL},
-clean AS (SELECT source_line, sha256('{LOG_PATH}') AS source_sha256, timestamp_value AS timestamp_raw, timestamp_utc,
+{SOURCE},
+clean AS (SELECT source_line, (SELECT source_sha256 FROM src) AS source_sha256, timestamp_value AS timestamp_raw, timestamp_utc,
   event_date_utc, timestamp_offset_raw, service_value AS service, level_value AS level, message_value AS message_raw,
   request_id_value AS request_id, trace_id_value AS trace_id, error_type, error_code, related_component, path,
   error_parameters_json FROM normal WHERE final_action = 'ACCEPT')
@@ -220,7 +225,7 @@ FROM cat LEFT JOIN issue_counts ON cat.issue_code = issue_counts.issue_code""",
     "message_parameters": f"WITH {NORMAL} SELECT source_line, error_code, related_component, path, error_parameters_json FROM normal",
     "normalization_evidence": f"WITH {CHECKED} SELECT source_line, {_EVIDENCE.format(type=_TYPE)} AS evidence FROM resolved",
     "clean_records": f"WITH {CLEAN} SELECT * FROM clean",
-    "quality_ledger": f"""WITH {CHECKED} SELECT '{LOG_PATH}' AS source_path, sha256('{LOG_PATH}') AS source_sha256, source_line,
+    "quality_ledger": f"""WITH {CHECKED}, {SOURCE} SELECT '{LOG_PATH}' AS source_path, (SELECT source_sha256 FROM src) AS source_sha256, source_line,
 record_digest, raw_line, array_to_string(codes, ';') AS issues, {_EVIDENCE.format(type=_TYPE)} AS normalizations,
 final_action, retained_source_line FROM resolved""",
     "row_conservation": f"""WITH {CLEAN}, t AS (SELECT count(*) AS input_lines, count(*) FILTER (final_action = 'ACCEPT') AS accept_lines,

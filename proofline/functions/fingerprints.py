@@ -23,17 +23,16 @@ def row_hash(frame: DataFrame) -> Column:
     return F.sha2(row_text(frame), 256)
 
 
-def content_fingerprint(frame: DataFrame) -> DataFrame:
-    """One row ``row_count, fingerprint``: equal for equal multisets of rows.
+def lane_sums(row_digest: Column) -> list[Column]:
+    """Aggregates ``lane_0`` and on of row digests, whose values do not depend on order.
 
-    Each row's digest is cut into four 60-bit numbers; their sums commute, so partial sums combine
+    Each digest is cut into four 60-bit numbers; their sums commute, so partial sums combine
     on the map side.  Decimal sums hold 10^19 rows.
     """
-    digest = frame.select(row_hash(frame).alias("h"))
-    lanes = [
+    return [
         F.coalesce(
             F.sum(
-                F.conv(F.substring("h", 1 + i * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast("decimal(20,0)")
+                F.conv(F.substring(row_digest, 1 + i * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast("decimal(20,0)")
             ),
             F.lit(0).cast("decimal(30,0)"),
         )
@@ -41,8 +40,27 @@ def content_fingerprint(frame: DataFrame) -> DataFrame:
         .alias(f"lane_{i}")
         for i in range(_LANES)
     ]
-    sums = digest.agg(F.count(F.lit(1)).alias("row_count"), *lanes)
-    parts = ["row_count", *[f"lane_{i}" for i in range(_LANES)]]
-    return sums.select(
-        "row_count", F.sha2(F.concat_ws(":", *[F.col(p).cast("string") for p in parts]), 256).alias("fingerprint")
-    )
+
+
+def fingerprint_of(row_count: str = "row_count") -> Column:
+    """The fingerprint from a count and lane sums."""
+    parts = [row_count, *[f"lane_{i}" for i in range(_LANES)]]
+    return F.sha2(F.concat_ws(":", *[F.col(p).cast("string") for p in parts]), 256)
+
+
+def content_fingerprint(frame: DataFrame) -> DataFrame:
+    """One row ``row_count, fingerprint``: equal for equal multisets of rows."""
+    digest = frame.select(row_hash(frame).alias("h"))
+    sums = digest.agg(F.count(F.lit(1)).alias("row_count"), *lane_sums(F.col("h")))
+    return sums.select("row_count", fingerprint_of().alias("fingerprint"))
+
+
+def bucket_of(keys: tuple[str, ...], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def bucket_fingerprints(frame: DataFrame, keys: tuple[str, ...], buckets: int) -> DataFrame:
+    """``bucket, row_count, fingerprint`` of the rows of every bucket of keys; what leaves a task is at most a row a bucket."""
+    digest = frame.select(bucket_of(keys, buckets).alias("bucket"), row_hash(frame).alias("h"))
+    sums = digest.groupBy("bucket").agg(F.count(F.lit(1)).alias("row_count"), *lane_sums(F.col("h")))
+    return sums.select("bucket", "row_count", fingerprint_of().alias("fingerprint"))

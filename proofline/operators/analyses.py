@@ -57,14 +57,7 @@ def daily_error_counts(
         .groupBy("event_date_utc", "service")
         .agg(_rows(clean).alias("service_errors"))
     )
-    parts = F.array_sort(F.collect_list(F.struct("service", "service_errors")))
-    daily = by_service.groupBy("event_date_utc").agg(
-        F.sum("service_errors").alias("errors"),
-        F.array_join(
-            F.transform(parts, lambda p: F.concat(p["service"], F.lit(":"), p["service_errors"].cast("string"))),
-            ";",
-        ).alias("by_service"),
-    )
+    daily = by_service.groupBy("event_date_utc").agg(F.sum("service_errors").alias("errors"))
     # From here on there is one row per day.
     if (first_day is None) != (last_day is None):
         raise ValueError("give both calendar bounds or neither")
@@ -78,7 +71,6 @@ def daily_error_counts(
         days = filled.select(
             "day",
             F.when(own, F.col("errors")).otherwise(F.lit(0)).alias("errors"),
-            F.when(own, F.col("by_service")).alias("by_service"),
         )
     else:
         calendar = clean.sparkSession.range(1).select(
@@ -87,11 +79,19 @@ def daily_error_counts(
         days = calendar.join(daily, "event_date_utc", "left").select(
             F.col("event_date_utc").alias("day"),
             F.coalesce("errors", F.lit(0)).alias("errors"),
-            "by_service",
         )
     scored = days.withColumn("median_error_count", F.median("errors").over(Window.partitionBy()))
     unusual = F.col("errors") > 2 * F.col("median_error_count")
-    return scored.select(
+    # Services are gathered for unusual days only.
+    shown = by_service.join(scored.filter(unusual).select(F.col("day").alias("event_date_utc")), "event_date_utc", "left_semi")
+    parts = F.array_sort(F.collect_list(F.struct("service", "service_errors")))
+    listed = shown.groupBy(F.col("event_date_utc").alias("day")).agg(
+        F.array_join(
+            F.transform(parts, lambda p: F.concat(p["service"], F.lit(":"), p["service_errors"].cast("string"))),
+            ";",
+        ).alias("by_service"),
+    )
+    return scored.join(listed, "day", "left").select(
         F.col("day").alias("event_date_utc"),
         F.col("errors").cast("long").alias("daily_error_count"),
         "median_error_count",
@@ -108,14 +108,7 @@ def top_error_types(clean: DataFrame, k: int = 3) -> DataFrame:
         .groupBy("error_type", "service")
         .agg(_rows(clean).alias("service_errors"))
     )
-    parts = F.array_sort(F.collect_list(F.struct("service", "service_errors")))
-    members = F.transform(
-        parts, lambda p: F.concat(quote_json(p["service"]), F.lit(":"), p["service_errors"].cast("string"))
-    )
-    by_type = by_service.groupBy("error_type").agg(
-        F.sum("service_errors").cast("long").alias("error_count"),
-        F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("service_contributions_json"),
-    )
+    by_type = by_service.groupBy("error_type").agg(F.sum("service_errors").cast("long").alias("error_count"))
     # One row per class: windows without a partition are small from here on.
     unclassified = F.sum(
         F.when(F.col("error_type") == UNCLASSIFIED, F.col("error_count")).otherwise(F.lit(0))
@@ -126,8 +119,16 @@ def top_error_types(clean: DataFrame, k: int = 3) -> DataFrame:
         .orderBy(*order)
         .limit(k)
     )
+    # Services are gathered for the top classes only.
+    parts = F.array_sort(F.collect_list(F.struct("service", "service_errors")))
+    members = F.transform(
+        parts, lambda p: F.concat(quote_json(p["service"]), F.lit(":"), p["service_errors"].cast("string"))
+    )
+    listed = by_service.join(F.broadcast(top.select("error_type")), "error_type", "left_semi").groupBy("error_type").agg(
+        F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("service_contributions_json")
+    )
     return (
-        top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
+        top.join(listed, "error_type", "left").withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
         .filter(F.col("error_type").isNotNull())
         .select("rank", "error_type", "error_count", "service_contributions_json", "unclassified_error_count")
     )

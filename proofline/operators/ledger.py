@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,6 +161,18 @@ def require_conservation(ledger: DataFrame, clean: DataFrame) -> None:
         raise ValueError(f"row conservation failed: {row.asDict()}")
 
 
+def ledger_counts() -> list[Column]:
+    """Aggregates that a write of the ledger can observe: rows, and rows of each action."""
+    return [F.count(F.lit(1)).alias("input"), *[F.count_if(F.col("final_action") == a).alias(a.lower()) for a in ACTIONS]]
+
+
+def require_counts(lines: int, ledger: Mapping[str, int], clean: Mapping[str, int]) -> None:
+    """Fail when rows were lost or invented, by what was counted while lines, ledger and clean rows were written."""
+    kept = ledger["accept"] + ledger["repair"]
+    if not (lines == ledger["input"] == kept + ledger["reject"] and kept == clean["clean"]):
+        raise ValueError(f"row conservation failed: {lines} lines, ledger {dict(ledger)}, clean {dict(clean)}")
+
+
 def trace_line(ledger: DataFrame, clean: DataFrame, source_line: int, file_no: int = 0) -> DataFrame:
     """Ledger row, clean row and single-row service count of one line; a rejected line is an error."""
     if source_line < 1:

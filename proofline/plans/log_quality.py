@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from proofline.functions.messages import ErrorTaxonomy
 from proofline.operators.duplicates import first_copies, resolve_duplicates
 from proofline.operators.ledger import (
     DEFAULT_TAXONOMY,
     clean_from_checked,
+    ledger_counts,
     ledger_from_resolved,
-    require_conservation,
+    require_counts,
 )
 from proofline.operators.validation import check_lines
 from proofline.schemas import LEDGER_SCHEMA
@@ -37,17 +39,24 @@ def publish(
     """Write the checked lines once, then ledger and clean records from them, below ``root``.
 
     Lines are parsed a single time: the duplicate search, the ledger and the clean records all
-    read the written check result, which also survives the loss of an executor.
+    read the written check result, which also survives the loss of an executor.  The rows are counted while they are
+    written; no table is read again to prove that none was lost.
     """
     spark = source.lines.sparkSession
     root = root.rstrip("/")
-    check_lines(source.lines, max_line_bytes).write.option("compression", "zstd").parquet(f"{root}/checked")
+    lines, book, kept = Observation("lines"), Observation("ledger"), Observation("clean")
+    files = _written(source.files, f"{root}/files")
+    counted = check_lines(source.lines, max_line_bytes).observe(lines, F.count(F.lit(1)).alias("lines"))
+    counted.write.option("compression", "zstd").parquet(f"{root}/checked")
     checked = spark.read.parquet(f"{root}/checked")
-    first_copies(checked).write.option("compression", "zstd").parquet(f"{root}/copies")
-    resolved = resolve_duplicates(checked, firsts=spark.read.parquet(f"{root}/copies"))
-    write_ledger(ledger_from_resolved(resolved, source.files, taxonomy), f"{root}/ledger")
-    write_clean(clean_from_checked(checked, source.files, taxonomy), f"{root}/clean")
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/ledger")
-    clean = spark.read.parquet(f"{root}/clean")
-    require_conservation(ledger, clean)
-    return Published(ledger, clean)
+    copies = _written(first_copies(checked), f"{root}/copies")
+    resolved = resolve_duplicates(checked, firsts=copies)
+    write_ledger(ledger_from_resolved(resolved, files, taxonomy).observe(book, *ledger_counts()), f"{root}/ledger")
+    write_clean(clean_from_checked(checked, files, taxonomy), f"{root}/clean", observation=kept)
+    require_counts(lines.get["lines"], book.get, kept.get)
+    return Published(spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/ledger"), spark.read.parquet(f"{root}/clean"))
+
+
+def _written(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from proofline.functions.fingerprints import content_fingerprint
+from proofline.functions.fingerprints import bucket_of, content_fingerprint
+from proofline.functions.logic import logic_digest
 from proofline.operators import audit, evidence
 
 
@@ -19,20 +20,58 @@ def test_fingerprint_is_of_the_multiset_of_rows(spark):
     assert prints(empty) != prints(null) and prints(frame.limit(0))[0] == 0
 
 
-def test_tampering_is_named(spark):
+def _stated(spark, tmp_path, name, ledger, clean, logic, **more):
+    return evidence.state({"ledger": ledger, "clean": clean, **more}, logic, str(tmp_path / name))
+
+
+def test_tampering_is_named(spark, tmp_path):
     ledger = spark.createDataFrame([(1, "ACCEPT"), (2, "REJECT")], "source_line long, final_action string")
     clean = spark.createDataFrame([(1, "a")], "source_line long, service string")
-    published = {"ledger": ledger, "clean": clean}
-    manifest, totals = evidence.artifact_manifest(published), evidence.ledger_totals(ledger, clean)
-    evidence.require_verified(evidence.verify_manifest(manifest, totals, published, ledger, clean))
-    forged = ledger.withColumn("final_action", F.lit("ACCEPT"))
-    checks = evidence.verify_manifest(manifest, totals, {**published, "ledger": forged}, forged, clean)
-    bad = {r["check_name"] for r in checks.filter("not ok").collect()}
-    assert bad == {"fingerprint ledger", "total accept", "total reject", "conservation kept = clean", "run_id"}
+    rule = lambda frame, least: frame.filter(F.col("source_line") >= least).groupBy("service").count()
+    empty = spark.createDataFrame([], clean.schema)
+    logic = {"per_service": logic_digest(rule(empty, 1))}
+    result = rule(clean, 1)
+    said = _stated(spark, tmp_path, "said", ledger, clean, logic, per_service=result)
+    bad = lambda live: {r["check_name"] for r in evidence.verify_manifest(said, live).filter("not ok").collect()}
+    same = _stated(spark, tmp_path, "same", ledger, clean.repartition(2), {"per_service": logic_digest(rule(empty, 1))}, per_service=result)
+    evidence.require_verified(evidence.verify_manifest(said, same))
+    assert {r["name"]: r["total"] for r in said.totals.collect()} == {
+        "input": 2, "accept": 1, "repair": 0, "reject": 1, "invalid_action": 0, "clean": 1
+    }
+    forged = _stated(spark, tmp_path, "forged", ledger.withColumn("final_action", F.lit("ACCEPT")), clean, logic, per_service=result)
+    assert bad(forged) == {"fingerprint ledger", "total accept", "total reject", "conservation kept = clean", "run_id"}
     with pytest.raises(ValueError, match="conservation kept = clean"):
-        evidence.require_verified(checks)
-    gone = evidence.verify_manifest(manifest, totals, {"ledger": ledger}, ledger, clean)
-    assert "row_count clean" in {r["check_name"] for r in gone.filter("not ok").collect()}
+        evidence.require_verified(evidence.verify_manifest(said, forged))
+    # The same columns and the same result by another rule.
+    changed = _stated(spark, tmp_path, "changed", ledger, clean, {"per_service": logic_digest(rule(empty, 0))}, per_service=result)
+    assert bad(changed) == {"logic per_service"}
+    cut = _stated(spark, tmp_path, "cut", ledger, clean, logic, per_service=result.filter("count > 5"))
+    assert bad(cut) == {"row_count per_service", "fingerprint per_service", "result per_service", "run_id"}
+    gone = _stated(spark, tmp_path, "gone", ledger, clean, {})
+    assert {"row_count per_service", "logic per_service", "dataset per_service"} <= bad(gone)
+    other = _stated(spark, tmp_path, "other", ledger, clean.withColumn("service", F.lit("b")), logic, per_service=result)
+    assert bad(other) == {"fingerprint clean", "dataset per_service", "run_id"}
+
+
+def test_every_table_is_read_once(spark, tmp_path):
+    frame = spark.range(10).selectExpr("id as source_line", "'ACCEPT' as final_action")
+    frame.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = evidence.measured({"ledger": stored}, {"ledger": evidence.ledger_aggregates()})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_logic_digest_follows_the_logic_alone(spark, tmp_path):
+    spark.range(5).selectExpr("id", "cast(id as string) as t").write.parquet(str(tmp_path / "a"))
+    empty = spark.createDataFrame([], "id long, t string")
+    build = lambda frame, k: frame.filter(F.col("id") > k).select(F.transform(F.split("t", ","), lambda x: F.upper(x)).alias("u"))
+    first = logic_digest(build(empty, 1))
+    assert first == logic_digest(build(spark.createDataFrame([], "id long, t string"), 1))
+    assert first != logic_digest(build(empty, 2))
+    assert first != logic_digest(empty.filter(F.col("id") > 1).select(F.transform(F.split("t", ","), lambda x: F.lower(x)).alias("u")))
+    wide = empty.select(*[F.lit(i).alias(f"c{i}") for i in range(60)])
+    other = empty.select(*[F.lit(i if i < 59 else 0).alias(f"c{i}") for i in range(60)])
+    assert logic_digest(wide) != logic_digest(other)
 
 
 def test_reconstruction_difference_counts_copies(spark):
@@ -47,6 +86,24 @@ def test_reconstruction_difference_counts_copies(spark):
     assert evidence.reconstruction_diff(rebuilt, rebuilt.repartition(3), "n").count() == 0
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 1024])
+def test_only_buckets_that_differ_are_compared(spark, buckets):
+    rebuilt = spark.range(3000).selectExpr("id", "id % 7 as v")
+    published = rebuilt.filter("id <> 5").withColumn("v", F.when(F.col("id") == 77, 9).otherwise(F.col("v"))).unionByName(
+        spark.createDataFrame([(9999, 1), (12, 5)], "id long, v long")
+    )
+    found = evidence.reconstruction_diff(rebuilt, published, "id", buckets=buckets)
+    assert sorted((r["id"], r["status"], r["copies"]) for r in found.collect()) == [
+        (5, "missing", 1), (12, "unexpected", 1), (77, "missing", 1), (77, "unexpected", 1), (9999, "unexpected", 1)
+    ]
+    differ = {r[0] for r in rebuilt.filter("id in (5, 12, 77)").select(bucket_of(("id",), buckets)).distinct().collect()}
+    assert len(differ) <= 3
+    same = evidence.reconstruction_diff(rebuilt, rebuilt.repartition(5), "id", buckets=buckets)
+    assert same.count() == 0
+    # Nothing is left to be shuffled.
+    assert "LocalRelation <empty>" in same._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_inventories(spark, tmp_path_factory):
     tmp_path = tmp_path_factory.mktemp("inputs")
     (tmp_path / "in.d").mkdir()
@@ -65,6 +122,29 @@ def test_inventories(spark, tmp_path_factory):
         evidence.require_same_inventory(before, after)
 
 
+def test_inventories_are_compared_all_at_once(spark):
+    of = lambda **digests: spark.createDataFrame(list(digests.items()) or [], "path string, sha256 string")
+    three = {
+        "declared": of(same="1", gone="1", odd="1", split="1", lost="1", two="1"),
+        "before": of(same="1", gone="1", odd="2", split="2", two="2"),
+        "after": spark.createDataFrame([("same", "1"), ("odd", "1"), ("split", "3"), ("new", "1"), ("twice", "1"), ("twice", "1")], "path string, sha256 string"),
+    }
+    found = {r["path"]: (r["missing"], r["odd"], r["status"]) for r in evidence.inventory_agreement(three).collect()}
+    assert found == {
+        "same": ([], [], "same"),
+        "gone": (["after"], [], "missing"),
+        "odd": ([], ["before"], "changed"),
+        "split": ([], [], "changed"),
+        "lost": (["before", "after"], [], "missing"),
+        "two": (["after"], [], "missing and changed"),
+        "new": (["declared", "before"], [], "missing"),
+        "twice": (["declared", "before"], [], "repeated"),
+    }
+    evidence.require_same_inventory(three["declared"], three["declared"].repartition(2), three["declared"])
+    with pytest.raises(ValueError, match="inventory differs: gone missing"):
+        evidence.require_same_inventory(three["declared"].filter("path in ('same', 'gone')"), three["before"].filter("path = 'same'"), of(same="1", gone="1"))
+
+
 def test_input_binding(spark):
     good, other = "a" * 64, "b" * 64
     schema = "path string, sha256 string"

@@ -34,7 +34,7 @@ def test_line_numbers_across_many_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
     try:
-        found = lines.number_lines(lines.scan_text(spark, str(tmp_path)))
+        found = lines.number_lines(lines.stage_scan(lines.scan_text(spark, str(tmp_path))))
         rows = found.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -71,12 +71,30 @@ def test_size_limit_must_be_positive(spark):
     raise AssertionError("limit 0 was accepted")
 
 
-def test_large_files_are_hashed_in_blocks(spark, tmp_path):
-    content = b"0123456789" * 5000
-    folder = write(tmp_path / "big.bin", content)
-    for limit in (10, 1 << 20):
-        row = lines.file_fingerprints(spark, folder, inline_bytes=limit).first()
-        assert (row["byte_size"], row["source_sha256"]) == (len(content), hashlib.sha256(content).hexdigest())
+def test_files_are_hashed_in_pieces(spark, tmp_path):
+    mark = b"\xef\xbb\xbf"
+    contents = {
+        "a.bin": b"0123456789" * 50_000,
+        "b.bin": bytes(range(256)) * 700,
+        "c.bin": b"x\n" * 30_000,
+        "d.bin": b"\n\n\n",
+        "f.bin": mark + b"a\nb",
+        "g.bin": mark + b"a\nb\n",
+        "h.bin": mark,
+        "i.bin": b"\r\n\xff\x00\r",
+        "j.txt": b"left out",
+    }
+    for name, content in contents.items():
+        write(tmp_path / name, content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        found = lines.file_fingerprints(spark, str(tmp_path), "*.bin").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r["source_path"].rsplit("/", 1)[1]: (r["byte_size"], r["source_sha256"]) for r in found}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items() if n != "j.txt"}
+    # Spark's readers do not list files without a byte.
 
 
 def test_paths_with_spaces_and_other_letters(spark, tmp_path):
@@ -84,13 +102,36 @@ def test_paths_with_spaces_and_other_letters(spark, tmp_path):
     folder.mkdir()
     content = b'{"a":1}\n{"b":2}\n'
     write(folder / "ngày 1%.log", content)
-    for limit in (4, 1 << 20):
-        prints = lines.file_fingerprints(spark, str(folder), inline_bytes=limit)
+    for prints in (lines.file_fingerprints(spark, str(folder)), None):
         source = lines.read_lines(spark, str(folder), prints)
         assert [r["source_sha256"] for r in source.files.collect()] == [hashlib.sha256(content).hexdigest()]
-    names = [r["source_path"] for r in source.files.collect()]
-    again = lines.file_fingerprints(spark, names)
-    assert [r["source_sha256"] for r in again.collect()] == [hashlib.sha256(content).hexdigest()]
+
+
+def test_numbers_are_checked_and_do_not_depend_on_a_second_scan(spark, tmp_path):
+    write(tmp_path / "a.log", b"".join(b"line %d\n" % i for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        staged = lines.stage_scan(lines.scan_text(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert staged.select("block_start").distinct().count() > 3
+    splits = lines.stage_splits(staged)
+    numbered = lines.number_lines(staged.repartition(3), splits)
+    files = lines.scanned_files(splits)
+    assert [tuple(r)[1:] for r in lines.numbering_check(numbered, files).collect()] == [(3000, True)]
+    assert all(r["raw_line"] == f"line {r['source_line'] - 1}" for r in numbered.collect())
+    wrong = numbered.withColumn("source_line", numbered.source_line - (numbered.source_line == 9).cast("int"))
+    assert [r["ok"] for r in lines.numbering_check(wrong, files).collect()] == [False]
+    with pytest.raises(Exception, match="without gaps"):
+        lines.number_lines(staged, lines.stage_splits(staged.filter("row_id % 1000 <> 5"))).collect()
+
+
+def test_a_table_is_known_by_its_lines(spark):
+    frame = spark.createDataFrame([(1, "x"), (2, "y")], "source_line int, raw_line string")
+    digest = lambda f: lines.from_table(f, "p").files.first()["source_sha256"]
+    assert digest(frame) == digest(frame.repartition(3)) != digest(frame.limit(1))
+    assert digest(frame) != digest(frame.selectExpr("source_line", "upper(raw_line) as raw_line"))
 
 
 def test_a_line_number_that_does_not_fit_is_an_error(spark):
