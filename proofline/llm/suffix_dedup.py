@@ -1,23 +1,25 @@
 """Substring dedup by suffix order: every string of ``LENGTH`` bytes that occurs before.
 
-A suffix's longest previous factor reaches ``LENGTH`` if one of its neighbours in suffix order with a
-smaller text position shares that many bytes.  Only suffixes that share ``LENGTH`` bytes have to be
+A suffix's longest previous factor is its longest common prefix with a suffix at a smaller text position; in suffix order that
+is one of two, the previous and the next smaller position.  Only suffixes that share ``LENGTH`` bytes have to be
 ordered together, so suffixes are dealt by an anchor: the ``GRAM``-byte gram of least hash in
 their first ``LENGTH`` bytes.  Equal strings choose equal anchors at equal places.  An anchor found
 once has no repeated string; only the others' surroundings are read again and shuffled.
 
-In a bucket of one anchor the suffixes at each distance from it are put in suffix order
-(``contexts.columns``), ties by text position: the previous smaller position is then the row before,
-the next one the row after.  ``later`` removal drops what has an earlier match and so keeps the
-first copy; ``all`` removal drops what has any match.  Bytes are compared, not only hashes.
+In a bucket of one anchor the suffixes at each distance from it are put in suffix order (``contexts.Suffixes``), and the array of
+their longest previous factors is made from previous and next smaller positions (``contexts.longest_previous``).  Where it
+reaches ``LENGTH`` there is an earlier match: ``keep_first`` drops these bytes, so the first copy stays; else the longest next
+factors are made in the same way, and what has a match on either side goes.  Bytes are compared, not only hashes.
 
 Hot buckets: documents with equal texts are one text from the start; an anchor met more than
 ``HOT_ROWS`` times is not gathered, its strings are compared by MD5 in an aggregation that combines on
 the map side.
 
 Null and empty texts have no bytes.  Matches never cross documents.  Texts of any length are read in
-overlapping pieces.  Documents that share a ``doc_id`` and text are one document; repeated rows are
-each returned.  An empty table gives no rows; other columns are not read.
+overlapping pieces.  Distinct texts are named by their digest: a text under several ids, and several texts under one id, are
+found as such.  Rows with one ``doc_id`` and text are one document; repeated rows are each returned.  A null id is an id like any
+other and comes after all others; of different texts under one least id the one of the smaller digest comes first.
+An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofline.llm.arrays import PIECE, Powers, anchors, byte_values, flat_text, pieces
-from proofline.llm.contexts import columns, merged, runs_of, whole_buckets
+from proofline.llm.contexts import Suffixes, longest_previous, merged, runs_of, whole_buckets
 from proofline.llm.staging import keyed_texts, stage
 
 LENGTH = 400
@@ -42,6 +44,10 @@ TABLE_ROWS = 8192
 
 ANCHORS = "array<struct<hash:long,pos:long,low:int,high:int>>"
 SPAN = "array<struct<start:long,end:long>>"
+SEGMENT = "hash long, text_id long, owner long, lead long, pos long, low int, high int, hot boolean, segment binary"
+# The order of text positions, and what stands for a null id in it.
+PLACE = ("owner", "lead", "text_id", "pos")
+NO_ID = (1 << 63) - 1
 
 
 def anchor_texts(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -77,28 +83,27 @@ def anchor_texts(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def cut_segments(candidates: DataFrame, length: int) -> DataFrame:
-    """``hash, text_id, pos, low, high, hot, segment``: the bytes all strings of an anchor's run cover."""
+    """``SEGMENT`` rows: of every anchor the bytes that all strings of its run cover."""
+    names = [f.split()[0] for f in SEGMENT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat_text(batch.column(1))
-            lists = batch.column(2)
+            data, offsets = flat_text(batch.column(3))
+            lists = batch.column(4)
             cells = lists.flatten()
             rows = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
             pos, low, high = (cells.field(n).to_numpy() for n in ("pos", "low", "high"))
             begins, ends = pos - high + offsets[rows], pos - low + length + offsets[rows]
             raw = data.tobytes()
-            ids = batch.column(0).to_numpy()[rows]
+            keys = [batch.column(i).to_numpy()[rows] for i in range(3)]
             step = 1 << 13
             for at in range(0, len(rows), step):
                 part = slice(at, at + step)
                 segments = [raw[b:e] for b, e in zip(begins[part].tolist(), ends[part].tolist())]
-                arrays = [cells.field("hash")[part], pa.array(ids[part]), *(cells.field(n)[part] for n in ("pos", "low", "high", "hot"))]
-                yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array(segments, pa.binary())], names=["hash", "text_id", "pos", "low", "high", "hot", "segment"]
-                )
+                arrays = [cells.field("hash")[part], *(pa.array(k[part]) for k in keys), *(cells.field(n)[part] for n in ("pos", "low", "high", "hot"))]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(segments, pa.binary())], names=names)
 
-    return candidates.mapInArrow(run, "hash long, text_id long, pos long, low int, high int, hot boolean, segment binary")
+    return candidates.select("text_id", "owner", "lead", "text", "anchors").mapInArrow(run, SEGMENT)
 
 
 def matrices(segments: list[bytes], high: np.ndarray, length: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,23 +119,23 @@ def matrices(segments: list[bytes], high: np.ndarray, length: int, reach: int) -
     return left, right
 
 
-def previous_factors(table: pa.Table, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every row and distance: is there an earlier, and is there a later equal string."""
+def previous_factors(table: pa.Table, length: int, gram: int, both: bool) -> np.ndarray:
+    """For every row and distance the longest previous factor, up to ``length``; with ``both`` the longest one before or after it.
+
+    Rows come in the order of text positions.  Where no factor at a distance reaches ``length``, zeros are given.
+    """
     low, high = (table.column(n).to_numpy().astype(np.int64) for n in ("low", "high"))
     keys = table.column("hash").to_numpy()
     bucket = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).astype(np.int64)])
     reach = length - gram + 1
     left, right = matrices(table.column("segment").to_pylist(), high, length, reach)
-    earlier = np.zeros((len(keys), reach), bool)
-    later = np.zeros((len(keys), reach), bool)
-    for distance, rows, first in columns(bucket, left, right, low, high, length):
-        opens = np.zeros(len(rows) + 1, bool)
-        opens[first] = True
-        opens[-1] = True
-        # Inside a group positions grow, so the neighbours are the previous and next smaller ones.
-        earlier[rows[~opens[:-1]], distance] = True
-        later[rows[~opens[1:]], distance] = True
-    return earlier, later
+    factors = np.zeros((len(keys), reach), np.int16)
+    for distance, rows, common in Suffixes(bucket, left, right, low, high).distances():
+        if (common >= length).any():
+            common = np.minimum(common, length)
+            found = longest_previous(rows, common)
+            factors[rows, distance] = np.maximum(found, longest_previous(-rows, common)) if both else found
+    return factors
 
 
 def bucket_spans(segments: DataFrame, length: int, gram: int, keep_first: bool) -> DataFrame:
@@ -138,14 +143,14 @@ def bucket_spans(segments: DataFrame, length: int, gram: int, keep_first: bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_buckets(batches, 0, TABLE_ROWS):
-            earlier, later = previous_factors(table, length, gram)
-            row, nearest, farthest = runs_of(earlier if keep_first else earlier | later)
+            factors = previous_factors(table, length, gram, not keep_first)
+            row, nearest, farthest = runs_of(factors >= length)
             pos = table.column("pos").to_numpy()[row]
             ids = table.column("text_id").to_numpy()[row]
             arrays = [pa.array(ids), pa.array(pos - farthest), pa.array(pos - nearest + length)]
             yield pa.RecordBatch.from_arrays(arrays, names=["text_id", "start", "end"])
 
-    dealt = segments.repartition(F.col("hash")).sortWithinPartitions("hash", "text_id", "pos")
+    dealt = segments.repartition(F.col("hash")).sortWithinPartitions("hash", *PLACE)
     return dealt.mapInArrow(run, "text_id long, start long, end long")
 
 
@@ -153,21 +158,25 @@ def hot_spans(segments: DataFrame, length: int, keep_first: bool) -> DataFrame:
     """The same for hot anchors: every string by its digest, counted without being gathered."""
     strings = segments.select(
         "text_id",
+        "owner",
+        "lead",
         "segment",
         "pos",
         "high",
         F.explode(F.sequence("low", "high")).alias("distance"),
     ).select(
         "text_id",
+        "owner",
+        "lead",
         (F.col("pos") - F.col("distance")).alias("start"),
         F.unhex(F.md5(F.substring("segment", F.col("high") - F.col("distance") + 1, F.lit(length)))).alias("string"),
     )
-    counts = strings.groupBy("string").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("text_id", "start")).alias("first")
-    )
-    found = strings.join(counts.filter("copies > 1"), "string")
+    place = F.struct("owner", "lead", "text_id", "start")
+    counts = strings.groupBy("string").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))
+    # Stored, so that the join reads two plain shuffles and a hot string's rows can be split.
+    found = strings.join(stage(counts.filter("copies > 1").drop("copies"), "strings"), "string")
     if keep_first:
-        found = found.filter((F.col("first.text_id") != F.col("text_id")) | (F.col("first.start") != F.col("start")))
+        found = found.filter(F.col("first") != place)
     return found.select("text_id", "start", (F.col("start") + length).alias("end"))
 
 
@@ -215,14 +224,18 @@ def repeated_strings(
     """
     texts = keyed_texts(docs, id_column, text_column)
     found = stage(anchor_texts(texts, length, gram), "anchors")
-    # One row per distinct text; the smallest id names it and has its anchors.
+    # One row per distinct text, with a number of its own; the smallest id and the digest order it.
+    own = F.coalesce("doc_id", F.lit(NO_ID))
     distinct = stage(
-        found.groupBy("digest").agg(
-            F.min("doc_id").alias("text_id"),
-            F.count_distinct("doc_id").alias("copies"),
+        found.groupBy("digest")
+        .agg(
+            F.min(own).alias("owner"),
+            F.count_distinct(own).alias("copies"),
             F.first("n_bytes").alias("n_bytes"),
             F.first("anchors").alias("anchors"),
-        ),
+        )
+        .withColumn("lead", F.xxhash64("digest"))
+        .withColumn("text_id", F.monotonically_increasing_id()),
         "texts",
     )
     met = distinct.select("text_id", F.inline("anchors"))
@@ -232,19 +245,19 @@ def repeated_strings(
         "text_id", F.struct("hash", "pos", "low", "high", (F.col("rows") > hot_rows).alias("hot")).alias("anchor")
     )
     wanted = repeated.groupBy("text_id").agg(F.collect_list("anchor").alias("anchors"))
-    candidates = stage(
-        texts.join(wanted, texts.doc_id == wanted.text_id).select("text_id", "text", "anchors").dropDuplicates(["text_id"]),
-        "candidates",
-    )
+    named_wanted = distinct.select("text_id", "owner", "lead", "digest").join(wanted, "text_id")
+    # A distinct text is read again from the row of its smallest id, which both sides name.
+    again = texts.select(own.alias("owner"), F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    candidates = stage(again.join(named_wanted, ["owner", "digest"]).drop("digest").dropDuplicates(["text_id"]), "candidates")
     segments = cut_segments(candidates, length)
     ranges = bucket_spans(segments.filter("not hot"), length, gram, keep_first)
     if not candidates.filter(F.exists("anchors", lambda a: a["hot"])).isEmpty():
         ranges = ranges.unionByName(hot_spans(segments.filter("hot"), length, keep_first))
     lists = ranges.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    cut = cut_texts(candidates.join(lists, "text_id").select("text_id", "text", "spans"))
-    named = found.select("doc_id", "digest", "n_bytes").join(distinct.select("digest", "text_id", "copies"), "digest")
+    cut = cut_texts(candidates.select("text_id", "text").join(lists, "text_id").select("text_id", "text", "spans"))
+    named = found.select("doc_id", "digest", "n_bytes").join(distinct.select("digest", "text_id", "owner", "copies"), "digest")
     # A copy of a whole text goes entirely: all copies, or all but the first document's.
-    copy = F.col("copies") > 1 if not keep_first else F.col("doc_id") > F.col("text_id")
+    copy = F.col("copies") > 1 if not keep_first else own > F.col("owner")
     gone = copy & (F.col("n_bytes") >= length)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     return named.join(cut, "text_id", "left").select(
