@@ -14,9 +14,10 @@ block, members with equal words around it are one group, and its smallest indexe
 with more than ``HOT_ROWS`` members is not gathered: its passages are compared by MD5 in an aggregation
 that combines on the map side.  Documents with equal words are one text from the start.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` and are compared by a 64-bit hash.  Null and empty texts have no words.  Rows
-that repeat a ``doc_id`` and its text are one document and are each returned.  An empty table gives no
-rows; other columns are not read.
+Words are ``[^\\x20\\x09-\\x0D]+`` and are compared by a 64-bit hash.  Null and empty texts have no words.  Distinct texts are
+named by the digest of their words.  Rows that repeat a ``doc_id`` and its text are one document and are each returned;
+different texts under one id are documents neither of which is the earlier one.  A null id comes after all others.
+An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ TABLE_ROWS = 8192
 
 ANCHORS = "array<struct<hash:long,pos:long,low:int,high:int>>"
 SPAN = "array<struct<start:long,end:long>>"
-AROUND = "hash long, text_id long, positions array<long>, low int, high int, indexed boolean, segment binary"
-MEMBER = "hash long, text_id long, pos long, low int, high int, indexed boolean"
+AROUND = "hash long, text_id long, owner long, positions array<long>, low int, high int, indexed boolean, segment binary"
+MEMBER = "hash long, text_id long, owner long, pos long, low int, high int, indexed boolean"
+# What stands for a null id in the order of documents.
+NO_ID = (1 << 63) - 1
 
 
 def _texts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -53,7 +56,7 @@ def _texts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndar
 
 
 def anchor_words(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """``doc_id, digest, n_words, anchors`` of every row; the digest is of the words with one space between."""
+    """``doc_id, digest, n_words, anchors, raw`` of every row; the digest is of the words with one space between."""
     kind = pa.list_(pa.struct([("hash", pa.int64()), ("pos", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,10 +85,11 @@ def anchor_words(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 pa.array(digests, pa.binary()),
                 pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64)),
                 pa.ListArray.from_arrays(pa.array(starts), cells),
+                batch.column(2),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", "n_words", "anchors"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", "n_words", "anchors", "raw"])
 
-    return docs.mapInArrow(run, f"doc_id long, digest binary, n_words long, anchors {ANCHORS}")
+    return docs.mapInArrow(run, f"doc_id long, digest binary, n_words long, anchors {ANCHORS}, raw binary")
 
 
 def _covered(begins: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
@@ -102,8 +106,8 @@ def blocks(candidates: DataFrame, window: int, block: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            data, offsets = flat_text(batch.column(1))
-            ids, lists = batch.column(0).to_pylist(), batch.column(2)
+            data, offsets = flat_text(batch.column(2))
+            ids, owners, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
             for i in range(batch.num_rows):
                 own = data[offsets[i] : offsets[i + 1]]
                 words = Words(own, np.array([0, len(own)]))
@@ -123,14 +127,15 @@ def blocks(candidates: DataFrame, window: int, block: int) -> DataFrame:
                     arrays = [
                         pa.array(hashes[places].view(np.int64)),
                         pa.array(np.full(len(places), ids[i])),
+                        pa.array(np.full(len(places), owners[i])),
                         pa.array(places),
                         pa.array(np.maximum(0, places + window - size).astype(np.int32)),
                         pa.array(np.minimum(block - 1, places).astype(np.int32)),
                         pa.array(np.full(len(places), indexed)),
                     ]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["hash", "text_id", "pos", "low", "high", "indexed"])
+                    yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in MEMBER.split(", ")])
 
-    return candidates.mapInArrow(run, MEMBER).filter("low <= high")
+    return candidates.select("text_id", "owner", "text", "anchors").mapInArrow(run, MEMBER).filter("low <= high")
 
 
 def contexts(candidates: DataFrame, window: int) -> DataFrame:
@@ -143,8 +148,8 @@ def contexts(candidates: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            data, offsets = flat_text(batch.column(1))
-            ids, lists = batch.column(0), batch.column(2)
+            data, offsets = flat_text(batch.column(2))
+            ids, owners, lists = batch.column(0), batch.column(1), batch.column(3)
             for i in range(batch.num_rows):
                 own = data[offsets[i] : offsets[i + 1]]
                 raw = Words(own, np.array([0, len(own)])).hashes(own, powers).tobytes()
@@ -159,22 +164,22 @@ def contexts(candidates: DataFrame, window: int) -> DataFrame:
                 arrays = [
                     pa.array(hashes, pa.int64()),
                     pa.array([ids[i].as_py()] * len(places), pa.int64()),
+                    pa.array([owners[i].as_py()] * len(places), pa.int64()),
                     pa.array(list(places.values()), pa.list_(pa.int64())),
                     pa.array(lows, pa.int32()),
                     pa.array(highs, pa.int32()),
                     pa.array(indexed),
                     pa.array(segments, pa.binary()),
                 ]
-                names = ["hash", "text_id", "positions", "low", "high", "indexed", "segment"]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in AROUND.split(", ")])
 
-    return candidates.mapInArrow(run, AROUND)
+    return candidates.select("text_id", "owner", "text", "members").mapInArrow(run, AROUND)
 
 
 def extended(table: pa.Table, window: int, block: int) -> np.ndarray:
     """For every member and distance: is its passage in a smaller indexed document."""
     low, high = (table.column(n).to_numpy().astype(np.int64) for n in ("low", "high"))
-    keys, ids = table.column("hash").to_numpy(), table.column("text_id").to_numpy()
+    keys, ids = table.column("hash").to_numpy(), table.column("owner").to_numpy()
     indexed = table.column("indexed").to_numpy()
     bucket = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).astype(np.int64)])
     segments = [np.frombuffer(s, np.uint64) for s in table.column("segment").to_pylist()]
@@ -221,13 +226,15 @@ def hot_spans(members: DataFrame, window: int) -> DataFrame:
     at = F.col("high") - F.col("distance")
     passages = members.select("*", F.explode(F.sequence("low", "high")).alias("distance")).select(
         "text_id",
+        "owner",
         "indexed",
         "positions",
         "distance",
         F.unhex(F.md5(F.substring("segment", at * 8 + 1, F.lit(window * 8)))).alias("passage"),
     )
-    first = passages.filter("indexed").groupBy("passage").agg(F.min("text_id").alias("first"))
-    found = passages.filter("not indexed").join(first, "passage").filter("first < text_id")
+    # Stored, so that the join reads two plain shuffles and a hot passage's rows can be split.
+    first = stage(passages.filter("indexed").groupBy("passage").agg(F.min("owner").alias("first")), "passages")
+    found = passages.filter("not indexed").join(first, "passage").filter("first < owner")
     starts = found.select("text_id", "distance", F.explode("positions").alias("pos"))
     return starts.select("text_id", (F.col("pos") - F.col("distance")).alias("start"), (F.col("pos") - F.col("distance") + window).alias("end"))
 
@@ -271,39 +278,41 @@ def repeated_passages(
     """
     if 2 * block > window:
         raise ValueError("a passage must hold a whole block wherever it starts")
-    texts = keyed_texts(docs, id_column, text_column)
+    texts = keyed_texts(docs, id_column, text_column).withColumn("raw", F.unhex(F.sha2("text", 256)))
     found = stage(anchor_words(texts, window, gram), "anchors")
+    # One row per distinct text, with a number of its own; its smallest id decides what is earlier.
+    own = F.coalesce("doc_id", F.lit(NO_ID))
     distinct = stage(
-        found.groupBy("digest").agg(
-            F.min("doc_id").alias("text_id"), F.first("n_words").alias("n_words"), F.first("anchors").alias("anchors")
-        ),
+        found.groupBy("digest")
+        .agg(F.min(F.struct(own.alias("owner"), "raw")).alias("least"), F.first("n_words").alias("n_words"), F.first("anchors").alias("anchors"))
+        .select("digest", "least.owner", "least.raw", "n_words", "anchors", F.monotonically_increasing_id().alias("text_id")),
         "texts",
     )
-    met = distinct.select("text_id", F.inline("anchors"))
+    met = distinct.select("text_id", "owner", F.inline("anchors"))
     # Stored, so that the join below reads two plain shuffles and a hot gram's rows can be split.
     spread = stage(
-        met.groupBy("hash").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most")).filter("least < most"), "grams"
+        met.groupBy("hash").agg(F.min("owner").alias("least"), F.max("owner").alias("most")).filter("least < most"), "grams"
     )
     marked = met.join(spread, "hash").select(
         "text_id",
         F.struct(
-            "pos", "low", "high", (F.col("text_id") < F.col("most")).alias("earlier"), (F.col("text_id") > F.col("least")).alias("later")
+            "pos", "low", "high", (F.col("owner") < F.col("most")).alias("earlier"), (F.col("owner") > F.col("least")).alias("later")
         ).alias("anchor"),
     )
     wanted = marked.groupBy("text_id").agg(F.collect_list("anchor").alias("anchors"))
-    candidates = stage(
-        texts.join(wanted, texts.doc_id == wanted.text_id).select("text_id", "text", "anchors").dropDuplicates(["text_id"]),
-        "candidates",
-    )
+    named_wanted = distinct.select("text_id", "owner", "raw").join(wanted, "text_id")
+    # A distinct text is read again from the row of its smallest id, which both sides name.
+    again = texts.select(own.alias("owner"), "raw", "text")
+    candidates = stage(again.join(named_wanted, ["owner", "raw"]).drop("raw").dropDuplicates(["text_id"]), "candidates")
     rows = stage(blocks(candidates, window, block), "blocks")
     index = rows.filter("indexed")
-    first = stage(index.groupBy("hash").agg(F.min("text_id").alias("first")), "index")
-    hits = stage(rows.filter("not indexed").join(first, "hash").filter("first < text_id").drop("first"), "hits")
-    last = stage(hits.groupBy("hash").agg(F.max("text_id").alias("last")), "last")
-    members = hits.unionByName(index.join(last, "hash").filter("text_id < last").drop("last"))
+    first = stage(index.groupBy("hash").agg(F.min("owner").alias("first")), "index")
+    hits = stage(rows.filter("not indexed").join(first, "hash").filter("first < owner").drop("first"), "hits")
+    last = stage(hits.groupBy("hash").agg(F.max("owner").alias("last")), "last")
+    members = hits.unionByName(index.join(last, "hash").filter("owner < last").drop("last"))
     listed = F.sort_array(F.collect_list(F.struct("pos", "hash", "low", "high", "indexed")))
     lists = members.groupBy("text_id").agg(listed.alias("members"))
-    around = stage(contexts(candidates.drop("anchors").join(lists, "text_id").select("text_id", "text", "members"), window), "around")
+    around = stage(contexts(candidates.drop("anchors").join(lists, "text_id"), window), "around")
     sizes = stage(around.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows), "hot")
     if sizes.isEmpty():
         ranges = bucket_spans(around, window, block)
@@ -312,10 +321,10 @@ def repeated_passages(
             hot_spans(around.join(sizes, "hash", "left_semi"), window)
         )
     covered = ranges.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    cut = cut_words(candidates.join(covered, "text_id").select("text_id", "text", "spans"))
-    named = found.select("doc_id", "digest", "n_words").join(distinct.select("digest", "text_id"), "digest")
+    cut = cut_words(candidates.select("text_id", "text").join(covered, "text_id").select("text_id", "text", "spans"))
+    named = found.select("doc_id", "digest", "n_words").join(distinct.select("digest", "text_id", "owner"), "digest")
     # A later copy of a whole text has every passage in the first one.
-    gone = (F.col("doc_id") > F.col("text_id")) & (F.col("n_words") >= window)
+    gone = (own > F.col("owner")) & (F.col("n_words") >= window)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
     return named.join(cut, "text_id", "left").select(
         "doc_id",

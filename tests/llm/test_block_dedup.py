@@ -50,6 +50,22 @@ def test_equals_brute_force(spark, monkeypatch, window, block, gram, hot_rows, p
     assert got == expected
 
 
+@pytest.mark.parametrize("hot_rows", [10_000, 1])
+def test_null_ids_and_texts_under_one_id(spark, hot_rows):
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared, other, third = words(20), words(20), words(20)
+    texts = [words(5) + shared, shared + words(5), other + words(3), words(3) + other, third + words(2), words(2) + third, words(30)]
+    ids = [None, 5, 7, 7, None, None, 9]
+    rows = [(i, " ".join(t)) for i, t in zip(ids, texts)] + [(None, "  ".join(texts[6])), (3, " ".join(words(4) + other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = block_dedup.digest_columns(block_dedup.repeated_passages(docs, window=10, block=5, gram=4, hot_rows=hot_rows))
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in found.collect())
+    # A null id comes last; texts under one id, or under null ones, are not earlier than each other.
+    removed = [20, 0, 20, 20, 0, 0, 0, 30, 0]
+    assert got == sorted((str(i), len(t.split()), n) for (i, t), n in zip(rows, removed))
+
+
 def test_repeated_rows_and_empty_table(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")
