@@ -27,7 +27,9 @@ are not read.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+import itertools
 import re
 import zlib
 from array import array
@@ -37,7 +39,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from proofline.llm.arrays import spans
 from proofline.llm.staging import keyed_texts
@@ -48,6 +49,9 @@ UNKNOWN_COST = 10.0
 KNOWN_PARTS = 1 << 19
 # Parts up to this length are searched as one window.
 WINDOW = 64
+# Parts up to this length are merged with their pairs in a list.
+SHORT = 32
+_NO_PIECE = float("-inf")
 # Texts are encoded together up to this many characters.
 TOGETHER = 2 << 20
 
@@ -55,6 +59,7 @@ _UNIGRAM, _BPE = 1, 2
 _USER_DEFINED, _UNUSED = 4, 5
 
 ENCODED = "doc_id long, ids array<int>, decoded binary"
+DIGESTS = "doc_id long, n_ids long, ids_crc32 long, n_bytes long, decoded_sha256 string"
 
 
 def read_vocabulary(path: str) -> dict:
@@ -220,7 +225,34 @@ def search(vocabulary: Vocabulary, part: str) -> list[int]:
 
 
 def merge(vocabulary: Vocabulary, part: str) -> list[int]:
-    """Ids of a part by merges: the best ranked pair first, of equal ranks the leftmost."""
+    """Ids of a part by merges: the best ranked pair first, of equal ranks the leftmost.
+
+    A short part keeps the scores of its neighbouring pairs in a list, whose maximum is looked up for every merge.
+    """
+    if len(part) > SHORT:
+        return merge_long(vocabulary, part)
+    values = vocabulary.scores.get
+    symbols = list(part)
+    pairs = [values(a + b, _NO_PIECE) for a, b in zip(symbols, symbols[1:])]
+    while pairs and (best := max(pairs)) > _NO_PIECE:
+        at = pairs.index(best)
+        symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = values(symbols[at - 1] + symbols[at], _NO_PIECE)
+        if at < len(pairs):
+            pairs[at] = values(symbols[at] + symbols[at + 1], _NO_PIECE)
+    return _spelled(vocabulary, symbols)
+
+
+def _spelled(vocabulary: Vocabulary, symbols: list[str]) -> list[int]:
+    known = vocabulary.ids.get
+    ids = list(map(known, symbols))
+    return [i for symbol in symbols for i in vocabulary.spelled(symbol)] if None in ids else ids
+
+
+def merge_long(vocabulary: Vocabulary, part: str) -> list[int]:
+    """The same with the pairs in a heap."""
     values, size = vocabulary.scores.get, len(part)
     symbols = list(part)
     before, after = list(range(-1, size - 1)), list(range(1, size + 1))
@@ -244,7 +276,7 @@ def merge(vocabulary: Vocabulary, part: str) -> list[int]:
                 piece = symbols[first] + symbols[second]
                 if (score := values(piece)) is not None:
                     heapq.heappush(waiting, (-score, first, second, piece))
-    return [i for symbol in symbols if symbol for i in vocabulary.spelled(symbol)]
+    return _spelled(vocabulary, [symbol for symbol in symbols if symbol])
 
 
 class Encoder:
@@ -268,10 +300,18 @@ class Encoder:
         self.ids = array("i")
         self.ends = array("q", [0])
 
+    def forget_oldest(self) -> None:
+        """Keep the half of the parts that was met last."""
+        old = len(self.places) // 2
+        ends = np.frombuffer(self.ends, np.int64)
+        first = int(ends[old])
+        self.places = {part: at for at, part in enumerate(itertools.islice(self.places, old, None))}
+        self.ids, self.ends = self.ids[first:], array("q", (ends[old:] - first).tobytes())
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
         if len(self.places) > KNOWN_PARTS:
-            self.forget()
+            self.forget_oldest()
         places: list[int] = []
         counts = []
         for text in texts:
@@ -328,12 +368,13 @@ def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``ENCODED``: the ids of every text and the bytes they decode to.
+def _coded(docs: DataFrame, vocabulary_path: str, id_column: str, text_column: str, fields: str, columns) -> DataFrame:
+    """One Arrow pass; ``columns`` makes the columns after ``doc_id`` from the ids, their bounds and the decoded texts.
 
     The vocabulary file is read here and sent to the tasks, so only the driver needs it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    names = [f.split()[0] for f in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(shared.value)
@@ -343,31 +384,37 @@ def encode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", tex
             for first, after in _together(texts):
                 ids, counts = encoder.encode(texts[first:after])
                 ends = np.r_[0, np.cumsum(counts)]
-                flat = vocabulary.decode(ids)
+                flat = memoryview(vocabulary.decode(ids))
                 sizes = np.r_[0, np.cumsum(vocabulary.sizes[ids])][ends]
                 # Without the space before the text.
-                decoded = [flat[b:e].tobytes()[1:] for b, e in zip(sizes[:-1].tolist(), sizes[1:].tolist())]
-                arrays = [
-                    batch.column(0).slice(first, after - first),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                    pa.array(decoded, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded"])
+                decoded = [flat[b + 1 : e] for b, e in zip(sizes[:-1].tolist(), sizes[1:].tolist())]
+                arrays = [batch.column(0).slice(first, after - first), *columns(ids, ends, decoded)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return keyed_texts(docs, id_column, text_column).mapInArrow(run, ENCODED)
+    return keyed_texts(docs, id_column, text_column).mapInArrow(run, fields)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """Number and CRC-32 of the ids (unsigned 32-bit, little-endian), and the SHA-256 of what they decode to."""
+def encode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``ENCODED``: the ids of every text and the bytes they decode to."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            ends = lists.offsets.to_numpy()
-            raw = memoryview(lists.values.to_numpy().astype("<u4").tobytes())
-            codes = [zlib.crc32(raw[4 * b : 4 * e]) for b, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            arrays = [batch.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(codes, pa.int64()), batch.column(2)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_ids", "ids_crc32", "decoded"])
-
-    found = encoded.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded binary")
-    return found.select("doc_id", "n_ids", "ids_crc32", F.octet_length("decoded").cast("long").alias("n_bytes"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    def columns(ids: np.ndarray, ends: np.ndarray, decoded: list[memoryview]) -> list[pa.Array]:
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        return [lists, pa.array([bytes(d) for d in decoded], pa.binary())]
+
+    return _coded(docs, vocabulary_path, id_column, text_column, ENCODED, columns)
+
+
+def digests(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``DIGESTS``: number and CRC-32 of the ids (unsigned 32-bit, little-endian), length and SHA-256 of what they decode to."""
+
+    def columns(ids: np.ndarray, ends: np.ndarray, decoded: list[memoryview]) -> list[pa.Array]:
+        raw = memoryview(ids.astype("<u4").tobytes())
+        codes = [zlib.crc32(raw[4 * b : 4 * e]) for b, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        return [
+            pa.array(np.diff(ends), pa.int64()),
+            pa.array(codes, pa.int64()),
+            pa.array([len(d) for d in decoded], pa.int64()),
+            pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+        ]
+
+    return _coded(docs, vocabulary_path, id_column, text_column, DIGESTS, columns)

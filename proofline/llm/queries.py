@@ -61,7 +61,7 @@ def op6_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and checksum of every document's ids, and the digest of what they decode to."""
-    return piece_stream.digests(piece_stream.encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")))
+    return piece_stream.digests(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
 def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

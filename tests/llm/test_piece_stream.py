@@ -113,13 +113,14 @@ def test_decoding(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     encoded = piece_stream.encode(docs, PATH)
     got = {r.doc_id: r for r in encoded.collect()}
-    short = {r.doc_id: r for r in piece_stream.digests(encoded).collect()}
+    short = {r.doc_id: r for r in piece_stream.digests(docs, PATH).collect()}
     for i, text in rows:
         assert bytes(got[i].decoded).decode() == (text or "")
         if "\x00" not in (text or ""):
             assert model.decode(got[i].ids) == (text or "")
         raw = np.array(got[i].ids, "<u4").tobytes()
         assert (short[i].n_ids, short[i].ids_crc32) == (len(got[i].ids), zlib.crc32(raw))
+        assert short[i].n_bytes == len((text or "").encode())
         assert short[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert piece_stream.encode(docs.limit(0), PATH).count() == 0
 
@@ -138,6 +139,19 @@ def test_ids_equal_the_unpatched_library(spark, monkeypatch, window):
     assert {r.doc_id: list(r.ids) for r in piece_stream.encode(docs, PATH).collect()} == dict(enumerate(map(model.encode, more)))
 
 
+def test_both_ways_of_merging_agree_and_old_parts_are_forgotten(vocabulary, monkeypatch):
+    rng = random.Random(12)
+    for _ in range(3000):
+        part = "".join(rng.choice("▁aeinstho日é") for _ in range(rng.randrange(1, piece_stream.SHORT + 1)))
+        assert piece_stream.merge(vocabulary, part) == piece_stream.merge_long(vocabulary, part)
+    monkeypatch.setattr(piece_stream, "KNOWN_PARTS", 40)
+    encoder, fresh = Encoder(vocabulary, by_rank=True), Encoder(vocabulary, by_rank=True)
+    for text in _texts():
+        fresh.forget()
+        assert encoder.encode([text])[0].tolist() == fresh.encode([text])[0].tolist()
+    assert len(encoder.places) < 200
+
+
 def test_other_kinds_of_files_are_refused(tmp_path):
     from sentencepiece import sentencepiece_model_pb2
 
