@@ -8,7 +8,8 @@ not-modified answer may update taken from the revisit, and the stored payload.
 The as-of join works on narrow rows (id, URL, time) and cuts every URL's history into blocks of time: a block's last full
 response is an aggregate that combines on the map side, the last one before each block a window over blocks, and
 only inside a block are single records put in order.  So no task holds all captures of a URL.  Headers and payload are
-joined on by record id afterwards; adaptive execution splits an original with very many revisits.
+joined on by record id afterwards: an original is stored once, and one with more than ``SHARE`` revisits is repeated for every
+``SHARE`` of them, so they meet it in several tasks.
 
 ``outcome`` is ``resolved``; ``unvalidated`` (no validator to compare; resolved, too); ``mismatch`` or
 ``no_original`` (neither headers of an original nor payload).  Records at the same time are in the order of their ids.
@@ -24,6 +25,10 @@ from pyspark.sql import functions as F
 from proofline.llm.staging import stage
 
 BLOCK_SECONDS = 86_400
+# Revisits that meet one copy of their original.
+SHARE = 500
+# Revisits without an original are spread over so many keys.
+ALONE = 1024
 
 # The fields of a stored response that a 304 answer updates.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
@@ -114,16 +119,23 @@ def resolve(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame
         ),
         "captures",
     )
-    matched = as_of(narrow.filter("is_full"), narrow.filter("is_revisit"), block_seconds)
+    matched = stage(as_of(narrow.filter("is_full"), narrow.filter("is_revisit"), block_seconds), "matched")
+    shares = F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares")
+    used = stage(matched.filter("original_id is not null").groupBy("original_id").agg(shares), "used")
     revisits = common.filter("is_revisit").select("record_id", "url", parse_headers(F.col("http_headers")).alias("fresh"))
-    used = matched.select(F.col("original_id")).distinct()
-    originals = (
+    originals = stage(
         common.filter("is_full")
-        .join(used, F.col("record_id") == F.col("original_id"), "left_semi")
         .select(F.col("record_id").alias("original_id"), parse_headers(F.col("http_headers")).alias("stored"), "payload")
-        .dropDuplicates(["original_id"])
+        .join(used, "original_id")
+        .dropDuplicates(["original_id"]),
+        "originals",
     )
-    joined = revisits.join(matched, "record_id", "left").join(originals, "original_id", "left")
+    copies = originals.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+    # Rows without an original have no share and would all meet in one task.
+    alone = F.pmod(F.xxhash64("record_id"), F.lit(ALONE)).cast("int")
+    share = F.coalesce(F.pmod(F.xxhash64("record_id"), F.col("shares")).cast("int"), alone)
+    asked = revisits.join(matched.join(used, "original_id"), "record_id", "left").withColumn("share", share).drop("shares")
+    joined = asked.join(copies, ["original_id", "share"], "left")
     tags = (header(F.col("fresh"), "etag"), header(F.col("stored"), "etag"))
     dates = (header(F.col("fresh"), "last-modified"), header(F.col("stored"), "last-modified"))
     outcome = (
