@@ -6,9 +6,10 @@ labels of all lines together, and a document is kept if at least ``CONTENT_SHARE
 lines.  Fixed counts decide first: fewer than ``LEAST_WORDS`` words, or more than half of the words in repeated
 three-word windows, fail a document whatever its lines are.
 
-The field is fitted by gradient ascent on the penalised conditional likelihood of a bounded sample: the
-``SAMPLE`` labelled documents of least hash, with the document's quality label on its lines.  Without documents
-of both labels every line is content.
+The field is fitted by gradient ascent on the penalised conditional likelihood of a bounded sample: all lines of the
+``SAMPLE`` labelled documents of least hash, with the document's quality label on them.  The sample's features are stored, and
+every step of the ascent is a pass over them in which each task sums the gradient of its own lines; a long text is
+fitted in parts of ``FIT_LINES`` lines.  Without documents of both labels every line is content.
 
 Null and empty texts have no words and fail; repeated rows are each returned; an empty table gives no
 rows; other columns are not read.  Texts are never cut.
@@ -16,7 +17,7 @@ rows; other columns are not read.  Texts are never cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,16 +25,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proofline.llm.arrays import PIECE, Powers, Words, byte_values, flat_text, gram_hashes, mixed, pieces, prefix_hash, ranges_hash
-from proofline.llm.staging import keyed_texts
+from proofline.llm.arrays import (
+    PIECE,
+    Powers,
+    Words,
+    byte_values,
+    flat_text,
+    gram_hashes,
+    mixed,
+    pieces,
+    prefix_hash,
+    ranges_hash,
+    spans,
+)
+from proofline.llm.staging import keyed_texts, stage
 
 LEAST_WORDS = 50
 CONTENT_SHARE = 0.5
 SAMPLE = 2000
-# The sample's longer texts are fitted in parts of this many lines, and by so many parts at most; decoding takes
-# every text whole.
+# The sample's longer texts are fitted in parts of this many lines; decoding takes every text whole.
 FIT_LINES = 64
-FIT_PARTS = 2
+# Parts whose gradient is summed at once, and files of the stored sample.
+FIT_TOGETHER = 512
+FIT_FILES = 4
 STEPS = 150
 RATE = 0.2
 PENALTY = 1e-3
@@ -226,58 +240,84 @@ def gradient(field: Field, features: np.ndarray, labels: np.ndarray, mask: np.nd
     return likelihood, weights, follows
 
 
-def fit_field(features: np.ndarray, labels: np.ndarray, mask: np.ndarray) -> Field:
-    """Gradient ascent with moment estimates on the mean penalised likelihood."""
-    size = features.shape[2]
+def ascend(slope_at: Callable[[Field], np.ndarray], size: int) -> Field:
+    """Gradient ascent with moment estimates on the mean penalised likelihood.
+
+    ``slope_at`` gives the number of lines and the gradient of their likelihood, weights before follows.
+    """
     theta = np.zeros(size + 4)
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        field = Field(theta[:size], theta[size:].reshape(2, 2))
-        _, weights, follows = gradient(field, features, labels, mask)
-        slope = np.r_[weights, follows.ravel()] / max(1, mask.sum()) - PENALTY * theta
+        total = slope_at(Field(theta[:size], theta[size:].reshape(2, 2)))
+        slope = total[1:] / max(1, total[0]) - PENALTY * theta
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         theta = theta + RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     return Field(theta[:size], theta[size:].reshape(2, 2))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> Field | None:
-    """Fit on the labelled documents of least hash, at most ``sample``; ``None`` without both labels."""
+def slope_of(field: Field, parts: list[np.ndarray], quality: np.ndarray) -> np.ndarray:
+    """Number of lines and gradient of parts given as codes of their lines."""
+    total = np.zeros(1 + len(FEATURES) + 4)
+    for at in range(0, len(parts), FIT_TOGETHER):
+        some = parts[at : at + FIT_TOGETHER]
+        codes = np.zeros((len(some), FIT_LINES), np.int64)
+        mask = np.arange(FIT_LINES) < np.array([len(p) for p in some])[:, None]
+        codes[mask] = np.concatenate(some)
+        features = (codes[:, :, None] >> np.arange(len(FEATURES)) & 1).astype(np.float64)
+        labels = np.where(quality[at : at + FIT_TOGETHER, None] == 1, CONTENT, BOILERPLATE) * mask
+        _, weights, follows = gradient(field, features, labels, mask)
+        total += np.r_[mask.sum(), weights, follows.ravel()]
+    return total
+
+
+def sample_lines(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, sample: int) -> DataFrame:
+    """``codes, quality`` of all lines of the sample, in parts of ``FIT_LINES``: a line's features are the bits of its code."""
     marked = labels.filter("quality in (0, 1)").select(F.col("doc_id"), F.col("quality").cast("int").alias("quality"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     # The sample has a fixed bound, and it is what is sent; texts stay where they are until they match.
     texts = keyed_texts(docs, id_column, text_column).join(F.broadcast(chosen), "doc_id").select("text", "quality")
-    kinds = pa.list_(pa.list_(pa.float64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
+        bits = 1 << np.arange(len(FEATURES))
         for batch in batches:
             data, offsets = flat_text(batch.column(0))
-            quality = batch.column(1).to_pylist()
-            rows: list[list] = []
-            marks: list[int] = []
             for bounds, first, _ in pieces(offsets, max(PIECE, int(np.diff(offsets).max(initial=0))), 0):
                 lines = read_lines(data[bounds[0] : bounds[-1]], bounds - bounds[0], powers)
-                for i in range(len(bounds) - 1):
-                    own = lines.features[lines.row == i]
-                    # At most ``FIT_PARTS`` sequences of a document, so the sample's size bounds what is sent.
-                    for at in range(0, min(len(own), FIT_PARTS * FIT_LINES), FIT_LINES):
-                        rows.append(list(own[at : at + FIT_LINES]))
-                        marks.append(quality[first + i])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, kinds), pa.array(marks, pa.int32())], names=["lines", "quality"])
-
-    found = texts.mapInArrow(run, "lines array<array<double>>, quality int").collect()
-    found.sort(key=lambda r: (r.quality, r.lines))
-    if len({r.quality for r in found}) < 2:
+                codes = (lines.features.astype(np.int64) * bits).sum(axis=1).astype(np.int32)
+                counts = np.bincount(lines.row, minlength=len(bounds) - 1)
+                per_text = -(-counts // FIT_LINES)
+                text = np.repeat(np.arange(len(counts)), per_text)
+                starts = (np.cumsum(counts) - counts)[text] + spans(np.zeros(len(counts), np.int64), per_text) * FIT_LINES
+                cells = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(codes)].astype(np.int32)), pa.array(codes))
+                quality = batch.column(1).take(pa.array(first + text))
+                yield pa.RecordBatch.from_arrays([cells, quality], names=["codes", "quality"])
+
+    return texts.mapInArrow(run, "codes array<int>, quality int")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> Field | None:
+    """Fit on the labelled documents of least hash, at most ``sample``; ``None`` without both labels.
+
+    What comes to the driver in a step is a row of sums per task.
+    """
+    stored = stage(sample_lines(docs, labels, id_column, text_column, sample).repartition(FIT_FILES), "lines")
+    if stored.select("quality").distinct().count() < 2:
         return None
-    features = np.zeros((len(found), FIT_LINES, len(FEATURES)))
-    labels_ = np.zeros((len(found), FIT_LINES), np.int64)
-    mask = np.zeros((len(found), FIT_LINES), bool)
-    for i, r in enumerate(found):
-        features[i, : len(r.lines)] = r.lines
-        mask[i, : len(r.lines)] = True
-        labels_[i] = CONTENT if r.quality else BOILERPLATE
-    return fit_field(features, labels_, mask)
+
+    def slope_at(field: Field) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(1 + len(FEATURES) + 4)
+            for batch in batches:
+                lists = batch.column(0)
+                parts = np.split(lists.flatten().to_numpy().astype(np.int64), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+                total += slope_of(field, parts, batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["total"])
+
+        return np.sum([r.total for r in stored.mapInArrow(run, "total array<double>").collect()], axis=0)
+
+    return ascend(slope_at, len(FEATURES))
 
 
 def judge(docs: DataFrame, field: Field | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

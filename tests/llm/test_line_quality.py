@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 
-from proofline.llm import line_quality
+from proofline.llm import line_quality, queries
 from proofline.llm.line_quality import Field
 
 
@@ -94,3 +94,53 @@ def test_noise_is_told_from_prose(spark):
     field = line_quality.fit(docs, labels)
     assert all(r.kept == bool(r.doc_id % 2) for r in line_quality.judge(docs, field).collect())
     assert line_quality.fit(docs, labels.filter("quality = 1")) is None
+
+
+def test_every_line_of_the_sample_is_fitted(spark, monkeypatch):
+    """Noise that comes after hundreds of lines of prose is in the sample, in parts that end with their text."""
+    monkeypatch.setattr(line_quality, "FIT_LINES", 8)
+    text = "\n".join([f"some quiet words number {i} stand here." for i in range(300)] + ["| | LINK"] * 21)
+    docs = spark.createDataFrame([(1, text), (2, "a b\n\nc d"), (3, None), (4, "x"), (5, "left out")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 1), (9, 1)], "doc_id long, quality int")
+    rows = line_quality.sample_lines(docs, labels, "doc_id", "text", 100).collect()
+    assert sorted(len(r.codes) for r in rows if r.quality == 0) == [1] + [8] * 40
+    assert sorted(len(r.codes) for r in rows if r.quality == 1) == [1, 2]
+    bars = 1 << line_quality.FEATURES.index("bars")
+    assert sum(bool(c & bars) for r in rows if r.quality == 0 for c in r.codes) == 21
+
+
+def test_slopes_of_parts_add_up(spark):
+    rng = np.random.default_rng(5)
+    field = Field(rng.normal(size=len(line_quality.FEATURES)), rng.normal(size=(2, 2)))
+    parts = [rng.integers(0, 1 << len(line_quality.FEATURES), rng.integers(1, line_quality.FIT_LINES + 1)) for _ in range(9)]
+    quality = rng.integers(0, 2, 9)
+    whole = line_quality.slope_of(field, parts, quality)
+    one_by_one = sum(line_quality.slope_of(field, [p], quality[i : i + 1]) for i, p in enumerate(parts))
+    assert np.allclose(whole, one_by_one) and whole[0] == sum(map(len, parts))
+
+
+def test_verdicts_equal_an_own_decoding(spark):
+    """``kept`` of the registered query from the texts alone: counts by brute force, labels by trying the field's paths."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    field = line_quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    got = {r.doc_id: r for r in queries.op5_line_quality(spark, folder).collect()}
+    powers = line_quality.Powers()
+    for row in docs.select("doc_id", "text").collect():
+        counts = brute(row.text)
+        raw = np.frombuffer((row.text or "").encode(), np.uint8)
+        features = line_quality.read_lines(raw, np.array([0, len(raw)]), powers).features
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", line)) for line in (row.text or "").split("\n")]
+        words = [n for n in words if n]
+        # Scores of the best paths that end in either label, and the labels on them.
+        best = [(0.0, []), (0.0, [])]
+        for at, line in enumerate(features):
+            emitted = (0.0, float(line @ field.weights))
+            step = lambda y: max(
+                ((best[x][0] + (field.follows[x, y] if at else 0.0), best[x][1]) for x in ((0, 1) if at else (y,))), key=lambda p: p[0]
+            )
+            best = [(step(y)[0] + emitted[y], step(y)[1] + [y]) for y in (0, 1)]
+        labels = max(best, key=lambda p: p[0])[1]
+        content = sum(n for n, y in zip(words, labels) if y == line_quality.CONTENT)
+        kept = not counts[5] and content >= line_quality.CONTENT_SHARE * counts[0]
+        assert (got[row.doc_id].kept, got[row.doc_id].n_words, got[row.doc_id].base_failed) == (kept, counts[0], counts[5])
