@@ -111,9 +111,6 @@ def test_empty_tables_and_bounds(spark):
     assert language_id.fit(none) is None and language_id.identify(none, None).count() == 0
     assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
     assert language_id.accepted(docs, None).count() == 0
-    runs = language_id.count_runs(docs.select("lang", "text"))
-    sizes = language_id.bounded(runs, 50).groupBy("lang").count().collect()
-    assert sizes and all(0 < r["count"] <= 50 for r in sizes)
     many = docs.withColumn("lang", F.col("doc_id").cast("string"))
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(language_id, "MAX_LANGUAGES", 3)
