@@ -1,8 +1,9 @@
 """From raw documents to packed windows: five stages, each a table that the next one reads.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows it is given; all but the last return the
-columns of ``documents``.  Rows with a null ``doc_id`` cannot be named by a decision of the duplicate stages and
-stay; null texts are rejected by the first stage.
+columns of ``documents``.  Decisions about equal texts and cut strings hold for an id and its text, so texts that share an id are told
+apart; of near-duplicates, rows that share an id go or stay together.  Rows with a null ``doc_id`` are dropped or
+changed by no duplicate stage; null texts are rejected by the first stage.
 """
 
 from __future__ import annotations
@@ -14,10 +15,19 @@ from proofline.llm import exact_dedup, language_id, packing, simhash, suffix_ded
 from proofline.llm.queries import vocabulary
 from proofline.llm.staging import documents, stage
 
+# A column that no table of documents has.
+DIGEST = "_text_digest"
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is not in ``dropped``."""
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` whose ``doc_id``, and text if ``dropped`` has its ``digest``, is not in ``dropped``."""
+    if "digest" not in dropped.columns:
+        return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    pairs = dropped.select("doc_id", F.col("digest").alias(DIGEST))
+    return _digested(docs).join(pairs, ["doc_id", DIGEST], "left_anti").select(*docs.columns)
+
+
+def _digested(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(DIGEST, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts keep the document with the largest id."""
     groups = exact_dedup.exact_groups(docs, exact_dedup.even_half())
-    return _without(docs, groups.filter("not kept"))
+    return _without(docs, groups.filter("not kept").select("doc_id", "digest"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +50,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut strings that occurred before, in the order of ids; their first copies stay."""
     found = suffix_dedup.repeated_strings(docs, keep_first=True)
-    changed = found.filter("kept_text is not null").select("doc_id", "kept_text").dropDuplicates(["doc_id"])
+    changed = found.filter("kept_text is not null").select("doc_id", F.col("digest").alias(DIGEST), "kept_text")
+    changed = changed.dropDuplicates(["doc_id", DIGEST])
     text = F.coalesce("kept_text", "text")
     columns = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in docs.columns else {})
-    return docs.join(changed, "doc_id", "left").withColumns(columns).select(*docs.columns)
+    return _digested(docs).join(changed, ["doc_id", DIGEST], "left").withColumns(columns).select(*docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,42 @@ _TURNS = """
     o AS (SELECT *, sum(length(opening) + length(body)) OVER (PARTITION BY pair_id, side, common ORDER BY turn) AS upto FROM s)
 """
 
+# Every string of 400 bytes by its digest; runs of the ones met again, and the bytes between the runs.
+_STRINGS = r"""
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS raw, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes FROM documents),
+s AS (SELECT doc_id, i, md5(raw[i:i + 399]) AS h FROM b, LATERAL (SELECT unnest(range(1, n_bytes - 398)) AS i)),
+f AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM s SEMI JOIN f USING (h)),
+opened AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM hit),
+run AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM opened),
+span AS (SELECT doc_id, k, min(i) AS b, max(i) + 400 AS e FROM run GROUP BY 1, 2),
+gap AS (SELECT doc_id, list(b ORDER BY b) AS bs, list(e ORDER BY b) AS es, sum(e - b)::BIGINT AS gone, count(*) AS spans FROM span GROUP BY 1),
+piece AS (SELECT b.doc_id, n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, raw, bs, es FROM b LEFT JOIN gap ON gap.doc_id = b.doc_id),
+cut AS (SELECT doc_id, n_bytes, n_removed, n_spans, CASE WHEN bs IS NULL THEN hex(raw) ELSE array_to_string(list_transform(range(0, len(bs) + 1), lambda j:
+  hex(raw[(CASE WHEN j = 0 THEN 1 ELSE es[j] END):(CASE WHEN j = len(bs) THEN n_bytes ELSE bs[j + 1] - 1 END)])), '') END AS kept FROM piece)
+SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM cut
+"""
+
+# Every window of 50 words by its digest, with the first document that has it.
+_WINDOWS = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS h FROM w, LATERAL (SELECT unnest(range(1, len(words) - 48)) AS i)),
+f AS (SELECT h, min(doc_id) AS first FROM s GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT DISTINCT doc_id, i FROM s JOIN f USING (h) WHERE first < doc_id),
+opened AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM hit),
+run AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM opened),
+span AS (SELECT doc_id, k, min(i) AS b, max(i) + 50 AS e FROM run GROUP BY 1, 2),
+gap AS (SELECT doc_id, list(b ORDER BY b) AS bs, list(e ORDER BY b) AS es, sum(e - b)::BIGINT AS gone FROM span GROUP BY 1),
+kept AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(gone, 0) AS n_removed,
+    CASE WHEN bs IS NULL THEN words ELSE flatten(list_transform(range(0, len(bs) + 1), lambda j:
+      words[(CASE WHEN j = 0 THEN 1 ELSE es[j] END):(CASE WHEN j = len(bs) THEN len(words) ELSE bs[j + 1] - 1 END)])) END AS kept
+  FROM w LEFT JOIN gap ON gap.doc_id = w.doc_id)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept
+"""
+
 SQL = {
+    "op2_suffix_dedup": _STRINGS,
+    "op6_block_dedup": _WINDOWS,
     "op3_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

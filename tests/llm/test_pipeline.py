@@ -114,3 +114,17 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, docs, "").count() == 0
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    copy, alone, passage = prose(30), prose(30), prose(90)
+    rows = [(1, copy), (1, alone), (2, copy), (3, passage + " one"), (4, "two " + passage), (4, alone + " four"), (None, copy)]
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.drop_exact_copies(spark, docs, "")
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(i), t) for i, t in rows if (i, t) != (1, copy))
+    cut = {(r.doc_id, r.n_chars): r.text for r in corpus_pipeline.cut_repeated_strings(spark, kept, "").filter("doc_id >= 3").collect()}
+    assert cut[(3, len(passage) + 4)] == passage + " one"
+    assert (4, len(alone) + 5) in cut and cut[(4, len(alone) + 5)] == alone + " four"
+    assert [t for (i, n), t in cut.items() if i == 4 and n < 60] == ["two "]
