@@ -10,6 +10,7 @@ from proofline.plans import evaluation_runs, knowledge_base
 from proofline.session import ensure_settings, shared_folder
 from proofline.sources import documents as source
 from proofline.sources import views
+from proofline.sources.sinks import read_json_lines
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +119,14 @@ def chunk_export(spark, folder):
     return documents.chunk_export(chunks(spark, folder))
 
 
+def chunk_files(spark, folder):
+    """The exported JSON lines of the stored chunks, read back with a declared schema."""
+    path = shared_folder(spark, "chunk-files")
+    found = index(spark, folder)
+    knowledge_base.export(found, path)
+    return read_json_lines(spark, path, documents.chunk_export(knowledge_base.stored_chunks(found)).schema)
+
+
 def tokenize(spark, folder):
     return search.tokenized(chunks(spark, folder)).select(
         "chunk_id", "token_count", F.array_join("tokens", " ").alias("tokens")
@@ -261,6 +270,7 @@ QUERIES = {
     "chunk_identity": chunk_identity,
     "resolve_versions": resolve_versions,
     "chunk_export": chunk_export,
+    "chunk_files": chunk_files,
     "tokenize": tokenize,
     "build_index": build_index,
     "phrase_match": phrase_match,

@@ -154,3 +154,5 @@ SELECT case_id, question_type, before_score, after_score, CASE WHEN y < x THEN '
 CASE WHEN question_type = 'version_trap' THEN y >= x WHEN question_type IN ('out_of_scope', 'direct_lookup') THEN after_score = 'pass' ELSE true END AS gate_ok
 FROM both_runs""",
 }
+
+SQL["chunk_files"] = SQL["chunk_export"]

@@ -10,6 +10,7 @@ from proofline.operators.duplicates import is_analytical, resolve_duplicates
 from proofline.plans import log_quality
 from proofline.session import ensure_settings, shared_folder
 from proofline.sources import lines, views
+from proofline.sources.sinks import read_table_csv
 
 LOG_PATH = "raw_log_lines.jsonl"
 # Lines per staged text file: files stay small whatever the size of the log.
@@ -323,6 +324,22 @@ def run_analysis(spark, folder):
     return merged
 
 
+def analysis_files(spark, folder):
+    """What the CSV files of all published analyses say of services, classes and reconciliation, read back as text."""
+    paths = log_quality.publish_analyses(published(spark, folder), shared_folder(spark, "analysis-files"))
+    parts = []
+    for analysis_id, path in paths.items():
+        if analysis_id != "daily-error-counts":
+            columns = analyses.ANALYSES[analysis_id].columns
+            cells = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+            rows = read_table_csv(spark, path, list(columns))
+            parts.append(rows.select(F.lit(analysis_id).alias("analysis_id"), F.concat_ws("|", *cells).alias("row_text")))
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    return merged
+
+
 QUERIES = {
     "physical_lines": physical_lines,
     "source_fingerprint": source_fingerprint,
@@ -357,4 +374,5 @@ QUERIES = {
     "unclassified_rate": unclassified_rate,
     "report_facts": report_facts,
     "run_analysis": run_analysis,
+    "analysis_files": analysis_files,
 }

@@ -260,3 +260,6 @@ UNION ALL SELECT 'daily-error-counts', coalesce(event_date_utc::VARCHAR, '') ||
 UNION ALL SELECT 'top-normalized-errors', coalesce(rank::VARCHAR, '') || '|' || coalesce(error_type::VARCHAR, '') || '|' || coalesce(error_count::VARCHAR, '') || '|' || coalesce(service_contributions_json::VARCHAR, '') || '|' || coalesce(unclassified_error_count::VARCHAR, '') FROM top
 UNION ALL SELECT 'quality-reconciliation', coalesce(metric_type::VARCHAR, '') || '|' || coalesce(issue_code::VARCHAR, '') || '|' || coalesce(final_action::VARCHAR, '') || '|' || coalesce(record_count::VARCHAR, '') || '|' || coalesce(issue_occurrences::VARCHAR, '') || '|' || coalesce(is_reconciled::VARCHAR, '') FROM recon""",
 }
+
+# Without the days, whose fractions every engine writes in its own way.
+SQL["analysis_files"] = f"SELECT * FROM ({SQL['run_analysis']}) WHERE analysis_id <> 'daily-error-counts'"

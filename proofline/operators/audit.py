@@ -18,9 +18,9 @@ SECRET_PATTERNS = {
 }
 # Fixed value: generous number of words on a page.
 WORDS_PER_PAGE = 700
-# What a scan leaves out.
-EXCLUDED_DIRS = (".venv", ".git", "__pycache__", ".planning", "node_modules", ".tmp", ".ruff_cache", ".pytest_cache")
-EXCLUDED_EXTENSIONS = (".sqlite", ".parquet", ".png", ".drawio", ".lock")
+# What a scan leaves out unless told otherwise: histories, dependencies and build results; binary and generated files.
+EXCLUDED_DIRS = (".git", ".hg", ".svn", "node_modules", "vendor", "build", "dist", "target", "__pycache__")
+EXCLUDED_EXTENSIONS = (".7z", ".class", ".gif", ".gz", ".jar", ".jpg", ".lock", ".map", ".pdf", ".png", ".zip")
 
 PASS, WARN, FAIL = "pass", "warn", "fail"
 

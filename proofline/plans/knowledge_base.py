@@ -31,7 +31,12 @@ def build(documents: DataFrame, root: str, patterns: HeaderPatterns = VIETNAMESE
 
 def export(index: SearchIndex, path: str) -> None:
     """Write the chunks as JSON lines in export order."""
-    write_json_lines(chunk_export(index.chunks.drop("chunk_no", "tokens", "token_count")), path)
+    write_json_lines(chunk_export(stored_chunks(index)), path)
+
+
+def stored_chunks(index: SearchIndex) -> DataFrame:
+    """The chunks of an index as they were before they were numbered and cut into tokens."""
+    return index.chunks.drop("chunk_no", "tokens", "token_count")
 
 
 def input_state(spark: SparkSession, *paths: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from proofline.functions.messages import ErrorTaxonomy
+from proofline.operators.analyses import ANALYSES, run_analysis
 from proofline.operators.duplicates import first_copies, resolve_duplicates
 from proofline.operators.ledger import (
     DEFAULT_TAXONOMY,
@@ -19,7 +20,7 @@ from proofline.operators.ledger import (
 from proofline.operators.validation import check_lines
 from proofline.schemas import LEDGER_SCHEMA
 from proofline.sources.lines import DEFAULT_MAX_LINE_BYTES, LineSet
-from proofline.sources.sinks import write_clean, write_ledger
+from proofline.sources.sinks import write_clean, write_ledger, write_table_csv
 
 
 @dataclass(frozen=True)
@@ -60,3 +61,12 @@ def publish(
 def _written(frame: DataFrame, path: str) -> DataFrame:
     frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def publish_analyses(run: Published, root: str) -> dict[str, str]:
+    """Write the result of every registered analysis as CSV below ``root``; returns the path of each."""
+    paths = {}
+    for analysis_id in ANALYSES:
+        paths[analysis_id] = f"{root.rstrip('/')}/{analysis_id}"
+        write_table_csv(run_analysis(analysis_id, run.ledger, run.clean), paths[analysis_id])
+    return paths

@@ -42,9 +42,16 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def write_table_csv(result: DataFrame, path: str, mode: str = "error") -> None:
-    """A small ordered result as CSV with a header."""
+    """A small ordered result as CSV with a header; quotes inside a field are doubled, null is an empty field."""
     text = result.select(*[F.col(c).cast("string").alias(c) for c in result.columns])
-    text.write.mode(mode).option("header", "true").csv(path)
+    text.write.mode(mode).options(header="true", escape='"').csv(path)
+
+
+def read_table_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Such a file as text columns; a header other than ``columns`` is an error."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    options = {"header": "true", "escape": '"', "enforceSchema": "false", "mode": "FAILFAST", "multiLine": "true"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -21,4 +21,11 @@ def test_ledger_survives_json_lines(spark, tmp_path):
 def test_table_as_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     sinks.write_table_csv(spark.createDataFrame([(1, "a,b"), (2, None)], "n int, t string").coalesce(1), path)
+    quoted = str(tmp_path / "quoted")
+    rows = [('{"a":1,"b":"x\\\\y"}', "line\nbreak"), ("", None), ("é", '""')]
+    sinks.write_table_csv(spark.createDataFrame(rows, "j string, t string"), quoted)
+    again = sorted(map(tuple, sinks.read_table_csv(spark, quoted, ["j", "t"]).fillna("").collect()))
+    assert again == sorted((a or "", b or "") for a, b in rows)
+    with pytest.raises(Exception):
+        sinks.read_table_csv(spark, quoted, ["j", "other"]).collect()
     assert [tuple(r) for r in spark.read.option("header", "true").csv(path).orderBy("n").collect()] == [("1", "a,b"), ("2", None)]
