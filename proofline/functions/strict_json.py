@@ -1,4 +1,4 @@
-"""Strict JSON parsing: the library's single Python step, one Arrow pass over a text column.
+"""Strict JSON parsing: the library's Python step over rows, one Arrow pass over one or several text columns.
 
 Spark's JSON readers accept trailing text, ``NaN`` and the like, so they cannot decide what is
 malformed, and they do not keep number text apart (``1`` and ``1.0``).  The step below decides
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,6 +53,15 @@ def _comparable(value):
     return value
 
 
+@dataclass(frozen=True)
+class Parse:
+    """A column to be parsed, what its results' names begin with, and whether ``NaN`` and infinities are values."""
+
+    column: str
+    prefix: str = ""
+    allow_constants: bool = False
+
+
 def parse_objects(
     frame: DataFrame,
     text_column: str,
@@ -60,7 +70,12 @@ def parse_objects(
     allow_constants: bool = False,
     detail: bool = False,
 ) -> DataFrame:
-    """Append the parse result of ``text_column`` to every row.
+    """Append the parse result of ``text_column`` to every row."""
+    return parse_columns(frame, [Parse(text_column, "", allow_constants)], fields, detail)
+
+
+def parse_columns(frame: DataFrame, wanted: Sequence[Parse], fields: Sequence[str], detail: bool = False) -> DataFrame:
+    """Append the parse results of several columns to every row, in one pass.
 
     For each of ``fields``: ``<field>_kind`` (absent, null, bool, int, float, string, array,
     object) and ``<field>_value`` (the string itself, otherwise canonical JSON text).  With
@@ -68,85 +83,95 @@ def parse_objects(
     (display text).  ``canonical_json`` has sorted keys and no spaces; ``extra_fields`` lists the
     other keys in order.
     """
+    added = [_result_fields(w.prefix, fields, detail) for w in wanted]
+    schema = T.StructType(frame.schema.fields + [f for one in added for f in one])
+    indices = [frame.columns.index(w.column) for w in wanted]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsers = [_Parser(fields, w.allow_constants, detail) for w in wanted]
+        for batch in batches:
+            arrays = [a for at, parser in zip(indices, parsers) for a in parser.columns(batch.column(at).to_pylist())]
+            names = [*batch.schema.names, *(f.name for one in added for f in one)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
+
+    return frame.mapInArrow(run, schema)
+
+
+def _result_fields(prefix: str, fields: Sequence[str], detail: bool) -> list[T.StructField]:
     suffixes = ("kind", "value", "equal", "shown") if detail else ("kind", "value")
-    added = [T.StructField("json_status", T.StringType()), T.StructField("canonical_json", T.StringType())]
-    added += [T.StructField(f"{f}_{s}", T.StringType()) for f in fields for s in suffixes]
-    added += [T.StructField("extra_fields", T.ArrayType(EXTRA_FIELD))]
+    names = ["json_status", "canonical_json", *[f"{f}_{s}" for f in fields for s in suffixes]]
+    added = [T.StructField(prefix + n, T.StringType()) for n in names]
+    added.append(T.StructField(f"{prefix}extra_fields", T.ArrayType(EXTRA_FIELD)))
     if detail:
-        added += [T.StructField("extra_shown", T.StringType())]
-    schema = T.StructType(frame.schema.fields + added)
-    known = frozenset(fields)
-    column_index = frame.columns.index(text_column)
-    width = len(suffixes)
+        added.append(T.StructField(f"{prefix}extra_shown", T.StringType()))
+    return added
+
+
+class _Parser:
+    """Texts of one column to the arrays of its results."""
 
     extra_type = pa.list_(pa.struct([("field", pa.string()), ("value_json", pa.string())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = json.JSONDecoder(
-            parse_constant=None if allow_constants else _refuse_constant
-        ).decode
-        encode = json.JSONEncoder(
+    def __init__(self, fields: Sequence[str], allow_constants: bool, detail: bool) -> None:
+        self.fields, self.known, self.detail = fields, frozenset(fields), detail
+        self.width = 4 if detail else 2
+        self.decode = json.JSONDecoder(parse_constant=None if allow_constants else _refuse_constant).decode
+        self.encode = json.JSONEncoder(
             ensure_ascii=False, allow_nan=allow_constants, sort_keys=True, separators=(",", ":")
         ).encode
 
-        def parse(text: str):
-            try:
-                value = decode(text)
-                canonical = encode(value)
-                if not canonical.isascii():
-                    canonical.encode("utf-8")
-            except (ValueError, RecursionError):
-                return MALFORMED, None, None
-            return (OBJECT if type(value) is dict else NOT_OBJECT), canonical, value
-
-        def describe(value) -> tuple:
-            if value is _ABSENT:
-                return ("absent", None, None, None)[:width]
-            kind = _KINDS[type(value)]
-            text = value if kind == "string" else encode(value)
-            if not detail:
-                return kind, text
-            try:
-                equal = encode(_comparable(value))
-            except ValueError:
-                equal = None
-            return kind, text, equal, repr(value)
-
-        nothing = (None,) * width
-        for batch in batches:
-            status: list = []
-            canonicals: list = []
-            cells: list[list] = [[] for _ in fields]
-            extras: list = []
-            extras_shown: list = []
-            for text in batch.column(column_index).to_pylist():
-                state, canonical, value = (None, None, None) if text is None else parse(text)
-                status.append(state)
-                canonicals.append(canonical)
-                others: list = []
-                if state == OBJECT:
-                    for cell, field in zip(cells, fields):
-                        cell.append(describe(value.get(field, _ABSENT)))
-                    if not known.issuperset(value):
-                        others = [
-                            {"field": key, "value_json": encode(value[key])}
-                            for key in sorted(value)
-                            if key not in known
-                        ]
-                else:
-                    for cell in cells:
-                        cell.append(nothing)
-                extras.append(others)
-                if detail:
-                    extras_shown.append(repr([o["field"] for o in others]) if others else None)
-            arrays = [pa.array(status, pa.string()), pa.array(canonicals, pa.string())]
-            for cell in cells:
-                for i in range(width):
-                    arrays.append(pa.array([c[i] for c in cell], pa.string()))
-            arrays.append(pa.array(extras, extra_type))
-            if detail:
-                arrays.append(pa.array(extras_shown, pa.string()))
-            names = [*batch.schema.names, *(f.name for f in added)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
-
-    return frame.mapInArrow(run, schema)
+    def parse(self, text: str):
+        try:
+            value = self.decode(text)
+            canonical = self.encode(value)
+            if not canonical.isascii():
+                canonical.encode("utf-8")
+        except (ValueError, RecursionError):
+            return MALFORMED, None, None
+        return (OBJECT if type(value) is dict else NOT_OBJECT), canonical, value
+
+    def describe(self, value) -> tuple:
+        if value is _ABSENT:
+            return ("absent", None, None, None)[: self.width]
+        kind = _KINDS[type(value)]
+        text = value if kind == "string" else self.encode(value)
+        if not self.detail:
+            return kind, text
+        try:
+            equal = self.encode(_comparable(value))
+        except ValueError:
+            equal = None
+        return kind, text, equal, repr(value)
+
+    def columns(self, texts: list[str | None]) -> list[pa.Array]:
+        status: list = []
+        canonicals: list = []
+        cells: list[list] = [[] for _ in self.fields]
+        extras: list = []
+        extras_shown: list = []
+        for text in texts:
+            state, canonical, value = (None, None, None) if text is None else self.parse(text)
+            status.append(state)
+            canonicals.append(canonical)
+            others: list = []
+            if state == OBJECT:
+                for cell, field in zip(cells, self.fields):
+                    cell.append(self.describe(value.get(field, _ABSENT)))
+                if not self.known.issuperset(value):
+                    others = [
+                        {"field": key, "value_json": self.encode(value[key])}
+                        for key in sorted(value)
+                        if key not in self.known
+                    ]
+            else:
+                for cell in cells:
+                    cell.append((None,) * self.width)
+            extras.append(others)
+            if self.detail:
+                extras_shown.append(repr([o["field"] for o in others]) if others else None)
+        arrays = [pa.array(status, pa.string()), pa.array(canonicals, pa.string())]
+        arrays += [pa.array([c[i] for c in cell], pa.string()) for cell in cells for i in range(self.width)]
+        arrays.append(pa.array(extras, self.extra_type))
+        if self.detail:
+            arrays.append(pa.array(extras_shown, pa.string()))
+        return arrays
