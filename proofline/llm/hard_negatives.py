@@ -36,9 +36,10 @@ POSITIVES = 5
 NEGATIVES = 10
 # A negative's score lies between these hundredths of its positive's.
 MARGIN = (30, 90)
-# Anchors of a block; rows of a chunk at least and at most.
-BLOCK = 512
-CHUNK = (1024, 16_384)
+# Anchors of a block; rows of a chunk at least and at most.  Rows travel once per block and anchors once per chunk, so large
+# ones keep the shuffle far below the scoring.
+BLOCK = 16_384
+CHUNK = (1024, 65_536)
 # Rows and anchors that are scored at once.
 SCORED_ROWS = 1024
 SCORED_ANCHORS = 64
@@ -110,10 +111,13 @@ def unpacked(planes: np.ndarray, codes: list[bytes]) -> np.ndarray:
 
 def numbers_of(codes: np.ndarray) -> np.ndarray:
     """The whole numbers of rows of bytes by plane and group."""
-    bits = np.unpackbits(codes, axis=2).astype(np.int64)
-    weights = 1 << np.arange(codes.shape[1] - 1, -1, -1, dtype=np.int64)
-    weights[0] = -weights[0]
-    return np.einsum("rpd,p->rd", bits, weights)
+    rows, planes, groups = codes.shape
+    numbers = np.zeros((rows, groups * GROUP), np.int64)
+    for plane in range(planes):
+        numbers = 2 * numbers + np.unpackbits(codes[:, plane], axis=1)
+        if not plane:
+            numbers = -numbers
+    return numbers
 
 
 class Tables:
