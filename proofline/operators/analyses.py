@@ -36,9 +36,15 @@ def service_error_counts(clean: DataFrame, level: str = "ERROR") -> DataFrame:
         .groupBy("service")
         .agg(_rows(clean).cast("long").alias("error_count"))
     )
-    order = Window.orderBy(F.desc("error_count"), F.asc("service"))
-    return counts.select(
-        F.row_number().over(order).cast("long").alias("rank"), "service", "error_count"
+    # A service's rank: how many have a greater count, then its place among those with the same one.  Of counts there are few, so
+    # no window holds all services.
+    greater = Window.orderBy(F.desc("error_count")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.groupBy("error_count").agg(F.count(F.lit(1)).alias("services")).select(
+        "error_count", F.coalesce(F.sum("services").over(greater), F.lit(0)).alias("ahead")
+    )
+    place = F.row_number().over(Window.partitionBy("error_count").orderBy("service"))
+    return counts.join(ahead, "error_count").select(
+        (F.col("ahead") + place).cast("long").alias("rank"), "service", "error_count"
     )
 
 

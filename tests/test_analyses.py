@@ -21,11 +21,18 @@ def tuples(frame):
 
 def test_services_rank_by_count_then_name(spark):
     frame = clean(spark, *[(day(1), "ERROR", s, "X") for s in "bbaac"], (day(1), "INFO", "z", None))
-    assert tuples(analyses.service_error_counts(frame)) == [(1, "a", 2), (2, "b", 2), (3, "c", 1)]
+    assert tuples(analyses.service_error_counts(frame).orderBy("rank")) == [(1, "a", 2), (2, "b", 2), (3, "c", 1)]
     assert tuples(analyses.service_error_counts(frame, "INFO")) == [(1, "z", 1)]
     assert tuples(analyses.service_error_counts(frame, "WARN")) == []
 
 
+def test_ranks_of_many_services(spark):
+    rows = [(day(1), "ERROR", f"s{i}", "X") for i in range(60) for _ in range(i % 7 + 1)]
+    counts = sorted(((i % 7 + 1, f"s{i}") for i in range(60)), key=lambda c: (-c[0], c[1]))
+    found = tuples(analyses.service_error_counts(clean(spark, *rows)).orderBy("rank"))
+    assert found == [(k, s, n) for k, (n, s) in enumerate(counts, 1)]
+
+
 def test_days_are_dense_and_flagged_above_twice_the_median(spark):
     rows = [(day(1), "ERROR", "a", "X")] * 2 + [(day(3), "ERROR", s, "X") for s in "bbba"] + [(day(4), "ERROR", "a", "X")]
     found = tuples(analyses.daily_error_counts(clean(spark, *rows)).orderBy("event_date_utc"))
