@@ -36,8 +36,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges`` (``a``, ``b`` long): the least node it reaches.
 
-    A hub never meets its neighbours in one list: its least neighbour is an aggregate, and the join
-    back has rows of two numbers, which adaptive execution splits where one node has many.
+    A hub never meets its neighbours in one list: its least neighbour is an aggregate, and what joins
+    back are rows of two numbers, streamed through a sorted join.
     """
     current = stage(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     before = None
