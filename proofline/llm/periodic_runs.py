@@ -196,37 +196,34 @@ def alike(codes: np.ndarray, first: np.ndarray, period: np.ndarray) -> np.ndarra
 def runs_of_texts(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text, start in it, length and period of all runs, ordered by text, start and period."""
     none = np.zeros(0, np.int64)
-    kept = [(none, none, none)]
+    has = np.zeros(len(bounds) - 1, bool)
     for first, period, text in grid(bounds):
-        left = alike(codes, first, period)
-        kept.append((first[left], period[left], text[left]))
-    first, period, text = (np.concatenate(c) for c in zip(*kept))
-    if not len(first):
+        has[text[alike(codes, first, period)]] = True
+    has = np.flatnonzero(has)
+    if not len(has):
         return none, none, none, none
-    # Only the texts that still have a pair are sorted, one after another without the others.
-    has = np.unique(text)
+    # Only the texts that have a pair of alike points are sorted, one after another without the others.
     sizes = np.diff(bounds)[has]
     begins = np.r_[0, np.cumsum(sizes)]
-    extensions = Extensions(codes[spans(bounds[:-1][has], sizes)], int(sizes.max()))
-    opening, closing = np.zeros((2, len(bounds) - 1), np.int64)
-    opening[has], closing[has] = begins[:-1], begins[1:]
-    shift = opening - bounds[:-1]
-    found = []
-    for at in range(0, len(first), POINTS):
-        some = slice(at, at + POINTS)
-        p, t = period[some], text[some]
-        x = first[some] + shift[t]
-        reach = np.minimum(extensions.query(x, x + p), closing[t] - x - p)
-        hit = np.flatnonzero(reach >= p)
-        found.append((t[hit], p[hit], x[hit], (x + p + reach)[hit]))
+    codes = codes[spans(bounds[:-1][has], sizes)]
+    extensions = Extensions(codes, int(sizes.max()))
+    found = [(none, none, none, none)]
+    for first, period, text in grid(begins):
+        left = alike(codes, first, period)
+        first, period, text = first[left], period[left], text[left]
+        reach = np.minimum(extensions.query(first, first + period), begins[1:][text] - first - period)
+        hit = np.flatnonzero(reach >= period)
+        text, period, first, end = text[hit], period[hit], first[hit], (first + period + reach)[hit]
+        # A period's points come in order: of one end the first is the one less than a step after the stretch's start.
+        new = np.ones(len(hit), bool)
+        new[1:] = (text[1:] != text[:-1]) | (period[1:] != period[:-1]) | (end[1:] != end[:-1])
+        found.append((text[new], period[new], first[new], end[new]))
     text, period, first, end = (np.concatenate(c) for c in zip(*found))
     if not len(text):
         return none, none, none, none
-    # Points come in order: of one text, period and end the first is the one a step or less after the stretch's start.
-    new = np.r_[True, (text[1:] != text[:-1]) | (period[1:] != period[:-1]) | (end[1:] != end[:-1])]
-    text, period, first, end = text[new], period[new], first[new], end[new]
+    opening = begins[:-1][text]
     step = np.maximum(LEAST_LENGTH, LEAST_EXPONENT * period) - 2 * period
-    low, high = np.maximum(first - step, opening[text] - 1), first.copy()
+    low, high = np.maximum(first - step, opening - 1), first.copy()
     while True:
         # The start is above low and at most high.
         open_ = np.flatnonzero(high - low > 1)
@@ -236,8 +233,7 @@ def runs_of_texts(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
         joined = extensions.query(middle, middle + period[open_]) >= first[open_] - middle
         high[open_] = np.where(joined, middle, high[open_])
         low[open_] = np.where(joined, low[open_], middle)
-    start = high - opening[text]
-    length = end - high
+    start, length, text = high - opening, end - high, has[text]
     order = np.lexsort((period, length, start, text))
     text, start, length, period = text[order], start[order], length[order], period[order]
     least = np.r_[True, (text[1:] != text[:-1]) | (start[1:] != start[:-1]) | (length[1:] != length[:-1])]
