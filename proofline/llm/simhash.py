@@ -8,7 +8,9 @@ and their distance is verified.  A group has at most 65 distinct fingerprints.
 fingerprints are one row before anything is shuffled on variants.
 
 A null or empty text, or one without words, has fingerprint zero and links like any other.  Repeated
-rows of a ``doc_id`` are all returned.  An empty table gives no rows; other columns are not read.
+rows of a ``doc_id`` are all returned.  A row with a null id belongs to its fingerprint's group, whose
+``component_id`` is the least id that is not null; a group without any id has a null one.  An empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations

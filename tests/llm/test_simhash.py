@@ -73,3 +73,11 @@ def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(5, "a b c"), (5, "a b c"), (3, "a b c")], "doc_id long, text string")
     assert [r.component_id for r in simhash.near_groups(docs).collect()] == [3, 3, 3]
     assert simhash.near_groups(docs.limit(0)).count() == 0
+
+
+def test_null_ids(spark):
+    rows = [(None, "a b c"), (7, "a b c"), (None, "quite another text than that"), (4, "a b c"), (None, None)]
+    found = simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in found) == sorted(
+        [("None", "4"), ("7", "4"), ("4", "4"), ("None", "None"), ("None", "None")]
+    )
