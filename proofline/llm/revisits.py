@@ -120,22 +120,27 @@ def resolve(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame
         "captures",
     )
     matched = stage(as_of(narrow.filter("is_full"), narrow.filter("is_revisit"), block_seconds), "matched")
+    # Originals with more than ``SHARE`` revisits, and repeated ones: short lists.
     shares = F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares")
-    used = stage(matched.filter("original_id is not null").groupBy("original_id").agg(shares), "used")
+    heavy = stage(matched.filter("original_id is not null").groupBy("original_id").agg(shares).filter("shares > 1"), "heavy")
+    counted = narrow.filter("is_full").groupBy(F.col("record_id").alias("original_id")).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = stage(counted.filter("rows > 1").select("original_id"), "repeated")
     revisits = common.filter("is_revisit").select("record_id", "url", parse_headers(F.col("http_headers")).alias("fresh"))
-    originals = stage(
-        common.filter("is_full")
-        .select(F.col("record_id").alias("original_id"), parse_headers(F.col("http_headers")).alias("stored"), "payload")
-        .join(used, "original_id")
-        .dropDuplicates(["original_id"]),
-        "originals",
+    full = common.filter("is_full and record_id is not null and url is not null and at is not null").select(
+        F.col("record_id").alias("original_id"), parse_headers(F.col("http_headers")).alias("stored"), "payload"
+    )
+    # Payloads are shuffled once, to their revisits; only repeated originals are put together before.
+    several = full.join(repeated, "original_id", "left_semi").dropDuplicates(["original_id"])
+    originals = full.join(repeated, "original_id", "left_anti").unionByName(several)
+    copies = originals.join(heavy, "original_id", "left").withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))
     )
-    copies = originals.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
     # Rows without an original have no share and would all meet in one task.
     alone = F.pmod(F.xxhash64("record_id"), F.lit(ALONE)).cast("int")
-    share = F.coalesce(F.pmod(F.xxhash64("record_id"), F.col("shares")).cast("int"), alone)
-    asked = revisits.join(matched.join(used, "original_id"), "record_id", "left").withColumn("share", share).drop("shares")
-    joined = asked.join(copies, ["original_id", "share"], "left")
+    own = F.pmod(F.xxhash64("record_id"), F.coalesce("shares", F.lit(1))).cast("int")
+    asked = revisits.join(matched.join(heavy, "original_id", "left"), "record_id", "left")
+    asked = asked.withColumn("share", F.when(F.col("original_id").isNull(), alone).otherwise(own)).drop("shares")
+    joined = asked.join(copies.drop("shares"), ["original_id", "share"], "left")
     tags = (header(F.col("fresh"), "etag"), header(F.col("stored"), "etag"))
     dates = (header(F.col("fresh"), "last-modified"), header(F.col("stored"), "last-modified"))
     outcome = (

@@ -74,3 +74,17 @@ def test_outcomes_and_headers(spark):
     ]
     assert revisits.resolve(records.limit(0)).count() == 0
     assert revisits.resolve(records.union(records)).count() == 14
+
+
+def test_an_original_with_many_revisits_and_a_repeated_one(spark, monkeypatch):
+    monkeypatch.setattr(revisits, "SHARE", 4)
+    page = lambda tag: _block(200, f'ETag: "{tag}"')
+    rows = [(1, "response", "http://a/", "2024-01-01T00:00:00Z", page("e"), "hot"), (2, "response", "http://b/", "2024-01-01T00:00:00Z", page("f"), "twice")]
+    rows += [rows[1], rows[1], (2, "response", None, "2024-01-01T00:00:00Z", page("g"), "nowhere")]
+    rows += [(100 + i, "revisit", "http://a/", "2024-01-02T00:00:00Z", _block(304, 'ETag: "e"'), None) for i in range(50)]
+    rows += [(200 + i, "revisit", "http://b/", "2024-01-02T00:00:00Z", _block(304, 'ETag: "f"'), None) for i in range(3)]
+    rows += [(300 + i, "revisit", "http://c/", "2024-01-02T00:00:00Z", _block(304), None) for i in range(20)]
+    found = revisits.resolve(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert len(found) == 73
+    expected = {1: ("resolved", 1, "hot"), 2: ("resolved", 2, "twice"), 3: ("no_original", None, None)}
+    assert all((r.outcome, r.original_id, r.payload) == expected[r.record_id // 100] for r in found)
