@@ -122,3 +122,34 @@ def test_size_check(spark):
     assert sizing.fits_broadcast(frame, "t")
     assert not sizing.fits_broadcast(frame, "t", max_rows=9)
     assert not sizing.fits_broadcast(frame, "t", max_bytes=29)
+
+
+def test_frequent_pairs_of_a_rare_phrase_send_no_rows(spark, tmp_path):
+    texts = ["a b x", "y b c", "c d z", "b c d"] * 50 + ["a b c d", "a b c d a b c d e", "a b"]
+    rows = [(f"c{i:03d}", "D", "s", None, None, True, t, f"p{i}") for i, t in enumerate(texts)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"))
+    pieces = search._pieces(spark.createDataFrame([("a b c d",)], "phrase string"))
+    assert sorted(r["pos"] for r in search._met_grams(index, pieces).collect()) == [0, 0, 4]
+
+
+@pytest.mark.parametrize("rows_sent", ["broadcast", "gate", "all"])
+def test_phrases_of_all_lengths_match_brute_force(spark, monkeypatch, tmp_path, rows_sent):
+    if rows_sent != "broadcast":
+        monkeypatch.setattr(search, "fits_broadcast", lambda *a, **k: False)
+    if rows_sent == "all":
+        monkeypatch.setattr(search, "GATE_ROWS", 0)
+    rng = random.Random(8)
+    texts = [[rng.choice("abc") for _ in range(rng.randrange(1, 30))] for _ in range(40)] + [list("ab") * 10, ["c"]]
+    rows = [(f"c{i:03d}", "D", "s", None, None, True, " ".join(t), f"p{i}") for i, t in enumerate(texts)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path / "index"), 3)
+    wanted = {" ".join(t[: n + 1]) for t in texts for n in range(12)} | {"a " * 8 + "b", "q", "a q"}
+    expected = {}
+    for phrase in wanted:
+        terms = phrase.split()
+        for i, t in enumerate(texts):
+            tf = sum(t[at : at + len(terms)] == terms for at in range(len(t)))
+            if tf:
+                expected[phrase, f"c{i:03d}"] = tf
+    asked = spark.createDataFrame([(" ".join(w.split()),) for w in wanted], "phrase string")
+    found = search.named(index, search.phrase_matches(index, asked)).collect()
+    assert {(r["phrase"], r["chunk_id"]): r["tf"] for r in found} == expected and len(found) == len(expected)
