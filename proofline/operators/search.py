@@ -51,7 +51,7 @@ _RESULT = (
 GRAM = 4
 POSTINGS = (
     "first string, second string, chunk_no long, token_count long, is_current boolean, positions array<int>,"
-    " thirds array<string>, fourths array<string>"
+    " thirds array<string>, fourths array<string>, leads boolean"
 )
 # Repetitions of the phrase table when it is too large to broadcast: spreads a frequent piece.
 _SPREAD = 16
@@ -113,7 +113,8 @@ def bucket_of(first: Column, buckets: Column) -> Column:
 def postings_of(stored: DataFrame) -> DataFrame:
     """``POSTINGS`` rows of the chunks: every token with the one after it, all its places in the chunk, and what follows there.
 
-    A chunk is one row, so its pairs are gathered inside the task that reads it.
+    A chunk is one row, so its pairs are gathered inside the task that reads it.  Of the pairs of a token in a chunk one ``leads``, so
+    that chunks are counted without bringing them together.
     """
     names = [f.split()[0] for f in POSTINGS.split(", ")]
 
@@ -142,12 +143,15 @@ def postings_of(stored: DataFrame) -> DataFrame:
             head = order[starts]
             offsets = pa.array(np.r_[starts, len(order)].astype(np.int32))
             chunk = pa.array(row[head])
+            leads = np.zeros(len(head), bool)
+            leads[np.unique(code[head] * len(sizes) + row[head], return_index=True)[1]] = True
             arrays = [
                 vocabulary.take(pa.array(code[head])),
                 vocabulary.take(pa.array(after[0][head])),
                 *(batch.column(i).take(chunk) for i in range(3)),
                 pa.ListArray.from_arrays(offsets, pa.array(place[order].astype(np.int32))),
                 *(pa.ListArray.from_arrays(offsets, vocabulary.take(pa.array(a[order]))) for a in after[1:]),
+                pa.array(leads),
             ]
             step = 1 << 16
             whole = pa.RecordBatch.from_arrays(arrays, names=names)
@@ -166,8 +170,9 @@ def corpus_stats(stored: DataFrame) -> DataFrame:
 
 def term_statistics(index: SearchIndex) -> DataFrame:
     """Chunks and occurrences per term, from the postings; combined on the map side, where a term's pairs stand together."""
-    in_chunk = index.postings.groupBy(F.col("first").alias("term"), "chunk_no").agg(F.sum(F.size("positions")).alias("occurrences"))
-    return in_chunk.groupBy("term").agg(F.count(F.lit(1)).alias("chunks"), F.sum("occurrences").alias("occurrences"))
+    return index.postings.groupBy(F.col("first").alias("term")).agg(
+        F.count_if("leads").alias("chunks"), F.sum(F.size("positions")).alias("occurrences")
+    )
 
 
 def phrases(queries: DataFrame) -> DataFrame:

@@ -153,3 +153,11 @@ def test_phrases_of_all_lengths_match_brute_force(spark, monkeypatch, tmp_path,
     asked = spark.createDataFrame([(" ".join(w.split()),) for w in wanted], "phrase string")
     found = search.named(index, search.phrase_matches(index, asked)).collect()
     assert {(r["phrase"], r["chunk_id"]): r["tf"] for r in found} == expected and len(found) == len(expected)
+
+
+def test_term_statistics_shuffle_terms_only(spark, tmp_path):
+    rows = [(f"c{i:03d}", "D", "s", None, None, True, "a b a c a b", f"p{i}") for i in range(60)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path / "index"))
+    found = search.term_statistics(index)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, found.collect())) == [("a", 60, 180), ("b", 60, 120), ("c", 60, 60)]
