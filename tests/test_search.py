@@ -161,3 +161,11 @@ def test_term_statistics_shuffle_terms_only(spark, tmp_path):
     found = search.term_statistics(index)
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert sorted(map(tuple, found.collect())) == [("a", 60, 180), ("b", 60, 120), ("c", 60, 60)]
+
+
+def test_chunks_without_text_have_no_postings(spark, tmp_path):
+    rows = [("c1", "D", "s", None, None, True, None, "p1"), ("c2", "D", "s", None, None, True, "", "p2"), ("c3", "D", "s", None, None, True, "a b", "p3")]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "index"))
+    assert index.chunks.count() == 3
+    found = search.named(index, index.postings).select("chunk_id", "first", "positions").collect()
+    assert sorted(map(tuple, found)) == [("c3", "a", [0]), ("c3", "b", [1])]
