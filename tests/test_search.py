@@ -169,3 +169,18 @@ def test_chunks_without_text_have_no_postings(spark, tmp_path):
     assert index.chunks.count() == 3
     found = search.named(index, index.postings).select("chunk_id", "first", "positions").collect()
     assert sorted(map(tuple, found)) == [("c3", "a", [0]), ("c3", "b", [1])]
+
+
+def test_places_of_whole_phrases_are_shuffled_once(spark, tmp_path):
+    texts = ["a b c d a b c d a b c e", "a b c", "x a b c d", "a b a b a b", "d"]
+    rows = [(f"c{i}", "D", "s", None, None, True, t, f"p{i}") for i, t in enumerate(texts)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).repartition(2), str(tmp_path / "index"))
+    matches = search.phrase_matches(index, spark.createDataFrame([("a b",), ("a b c",), ("a b c d",), ("a b a b",)], "phrase string"))
+    plan = matches._jdf.queryExecution().executedPlan().toString()
+    # One exchange of what was counted where it lies; the other is that of the phrases, below their broadcast.
+    assert plan.split("BroadcastExchange")[0].count("Exchange hashpartitioning") == 1
+    found = {(r["phrase"], r["chunk_id"]): r["tf"] for r in search.named(index, matches).collect()}
+    assert found == {
+        ("a b", "c0"): 3, ("a b", "c1"): 1, ("a b", "c2"): 1, ("a b", "c3"): 3, ("a b c", "c0"): 3, ("a b c", "c1"): 1,
+        ("a b c", "c2"): 1, ("a b c d", "c0"): 2, ("a b c d", "c2"): 1, ("a b a b", "c3"): 2,
+    }
