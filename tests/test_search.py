@@ -184,3 +184,44 @@ def test_places_of_whole_phrases_are_shuffled_once(spark, tmp_path):
         ("a b", "c0"): 3, ("a b", "c1"): 1, ("a b", "c2"): 1, ("a b", "c3"): 3, ("a b c", "c0"): 3, ("a b c", "c1"): 1,
         ("a b c", "c2"): 1, ("a b c d", "c0"): 2, ("a b c d", "c2"): 1, ("a b a b", "c3"): 2,
     }
+
+
+def test_rows_go_to_their_bucket_without_a_sort_and_nothing_is_kept_twice(spark, tmp_path):
+    rows = [(f"c{i:03d}", "D", "s", None, None, True, f"w{i % 9} w{i % 5} w{i % 7} x", f"p{i}") for i in range(200)]
+    root = tmp_path / "index"
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).repartition(3), str(root), 4)
+    assert sorted(p.name for p in root.iterdir()) == ["chunks", "postings", "stats"]
+    assert "tokens" not in index.chunks.columns and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+    # A bucket's rows lie as a run of chunks gave them: by pair, then chunk.
+    files = [sorted(p.glob("*.parquet")) for p in (root / "postings").glob("bucket=*")]
+    for path in (p for found in files for p in found):
+        keys = [(r["first"], r["second"] is None, r["second"], r["chunk_no"]) for r in spark.read.parquet(str(path)).collect()]
+        assert keys == sorted(keys)
+    assert tuple(index.stats.first())[:2] == (200, 800)
+
+
+def test_a_knowledge_base_cuts_texts_once(spark, tmp_path, monkeypatch):
+    calls = []
+    cut = knowledge_base.document_inventory
+    monkeypatch.setattr(knowledge_base, "document_inventory", lambda *a: calls.append(1) or cut(*a))
+    text = "# A\n\n**x** · Phiên bản {v}.0{s}\n\n## B one\n\n## C two\n"
+    rows = [(text.format(v=1, s=""), "A-1_x_v1.md"), (text.format(v=2, s=" · Thay thế phiên bản trước"), "A-1_x_v2.md"), (None, "B-2_v1.md")]
+    documents = from_table(spark.createDataFrame(rows, "md_text string, file_name string"))
+    index = knowledge_base.build(documents, str(tmp_path / "kb"))
+    assert calls == [1] and not (tmp_path / "kb" / "sections").exists()
+    found = sorted((r["source_path"], r["section"], r["is_current"]) for r in index.chunks.collect())
+    assert [(p, c) for p, _, c in found] == [
+        ("docs/A-1_x_v1.md", False), ("docs/A-1_x_v1.md", False), ("docs/A-1_x_v2.md", True), ("docs/A-1_x_v2.md", True), ("docs/B-2_v1.md", True)
+    ]
+
+
+def test_an_export_of_chunks_builds_no_index(spark, tmp_path, monkeypatch):
+    from catalog import knowledge
+
+    monkeypatch.setattr(knowledge_base, "build_index", lambda *a, **k: pytest.fail("the postings were built"))
+    rows = [(i, f"First words of document {i}\nSecond line", "en", f"src{i % 2}") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    found = knowledge.chunk_files(spark, str(tmp_path))
+    expected = knowledge.chunk_export(spark, str(tmp_path))
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.count() >= 12
