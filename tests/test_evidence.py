@@ -180,3 +180,34 @@ def test_audit(spark):
     assert [r["id"] for r in missing.collect()] == [9]
     summary = {r["check_name"]: tuple(r)[1:] for r in audit.audit_summary({"lengths": lengths}).collect()}
     assert summary == {"lengths": (1, 3, 1, "FAILED"), "overall": (1, 3, 1, "FAILED")}
+
+
+def test_lanes_are_summed_as_longs_with_the_values_of_decimals(spark):
+    from proofline.functions.fingerprints import lane_sums
+
+    digests = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    digests = digests.unionByName(spark.createDataFrame([("f" * 64,), ("0" * 64,), (None,)], "h string"))
+    sums = digests.agg(*lane_sums(F.col("h")))
+    known = [r["h"] for r in digests.collect() if r["h"]]
+    assert [int(v) for v in sums.first()] == [sum(int(h[15 * i : 15 * i + 15], 16) for h in known) for i in range(4)]
+    assert [int(v) for v in digests.filter("h = ''").agg(*lane_sums(F.col("h"))).first()] == [0] * 4
+    partial = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(conv" not in partial and "as decimal(20,0)" not in partial
+
+
+def test_a_reconstruction_makes_the_digest_of_its_source_once(spark, tmp_path, monkeypatch):
+    from catalog import evidence as queries
+
+    class Seen(Exception):
+        pass
+
+    def rebuild(checked, files):
+        raise Seen(files._jdf.queryExecution().optimizedPlan().toString())
+
+    rows = [(i, i % 5, "error" if i % 3 else "signup", f"2024-01-{i % 28 + 1:02d} 10:00:00") for i in range(30)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts string")
+    events.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries.ledger, "clean_from_checked", rebuild)
+    with pytest.raises(Seen) as seen:
+        queries.reconstruction_diff(spark, str(tmp_path))
+    assert "sha2(" not in str(seen.value) and "parquet" in str(seen.value)
