@@ -17,6 +17,9 @@ from proofline.llm.staging import documents, stage
 
 # A column that no table of documents has.
 DIGEST = "_text_digest"
+# Bytes of the strings that are cut: fifty words of four letters with their spaces; and of the grams they are met by.
+PASSAGE, GRAM = 250, 80
+
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id``, and text if ``dropped`` has its ``digest``, is not in ``dropped``."""
@@ -48,8 +51,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut strings that occurred before, in the order of ids; their first copies stay."""
-    found = suffix_dedup.repeated_strings(docs, keep_first=True)
+    """Cut strings that occurred before, in the order of ids; their first copies stay.
+
+    A passage of over fifty words is cut: of ordinary words it has more than ``PASSAGE`` bytes.
+    """
+    found = suffix_dedup.repeated_strings(docs, keep_first=True, length=PASSAGE, gram=GRAM)
     changed = found.filter("kept_text is not null").select("doc_id", F.col("digest").alias(DIGEST), "kept_text")
     changed = changed.dropDuplicates(["doc_id", DIGEST])
     text = F.coalesce("kept_text", "text")

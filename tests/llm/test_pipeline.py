@@ -128,3 +128,16 @@ def test_texts_that_share_an_id_are_told_apart(spark):
     assert cut[(3, len(passage) + 4)] == passage + " one"
     assert (4, len(alone) + 5) in cut and cut[(4, len(alone) + 5)] == alone + " four"
     assert [t for (i, n), t in cut.items() if i == 4 and n < 60] == ["two "]
+
+
+def test_passages_of_over_fifty_words_are_cut_but_their_first_copy(spark):
+    rng = random.Random(7)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 6))) for _ in range(n))
+    passage = prose(52)
+    assert corpus_pipeline.PASSAGE < len(passage) < 400
+    rows = [(1, prose(40) + " " + passage), (2, passage + " " + prose(30)), (3, prose(9) + " " + passage + " " + prose(9)), (4, prose(200))]
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in rows], SCHEMA)
+    cut = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeated_strings(spark, docs, "").collect()}
+    expected = brute_cut(rows, corpus_pipeline.PASSAGE)
+    assert cut == {i: (t, len(t)) for i, t in expected.items()}
+    assert [i for i, t in rows if passage in cut[i][0]] == [1] and cut[4][0] == rows[3][1]
