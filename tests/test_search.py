@@ -225,3 +225,32 @@ def test_an_export_of_chunks_builds_no_index(spark, tmp_path, monkeypatch):
     found = knowledge.chunk_files(spark, str(tmp_path))
     expected = knowledge.chunk_export(spark, str(tmp_path))
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.count() >= 12
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_postings_made_for_one_batch_give_what_stored_ones_give(spark, monkeypatch, tmp_path, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(search, "fits_broadcast", lambda *a, **k: False)
+        monkeypatch.setattr(search, "NAMED_TERMS", 0)
+    rows = [*corpus(), ("c999", "D1", "s", None, None, True, None, "p999")]
+    chunks = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    stored = search.build_index(chunks, str(tmp_path / "stored"))
+    scanned = search.scan_index(chunks, str(tmp_path / "scanned"))
+    assert scanned.stats.collect() == stored.stats.collect()
+    for asked in (QUERIES, ["log", "ngưỡng"], ["sao log 502 x"]):
+        queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, query_text string")
+        shown = lambda index: sorted(tuple(r) for r in search.search_all(index, queries).select("query_id", "rank", "chunk_id", "bm25_score").collect())  # noqa: B023, E731
+        assert shown(scanned) == shown(stored)
+    assert sorted(p.name for p in (tmp_path / "scanned").iterdir()) == ["chunks", "stats"]
+
+
+def test_a_batch_without_an_index_writes_chunks_only(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(knowledge_base, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    monkeypatch.setattr(knowledge_base, "named_folder", lambda spark, name: str(tmp_path / name))
+    made = lambda: from_table(spark.createDataFrame([("A_v1.md", "# A\n\n**x**\n\n## S\none two three\n")], "file_name string, md_text string"))
+    queries = spark.createDataFrame([(1, "one two")], "query_id int, query_text string")
+    for read in (knowledge_base.stored_or_scanned, knowledge_base.stored, knowledge_base.stored_or_scanned):
+        index = read(spark, "state", made)
+        assert [r["section"] for r in search.search_all(index, queries).collect()] == ["S"]
+        assert index.stored == (tmp_path / "knowledge-base").exists()
+    assert not [p for p in (tmp_path / "scanned-chunks").iterdir() if p.name not in ("chunks", "stats", "current")]
