@@ -3,8 +3,11 @@ import json
 
 from pyspark.sql import functions as F
 
-from proofline.operators import ledger, validation
+from proofline.functions import strict_json
+from proofline.functions.text import quote_json
+from proofline.operators import duplicates, ledger, validation
 from proofline.operators.duplicates import resolve_duplicates
+from proofline.plans import log_quality
 from proofline.sources.lines import from_table
 
 VALID = {
@@ -153,3 +156,38 @@ def test_trace_of_lines(spark):
         except ValueError:
             continue
         raise AssertionError(f"line {bad} was traced")
+
+
+def test_rows_are_not_shuffled_for_a_short_list_of_copies(spark, tmp_path, monkeypatch):
+    texts = [dict(VALID, request_id=f"r{i % 3}") for i in range(8)]
+    plans, write = [], log_quality.write_ledger
+    monkeypatch.setattr(log_quality, "write_ledger", lambda frame, path: (plans.append(frame._jdf.queryExecution().executedPlan().toString()), write(frame, path)))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        run = log_quality.publish(source(spark, *texts), str(tmp_path / "short"))
+        monkeypatch.setattr(duplicates, "fits_broadcast", lambda *a, **k: False)
+        long = log_quality.publish(source(spark, *texts), str(tmp_path / "long"))
+    finally:
+        spark.conf.set(threshold, before)
+    joins = ["hashpartitioning(copy_key" in p for p in plans]
+    assert joins == [False, True]
+    shown = lambda r: r.ledger.orderBy("source_line").collect()
+    assert shown(run) == shown(long) and run.clean.count() == long.clean.count() == 3
+
+
+def test_canonical_text_of_strings_is_that_of_the_encoder():
+    parser = strict_json._Parser(["a"], False, False)
+    for value in ({}, {"b": "", "a": "\n\u0001\u007f\u2028é\"\\/"}, {"é": "x", "": "y"}, {"a": "x", "b": 1}, {"a": {"b": "c"}}):
+        text = json.dumps(value)
+        for spaced in (text, f" {text}\n"):
+            assert parser.parse(spaced) == (strict_json.OBJECT, parser.encode(value), value)
+    assert parser.parse('{"a":"b"}x')[0] == parser.parse('{"a":"\\ud800"}')[0] == parser.parse("")[0] == strict_json.MALFORMED
+
+
+def test_quoted_text_is_json(spark):
+    texts = ["", "plain [text]", "a/b~ ", 'q"', "b\\", "\x7f", "é", "tab\t", "\x1f", "[]", "]", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.q for r in rows.select("i", quote_json(F.col("t")).alias("q")).orderBy("i").collect()]
+    assert got[:-1] == [json.dumps(t, ensure_ascii=False) for t in texts[:-1]]
