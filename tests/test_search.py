@@ -254,3 +254,30 @@ def test_a_batch_without_an_index_writes_chunks_only(spark, monkeypatch, tmp_pat
         assert [r["section"] for r in search.search_all(index, queries).collect()] == ["S"]
         assert index.stored == (tmp_path / "knowledge-base").exists()
     assert not [p for p in (tmp_path / "scanned-chunks").iterdir() if p.name not in ("chunks", "stats", "current")]
+
+
+@pytest.mark.parametrize("longest", [1 << 15, 4])
+def test_a_token_of_a_run_of_chunks_is_one_list(spark, monkeypatch, tmp_path, longest):
+    monkeypatch.setattr(search, "LIST_PLACES", longest)
+    monkeypatch.setattr(search, "SENT_PLACES", 8)
+    rows = [(f"c{i:03d}", "D", "s", None, None, i % 2 == 0, f"a b a w{i % 3}", f"p{i}") for i in range(30)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "index"), 3)
+    stored = index.lists.groupBy("first").agg({"*": "count"}).collect()
+    sizes = {"a": 60, "b": 30, "w0": 10, "w1": 10, "w2": 10}
+    assert {r["first"]: r[1] for r in stored} == {w: -(-n // longest) for w, n in sizes.items()}
+    chunks = {"a": 30, "b": 30, "w0": 10, "w1": 10, "w2": 10}
+    assert {tuple(r) for r in search.term_statistics(index).collect()} == {(w, chunks[w], n) for w, n in sizes.items()}
+    asked = spark.createDataFrame([("a",), ("a b a w1",), ("a b a w1 a",), ("b a",), ("a w2",)], "phrase string")
+    found = search.phrase_matches(index, asked).collect()
+    counted = {}
+    for r in found:
+        counted.setdefault(r["phrase"], []).append(r["tf"])
+    assert {p: (len(n), set(n)) for p, n in counted.items()} == {"a": (30, {2}), "a b a w1": (10, {1}), "b a": (30, {1}), "a w2": (10, {1})}
+
+
+def test_a_list_lies_in_the_bucket_that_a_search_reads(spark, tmp_path):
+    words = ["a", "đường", "ngưỡng", "x1", "東京", "kết"]
+    rows = [(f"c{i}", "D", "s", None, None, True, w, f"p{i}") for i, w in enumerate(words)]
+    index = search.build_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"), 5)
+    read = index.lists.select("bucket", search.bucket_of(index.lists["first"], search.F.lit(5)).alias("read")).collect()
+    assert len(read) == len(words) and all(r["bucket"] == r["read"] for r in read)
