@@ -281,3 +281,49 @@ def test_a_list_lies_in_the_bucket_that_a_search_reads(spark, tmp_path):
     index = search.build_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"), 5)
     read = index.lists.select("bucket", search.bucket_of(index.lists["first"], search.F.lit(5)).alias("read")).collect()
     assert len(read) == len(words) and all(r["bucket"] == r["read"] for r in read)
+
+
+def test_texts_cut_by_tables_have_the_tokens_of_the_expression(spark):
+    from proofline.functions.tokens import token_tables, tokens
+
+    rng = random.Random(5)
+    letters = "aZ9 _-é́̂ếĐßİıſΣς·ﬁ東𝔸𐐀\U0001f600٣Ⅷ\n\x00"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(500)]
+    texts += ["".join(map(chr, range(at, min(at + 64, 0xD800)))) for at in range(0, 0xD800, 64)]
+    texts += ["", "́", "a", "plain ASCII text 7", "x" * 70]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    expected = [r[0] for r in frame.orderBy("i").select(tokens(search.F.col("t"))).collect()]
+    sizes, found = token_tables(spark).cut(search.pa.array(texts)[:])
+    found, at = found.to_pylist(), 0
+    for size, wanted in zip(sizes.tolist(), expected, strict=True):
+        assert found[at : at + size] == wanted
+        at += size
+    assert at == len(found)
+    part = search.pa.array(["a b", "ć d", "e f g"])[1:]
+    assert token_tables(spark).cut(part)[1].to_pylist() == ["c", "d", "e", "f", "g"]
+
+
+def test_a_pass_over_chunks_sends_only_places_that_a_piece_may_meet(spark, tmp_path):
+    rows = [(f"c{i:03d}", "D", "s", None, None, True, f"w{i} w{i + 1} common w{i + 2}", f"p{i}") for i in range(300)]
+    index = search.scan_index(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "index"))
+    pieces = search._pieces(spark.createDataFrame([("w5 w6",), ("w7 w8 common w9",), ("w11",)], "phrase string"))
+    asked = pieces.fillna("", ["second", "third", "fourth"])
+    met = {(r["first"], r["second"], r["third"], r["fourth"], r["pos"]) for r in search._met_in_chunks(index, asked, [1, 2, 4]).collect()}
+    wanted = {("w5", "w6", "", "", 0), ("w7", "w8", "common", "w9", 0), ("w11", "", "", "", 0), ("w11", "", "", "", 1), ("w11", "", "", "", 3)}
+    # A filter never loses a place; the 3,000 others hardly pass.
+    assert wanted <= met and len(met) < 40
+
+
+def test_texts_of_cases_are_split_once(spark, monkeypatch, tmp_path):
+    from catalog import knowledge
+
+    rows = [(i, f"Alpha{i} beta gamma delta epsilon", "en", "src0") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    plan = knowledge.cases(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+    read = []
+    made = knowledge.cases
+    monkeypatch.setattr(knowledge, "cases", lambda *a: read.append(1) or made(*a))
+    found = knowledge.run_evaluation(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert read == [1] and "split(text" not in plan and found.count() == 6
