@@ -211,3 +211,20 @@ def test_a_reconstruction_makes_the_digest_of_its_source_once(spark, tmp_path, m
     with pytest.raises(Seen) as seen:
         queries.reconstruction_diff(spark, str(tmp_path))
     assert "sha2(" not in str(seen.value) and "parquet" in str(seen.value)
+
+
+def test_a_run_summary_cuts_the_texts_once(spark, monkeypatch, tmp_path):
+    from catalog import evidence as queries
+    from proofline.plans import knowledge_base
+
+    events = ["id as event_id", "timestamp_seconds(1704067200 + id) as ts", "id % 11 as user_id", "if(id % 3 = 0, 'error', 'view') as event_type"]
+    spark.range(200).selectExpr(*events).write.parquet(str(tmp_path / "events.parquet"))
+    texts = "concat('Alpha', id, ' beta gamma delta epsilon') as text"
+    spark.range(6).selectExpr("id as doc_id", texts, "'en' as lang", "'src0' as source").write.parquet(str(tmp_path / "documents.parquet"))
+    calls = []
+    staged = knowledge_base.stage_chunks
+    monkeypatch.setattr(knowledge_base, "stage_chunks", lambda *a: calls.append(1) or staged(*a))
+    found = {(r["part"], r["metric"]): r["value"] for r in queries.run_summary(spark, str(tmp_path)).collect()}
+    assert calls == [1]
+    assert (found["knowledge_base", "documents"], found["knowledge_base", "chunks"]) == ("6", "6")
+    assert sum(int(found["evaluation", g]) for g in ("pass", "partial", "fail")) == 6
